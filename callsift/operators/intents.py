@@ -172,6 +172,75 @@ def all_distances(
     return whole.select(*keys, F.array(*[F.col(f"_{j}") for j in range(n)]).alias("dists"))
 
 
+def _named(name: str, intent: str, j: int) -> str:
+    return f"_{name}_{intent}_{j}"
+
+
+def _chunk_minima(scored, keys, packs, chunks):
+    """All minima of all packs and intents in one aggregation."""
+    columns = [
+        (f"{name}_{intent}", j, _named(name, intent, j))
+        for name, pack in packs.items()
+        for intent, n in pack.sizes().items()
+        for j in range(n)
+    ]
+    mins = scored.groupBy(*keys).agg(*[F.min(F.col(c)[j]).alias(out) for c, j, out in columns])
+    return _complete(mins, keys, chunks, [out for _, _, out in columns])
+
+
+def all_distances_by_intent(
+    scored: DataFrame,
+    keys: Sequence[str],
+    name: str,
+    pack: IntentPack,
+    chunks: DataFrame | None = None,
+) -> DataFrame:
+    """I4, I6 over rows: one array per intent and chunk."""
+    whole = _chunk_minima(scored, keys, {name: pack}, chunks)
+    return whole.select(
+        *keys,
+        *[
+            F.array(*[F.col(_named(name, i, j)) for j in range(n)]).alias(i)
+            for i, n in pack.sizes().items()
+        ],
+    )
+
+
+def opposed_by_intent(
+    scored: DataFrame,
+    keys: Sequence[str],
+    pack: OpposedPack,
+    chunks: DataFrame | None = None,
+    how: str = "all",
+) -> DataFrame:
+    """I7-I10 over rows that hold ``p_<intent>`` and ``n_<intent>`` distances."""
+    whole = _chunk_minima(scored, keys, {"p": pack.positive, "n": pack.negative}, chunks)
+    out = []
+    for i, n in pack.sizes().items():
+        pos = [F.col(_named("p", i, j)) for j in range(n)]
+        neg = [F.col(_named("n", i, j)) for j in range(n)]
+        if how == "all":
+            score = F.array(*[opposed_score(a, b) for a, b in zip(pos, neg, strict=True)])
+        else:
+            score = opposed_score(F.array_min(F.array(*pos)), F.array_min(F.array(*neg)))
+        out.append(score.alias(i))
+    return whole.select(*keys, *out)
+
+
+def min_distances_by_intent(
+    scored: DataFrame,
+    keys: Sequence[str],
+    name: str,
+    pack: IntentPack,
+    chunks: DataFrame | None = None,
+) -> DataFrame:
+    """I3, I5 over rows: the least distance per intent and chunk."""
+    mins = scored.groupBy(*keys).agg(
+        *[F.min(F.array_min(f"{name}_{i}")).alias(i) for i in pack.vectors]
+    )
+    return _complete(mins, keys, chunks, list(pack.vectors))
+
+
 def _complete(df, keys, chunks, columns):
     if chunks is not None:
         df = chunks.join(df, list(keys), "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,15 +25,26 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it from there.
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that every executor sees: the cluster's ``spark.checkpoint.dir``.
 
-    The folder is the cluster's ``spark.checkpoint.dir``.  Only a session that
-    names none (a local test) gets a folder of its own.
+    Only a session that names none (a local test) gets a folder of its own.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
+    current = context._jsc.sc().getCheckpointDir()
+    if current.isEmpty():
         shared = context.getConf().get("spark.checkpoint.dir")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="callsift-stage-"))
+        current = context._jsc.sc().getCheckpointDir()
+    return current.get()
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared folder and go on from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -16,7 +16,11 @@ _MERGE_FORMATS = {"delta", "iceberg", "hudi"}
 
 
 def ensure_table(
-    spark: SparkSession, name: str, schema: StructType, fmt: str = "parquet"
+    spark: SparkSession,
+    name: str,
+    schema: StructType,
+    fmt: str = "parquet",
+    location: str | None = None,
 ) -> None:
     """K1, K2: create the table with its column comments unless it exists."""
     columns = []
@@ -25,7 +29,8 @@ def ensure_table(
         columns.append(
             f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT '{comment}'" if comment else "")
         )
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}) USING {fmt}")
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}) USING {fmt}{place}")
 
 
 def checked(df: DataFrame, schema: StructType) -> DataFrame:
@@ -134,16 +139,19 @@ def example_rows(matches: DataFrame) -> DataFrame:
     return matches.select(ID, F.col("chunk_id").cast("bigint").alias("chunk_id"), "text")
 
 
-def load_detections(spark: SparkSession, name: str, detected: DataFrame, staging: str) -> None:
-    """K1, K3 and K5 in turn."""
-    ensure_table(spark, name, schemas.DETECTIONS)
-    rows = checked(detection_rows(detected), schemas.DETECTIONS)
-    upsert_table(spark, name, rows, ["convrstn_id"], staging)
+def load_detections(
+    spark: SparkSession, name: str, rows: DataFrame, staging: str, location: str | None = None
+) -> None:
+    """K1 and K3: rows of ``detection_rows`` into the detection table."""
+    ensure_table(spark, name, schemas.DETECTIONS, location=location)
+    upsert_table(spark, name, checked(rows, schemas.DETECTIONS), ["convrstn_id"], staging)
 
 
-def load_examples(spark: SparkSession, name: str, examples: DataFrame, staging: str) -> None:
+def load_examples(
+    spark: SparkSession, name: str, examples: DataFrame, staging: str, location: str | None = None
+) -> None:
     """K2, K4 and K6 in turn."""
-    ensure_table(spark, name, schemas.EXAMPLES)
+    ensure_table(spark, name, schemas.EXAMPLES, location=location)
     rows = checked(example_rows(examples), schemas.EXAMPLES)
     upsert_table(spark, name, rows, [ID, "chunk_id"], staging)
 
