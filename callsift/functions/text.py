@@ -87,12 +87,12 @@ def word_grams(text: Column, n: int = 1) -> Column:
     Positions near the end give shorter grams, as slicing does.
     """
     words = words_of(text)
-    if n == 1:
-        return words
-    return F.transform(
-        words,
-        lambda w, i: F.array_join(F.slice(words, i + F.lit(1), F.lit(n)), " "),
-    )
+    grams = words
+    for k in range(1, n):
+        later = F.slice(words, F.lit(k + 1), F.size(words))
+        # past the end there is nothing to add
+        grams = F.zip_with(grams, later, lambda a, b: F.concat_ws(" ", a, b))
+    return grams
 
 
 def normalise(text: Column) -> Column:

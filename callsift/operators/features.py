@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from callsift import fixed_values as fv
 from callsift.functions.regex import start_totals
 from callsift.functions.text import remove_tokens, training_tokens
+from callsift.functions.vectors import let
 from callsift.operators.calls import ID
 from callsift.operators.intents import IntentPack, intent_distances
 from callsift.operators.lexicon import replace_words
@@ -46,10 +47,12 @@ def cleaned(
 
 def relative_position(text: Column, patterns: Sequence[str] = fv.PATTERNS["movers"]) -> Column:
     """Mean start of the matches over the length of the text; -1 without any."""
-    found = start_totals(text, patterns)
-    return F.when(
-        found["n"] > 0, found["total"] / (F.length(text).cast("double") * found["n"])
-    ).otherwise(F.lit(-1.0))
+    return let(
+        start_totals(text, patterns),
+        lambda found: F.when(
+            found["n"] > 0, found["total"] / (F.length(text).cast("double") * found["n"])
+        ).otherwise(F.lit(-1.0)),
+    )
 
 
 def chunk_features(

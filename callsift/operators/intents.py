@@ -282,15 +282,14 @@ def distances_in_blocks(
 # --- distances of chunks of text -------------------------------------------------
 
 
-def _smallest(rows: Column, n: int) -> Column:
-    """Element-wise minimum of an array of arrays; ones when it is empty."""
-    return F.when(
-        F.size(rows) > 0,
-        F.transform(
-            F.sequence(F.lit(0), F.lit(n - 1)),
-            lambda j: F.array_min(F.transform(rows, lambda r: F.get(r, j))),
-        ),
-    ).otherwise(F.array_repeat(F.lit(1.0), n))
+def _least_by_reference(vectors: str, unit: Column, n: int) -> Column:
+    """Least distance of any vector to each reference; ones without vectors."""
+    found = F.aggregate(
+        vectors,
+        F.array_repeat(F.lit(2.0), n),
+        lambda acc, v: F.zip_with(acc, distances_to(v, unit), lambda a, b: F.least(a, b)),
+    )
+    return F.when(F.size(vectors) > 0, found).otherwise(F.array_repeat(F.lit(1.0), n))
 
 
 def _by_column(
@@ -300,13 +299,9 @@ def _by_column(
     vectors = df.withColumn("_vectors", F.transform(subs, encoder))
     for name, pack in packs.items():
         for intent, matrix in pack.vectors.items():
-            unit = pack.literal(intent)
             vectors = vectors.withColumn(
                 f"{name}_{intent}",
-                _smallest(
-                    F.transform("_vectors", lambda v, u=unit: distances_to(v, u)),
-                    matrix.shape[0],
-                ),
+                _least_by_reference("_vectors", pack.literal(intent), matrix.shape[0]),
             )
     return vectors.drop("_vectors")
 
