@@ -14,6 +14,7 @@ from callsift import fixed_values as fv
 from callsift.functions.regex import any_match
 from callsift.operators.calls import ID
 from callsift.operators.ordering import first_rows, hash_ranks
+from callsift.session import stage
 
 Pack = Mapping[str, Sequence[str]]
 _TEXT = "sntnce"
@@ -122,10 +123,26 @@ def without(df: DataFrame, ids: DataFrame, key: str = ID) -> DataFrame:
     return df.join(ids, key, "left_anti")
 
 
-def early_cancellations(slim: DataFrame, n: int = fv.EARLY_SENTENCES) -> DataFrame:
-    """Conversations that mention a cancellation in their first sentences."""
-    early = first_rows(slim.select(ID, "sntnce_ts", "cancels"), ID, ["sntnce_ts"], n)
-    return early.filter("cancels").select(ID).distinct()
+def notable(numbered: DataFrame) -> DataFrame:
+    """Numbered slim sentences that the rules look at: candidates and
+    cancellations.  They are few and used several times, so they are staged."""
+    return stage(numbered.filter(F.col("candidate").isNotNull() | F.col("cancels")))
+
+
+def early_cancellations(
+    said: DataFrame, n: int = fv.EARLY_SENTENCES, pack: Pack = fv.PATTERNS
+) -> DataFrame:
+    """Conversations that mention a cancellation in their first sentences.
+
+    The pattern is tried on those first sentences only.
+    """
+    early = first_rows(said.select(ID, "sntnce_ts", _TEXT), ID, ["sntnce_ts"], n)
+    return early.filter(any_match(F.col(_TEXT), pack["cancel"])).select(ID).distinct()
+
+
+def early_among(numbered: DataFrame, n: int = fv.EARLY_SENTENCES) -> DataFrame:
+    """W3 on slim sentences that are numbered within their conversation."""
+    return numbered.filter(F.col("cancels") & (F.col("chunk_id") < n)).select(ID).distinct()
 
 
 def above_threshold(scored: DataFrame, threshold: float = fv.SCORE_THRESHOLD) -> DataFrame:

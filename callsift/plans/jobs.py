@@ -141,10 +141,10 @@ def _classified(
     max_rows: int | None,
     **encoder,
 ) -> DataFrame:
-    numbered = number_rows(slim, ID, ["sntnce_ts"], max_rows=max_rows)
+    numbered = rules.notable(number_rows(slim, ID, ["sntnce_ts"], max_rows=max_rows))
     features = X.conversation_features(numbered, pack, patterns, mode=mode, **encoder)
     scored = rules.above_threshold(scorer(features))
-    early = rules.early_cancellations(slim).withColumnRenamed(ID, "conv_id")
+    early = rules.early_among(numbered).withColumnRenamed(ID, "conv_id")
     return rules.best_scores(rules.without(scored, early, "conv_id"))
 
 

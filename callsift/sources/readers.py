@@ -149,6 +149,18 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.table(name_or_path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Even out a scan that has fewer splits than the session has cores.
+
+    A row group is read by one task, however many cores wait.  ``key`` is a
+    unique column.  A scan with enough splits is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= 2 * cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def read_training(
     spark: SparkSession,
     path: str,

@@ -326,7 +326,7 @@ def j8(spark, d):
 )
 def j9(spark, d):
     said = V.utterances(spark, d)
-    early = rules.early_cancellations(rules.slim_sentences(said), 3)
+    early = rules.early_cancellations(said, 3)
     return rules.without(rules.naive_matches(said), early)
 
 
@@ -425,7 +425,7 @@ def w2(spark, d):
     ["sn"],
 )
 def w3(spark, d):
-    return rules.early_cancellations(rules.slim_sentences(C.sentences(V.calls(spark, d))))
+    return rules.early_cancellations(C.sentences(V.calls(spark, d)))
 
 
 _CLEAN_TOKENS_SQL = r"""list_filter(regexp_extract_all(regexp_replace(lower(sntnce), '(\-|\_|\.|\/|\\|\:|\;|\,|\n|\[|\])', ' ', 'g'), '([a-z'']+)', 0),

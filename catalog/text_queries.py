@@ -355,9 +355,25 @@ def m11(spark, d):
     return found.select("a", "b", "n_ab", F.round("score", 6).alias("score"))
 
 
-@query("m11_merged_text")
-def m11_merge(spark, d):
-    merged, _, _ = LX.detect_collocations(tokens(spark, d), "doc_id", "tokens")
+_MERGED_SQL = f"""WITH good AS ({_PAIRS_SQL}), t AS ({_TOKENS_SQL}),
+    x AS (SELECT doc_id, unnest(tokens) AS a, unnest(list_concat(tokens[2:], [NULL])) AS b,
+          generate_subscripts(tokens, 1) - 1 AS pos FROM t WHERE len(tokens) > 0),
+    y AS (SELECT x.*, good.n_ab IS NOT NULL AS starts FROM x LEFT JOIN good ON good.a = x.a AND good.b = x.b),
+    r AS (SELECT *, starts AND (pos - coalesce(max(CASE WHEN NOT starts THEN pos END) OVER w, -1)) % 2 = 1 AS merges
+          FROM y WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+    k AS (SELECT *, coalesce(lag(merges) OVER (PARTITION BY doc_id ORDER BY pos), FALSE) AS taken FROM r)
+    SELECT t.doc_id, coalesce(string_agg(CASE WHEN merges THEN k.a || ' ' || k.b ELSE k.a END, '|' ORDER BY pos), '') AS tokens
+    FROM t LEFT JOIN (SELECT * FROM k WHERE NOT taken) k USING (doc_id) GROUP BY t.doc_id"""
+
+
+@query("m11_merged_pairs", _MERGED_SQL)
+def m11_pairs(spark, d):
+    rows = tokens(spark, d)
+    merged = LX.merge_pairs(rows, "doc_id", "tokens", LX.pair_scores(rows, "tokens"))
     return merged.select("doc_id", F.array_join("tokens", "|").alias("tokens"))
 
 
+@query("m11_merged_triples")
+def m11_triples(spark, d):
+    merged, _, _ = LX.detect_collocations(tokens(spark, d), "doc_id", "tokens")
+    return merged.select("doc_id", F.array_join("tokens", "|").alias("tokens"))
