@@ -207,23 +207,22 @@ def sentences(calls: DataFrame) -> DataFrame:
 
 
 def role_profile(said: DataFrame, **extra: Column) -> DataFrame:
-    """Per conversation and role: sentences and extreme language codes.
+    """Sentences per conversation, role and language code.
 
     This is the only pass over the sentences that eligibility needs; what it
-    emits is one small row per role and conversation in each map task.
+    emits is one small row per role and conversation in each map task.  Codes
+    are keys, not minima: a string minimum would have Spark sort the sentences.
     """
-    return said.groupBy(ID, "sntnce_partcpnt_role").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("sntnce_lang_cd").alias("lang_lo"),
-        F.max("sntnce_lang_cd").alias("lang_hi"),
-        *[c.alias(n) for n, c in extra.items()],
+    return said.groupBy(ID, "sntnce_partcpnt_role", "sntnce_lang_cd").agg(
+        F.count(F.lit(1)).alias("n"), *[c.alias(n) for n, c in extra.items()]
     )
 
 
 def two_party(said: DataFrame, min_exchange: int) -> DataFrame:
     """A4: conversations in which at least two roles speak often enough."""
     return (
-        role_profile(said)
+        said.groupBy(ID, "sntnce_partcpnt_role")
+        .agg(F.count(F.lit(1)).alias("n"))
         .groupBy(ID)
         .agg(F.count_if(F.col("n") >= min_exchange).alias("cnt_partcpnt"))
         .filter(F.col("cnt_partcpnt") > 1)
@@ -233,7 +232,9 @@ def two_party(said: DataFrame, min_exchange: int) -> DataFrame:
 def single_language(said: DataFrame, allowed_lang: str) -> DataFrame:
     """A5: conversations in exactly one language code, the allowed one."""
     return (
-        said.groupBy(ID)
+        said.groupBy(ID, "sntnce_lang_cd")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(ID)
         .agg(F.min("sntnce_lang_cd").alias("min_lang"), F.max("sntnce_lang_cd").alias("_hi"))
         .filter((F.col("min_lang") == F.col("_hi")) & (F.lower("min_lang") == allowed_lang))
         .drop("_hi")
@@ -248,12 +249,17 @@ def eligible_ids(said: DataFrame, min_exchange: int, allowed_lang: str) -> DataF
 def eligible(
     profile: DataFrame, min_exchange: int, allowed_lang: str, **extra: Column
 ) -> DataFrame:
+    """Conversations of a profile that are in one language, the allowed one,
+    and have two roles that speak often enough.
+
+    Where there is one language, a profile row is a whole role.
+    """
     return (
         profile.groupBy(ID)
         .agg(
             F.count_if(F.col("n") >= min_exchange).alias("_roles"),
-            F.min("lang_lo").alias("_lo"),
-            F.max("lang_hi").alias("_hi"),
+            F.min("sntnce_lang_cd").alias("_lo"),
+            F.max("sntnce_lang_cd").alias("_hi"),
             *[c.alias(n) for n, c in extra.items()],
         )
         .filter(

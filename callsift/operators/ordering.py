@@ -57,13 +57,17 @@ def number_rows(
     order: Sequence[str],
     out: str = "chunk_id",
     max_rows: int | None = MAX_ROWS_PER_KEY,
+    largest: int | None = None,
 ) -> DataFrame:
     """Position of each row within its key, from 0.
 
-    ``order`` has to be unique within the key.  ``max_rows=None`` states that
-    no key is large and skips the look at the largest one.
+    ``order`` has to be unique within the key.  ``largest`` is the size of the
+    largest key where it is known; otherwise it is looked up.
+    ``max_rows=None`` states that no key is large.
     """
-    if max_rows is None or largest_group(df, [key]) <= max_rows:
+    if max_rows is not None and largest is None:
+        largest = largest_group(df, [key])
+    if max_rows is None or largest <= max_rows:
         window = Window.partitionBy(key).orderBy(*order)
         return df.withColumn(out, (F.row_number().over(window) - 1).cast("long"))
     numbered = global_positions(df, [key, *order], "_position")

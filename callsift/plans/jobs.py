@@ -18,6 +18,7 @@ from callsift.operators import reports as R
 from callsift.operators import rules
 from callsift.operators.intents import IntentPack
 from callsift.operators.ordering import number_rows
+from callsift.session import stage
 from callsift.sources.sinks import detection_rows
 
 ID = C.ID
@@ -65,12 +66,12 @@ def extract(
 ) -> tuple[DataFrame, DataFrame]:
     """(conversations, sentences), each with a counterpart in the other."""
     day = C.calls_between(calls, lo, hi)
-    facts = conversation_facts(day, settings)
     said = C.sentences(day)
     ids = C.eligible_ids(said, settings.min_exchange, settings.allowed_lang)
-    # ids that have both sides: two small tables, each id once
-    both = ids.join(facts.select(ID).distinct(), ID, "left_semi")
-    return facts.join(both, ID, "left_semi"), C.eligible_sentences(said, both)
+    # whether a conversation has facts shows in its labels and issues alone
+    known = C.known_identity(C.call_attributes(day)).select(ID)
+    convs = conversation_facts(day, settings).join(ids, ID, "left_semi")
+    return convs, C.eligible_sentences(said, ids.join(known, ID, "left_semi"))
 
 
 def detect_naive(said: DataFrame, pack: rules.Pack = fv.PATTERNS) -> DataFrame:
@@ -139,9 +140,12 @@ def _classified(
     patterns: rules.Pack,
     mode: str,
     max_rows: int | None,
+    largest: int | None = None,
     **encoder,
 ) -> DataFrame:
-    numbered = rules.notable(number_rows(slim, ID, ["sntnce_ts"], max_rows=max_rows))
+    numbered = rules.notable(
+        number_rows(slim, ID, ["sntnce_ts"], max_rows=max_rows, largest=largest)
+    )
     features = X.conversation_features(numbered, pack, patterns, mode=mode, **encoder)
     scored = rules.above_threshold(scorer(features))
     early = rules.early_among(numbered).withColumnRenamed(ID, "conv_id")
@@ -185,15 +189,20 @@ def classifier_daily(
     said = C.sentences(day)
     candidate = rules.mover_candidate(F.col("sntnce"), F.col("sntnce_partcpnt_role"), patterns)
     profile = C.role_profile(said, hit=F.max(candidate))
-    ids = (
+    ids = stage(
         C.eligible(
-            profile, settings.min_exchange, settings.allowed_lang, hit=F.max("hit")
+            profile,
+            settings.min_exchange,
+            settings.allowed_lang,
+            hit=F.max("hit"),
+            sentences=F.sum("n"),
         )
         .filter("hit")
-        .select(ID)
+        .select(ID, "sentences")
     )
+    largest = ids.agg(F.max("sentences")).first()[0] or 0
     slim = rules.slim_sentences(said, patterns).join(ids, ID, "left_semi")
-    detected = _classified(slim, pack, scorer, patterns, mode, max_rows, **encoder)
+    detected = _classified(slim, pack, scorer, patterns, mode, max_rows, largest, **encoder)
     return _load_rows(day, detected.withColumnRenamed("conv_id", ID), settings, refresh_date)
 
 
