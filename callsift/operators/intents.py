@@ -28,7 +28,7 @@ BatchEncoder = Callable[[list[str]], np.ndarray]
 ColumnEncoder = Callable[[Column], Column]
 
 # values a pack may put into a plan; larger ones are stored with the job's data
-MAX_PACK_VALUES = 2_000_000
+MAX_PACK_VALUES = 500_000
 
 
 @dataclass(frozen=True)
