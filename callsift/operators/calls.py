@@ -189,20 +189,21 @@ def with_province(
 
 def sentences(calls: DataFrame) -> DataFrame:
     """Valid sentences in lower case."""
-    said = calls.select(ID, F.inline("convrstn_sntnce"))
+    said = calls.select(ID, F.explode("convrstn_sntnce").alias("s"))
+    # single fields of an exploded struct: the scan reads the ones in use
     return said.filter(
-        (F.col("sntnce") != "")
-        & (F.col("sntnce") != "\n")
-        & F.col("sntnce_partcpnt_role").isNotNull()
-        & F.col("sntnce_lang_cd").isNotNull()
+        (F.col("s.sntnce") != "")
+        & (F.col("s.sntnce") != "\n")
+        & F.col("s.sntnce_partcpnt_role").isNotNull()
+        & F.col("s.sntnce_lang_cd").isNotNull()
     ).select(
         ID,
-        F.lower("sntnce").alias("sntnce"),
-        F.col("sntnce_create_nnsec_qty").alias("sntnce_ts"),
-        "sntnce_lang_cd",
-        "sntnce_partcpnt_role",
-        "sntnce_sntmnt_scor_qty",
-        "sntnce_sntmnt_mgntd_qty",
+        F.lower("s.sntnce").alias("sntnce"),
+        F.col("s.sntnce_create_nnsec_qty").alias("sntnce_ts"),
+        "s.sntnce_lang_cd",
+        "s.sntnce_partcpnt_role",
+        "s.sntnce_sntmnt_scor_qty",
+        "s.sntnce_sntmnt_mgntd_qty",
     )
 
 

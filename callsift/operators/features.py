@@ -116,6 +116,10 @@ def conversation_features(
     )
     if labels is not None:
         chunks = attach_labels(chunks, labels)
+    # few and short rows, but each is costly from here on: even them out over
+    # all cores, whatever their conversation
+    cores = slim.sparkSession.sparkContext.defaultParallelism
+    chunks = chunks.repartition(2 * cores, ID, "chunk_id")
     return chunk_features(chunks, pack, patterns["movers"], **encoder)
 
 

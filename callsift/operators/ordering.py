@@ -71,11 +71,11 @@ def number_rows(
         window = Window.partitionBy(key).orderBy(*order)
         return df.withColumn(out, (F.row_number().over(window) - 1).cast("long"))
     numbered = global_positions(df, [key, *order], "_position")
-    firsts = numbered.groupBy(key).agg(F.min("_position").alias("_first"))
+    firsts = numbered.groupBy(F.col(key).alias("_key")).agg(F.min("_position").alias("_first"))
     return (
-        numbered.join(firsts, key)
+        numbered.join(firsts, F.col(key).eqNullSafe(F.col("_key")))
         .withColumn(out, F.col("_position") - F.col("_first"))
-        .drop("_position", "_first")
+        .drop("_key", "_position", "_first")
     )
 
 
@@ -125,13 +125,19 @@ def hash_ranks(
         .orderBy("_block")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    same = [f"_by{i}" for i in range(len(by))]
     offsets = sizes.select(
-        *by, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+        *[F.col(b).alias(s) for b, s in zip(by, same, strict=True)],
+        F.col("_block").alias("_of"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
     )
+    match = F.col("_block") == F.col("_of")
+    for b, s in zip(by, same, strict=True):
+        match = match & F.col(b).eqNullSafe(F.col(s))
     within = Window.partitionBy(*by, "_block").orderBy("_hash", *tie)
     return (
         cut.withColumn("_place", F.row_number().over(within))
-        .join(offsets, [*by, "_block"])
+        .join(offsets, match)
         .withColumn(out, F.col("_offset") + F.col("_place"))
-        .drop("_hash", "_block", "_place", "_offset")
+        .drop("_hash", "_block", "_place", "_offset", "_of", *same)
     )

@@ -147,9 +147,11 @@ def _classified(
         number_rows(slim, ID, ["sntnce_ts"], max_rows=max_rows, largest=largest)
     )
     features = X.conversation_features(numbered, pack, patterns, mode=mode, **encoder)
-    scored = rules.above_threshold(scorer(features))
+    # the best score passes the threshold if any does; asking it last keeps the
+    # costly score out of a filter, where it would be computed again
+    best = rules.above_threshold(rules.best_scores(scorer(features)))
     early = rules.early_among(numbered).withColumnRenamed(ID, "conv_id")
-    return rules.best_scores(rules.without(scored, early, "conv_id"))
+    return rules.without(best, early, "conv_id")
 
 
 def detect_classified(
@@ -231,23 +233,26 @@ def union_days(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def label_matches(numbered: DataFrame, pack: rules.Pack = fv.PATTERNS) -> DataFrame:
+def label_matches(said: DataFrame, pack: rules.Pack = fv.PATTERNS) -> DataFrame:
     """P4 before the draw: customer chunks that match before and after cleaning."""
-    chunks = X.customer_chunks(rules.any_family(numbered, pack))
+    everything = rules.flatten(pack)
+    keep = rules.is_customer(F.col("sntnce_partcpnt_role")) & any_match(F.col("sntnce"), everything)
+    chunks = X.customer_chunks(rules.number_kept(said, keep))
     return rules.non_empty(chunks, "text").filter(
-        any_match(F.col("text"), rules.flatten(pack))
+        any_match(F.col("text"), everything, gate=False)
     )
 
 
 def label_examples(
-    numbered: DataFrame,
+    said: DataFrame,
     nb_select: int = fv.NB_SELECT,
     pack: rules.Pack = fv.PATTERNS,
     hash_column: Column | None = None,
 ) -> DataFrame:
     """Examples to label, from ``nb_select`` conversations in hash order."""
     order = hash_column if hash_column is not None else F.xxhash64(ID)
-    return rules.sample_conversations(label_matches(numbered, pack), nb_select, order)
+    # the draw and its conversations both come from the matches
+    return rules.sample_conversations(stage(label_matches(said, pack)), nb_select, order)
 
 
 def training_features(
@@ -279,10 +284,12 @@ def train(
 
 
 def kpi_report(
-    convs: DataFrame, said: DataFrame, numbered: DataFrame, pack: rules.Pack = fv.PATTERNS
+    convs: DataFrame, said: DataFrame, pack: rules.Pack = fv.PATTERNS
 ) -> dict[str, DataFrame]:
     """Sizing, sentence statistics, matches and matches per date."""
-    matches = R.with_call_facts(R.match_report(numbered, pack), convs)
+    keep = rules.mover_candidate(F.col("sntnce"), F.col("sntnce_partcpnt_role"), pack)
+    report = R.match_report(rules.number_kept(said, keep), pack)
+    matches = R.with_call_facts(report, convs)
     return {
         "sizing": R.sizing(convs, said),
         "sentences": R.describe(R.sentence_counts(said), "sntnce"),

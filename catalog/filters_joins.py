@@ -479,7 +479,7 @@ def w5(spark, d):
     ["un"],
 )
 def w6(spark, d):
-    matches = jobs.label_matches(V.numbered(spark, d))
+    matches = jobs.label_matches(V.utterances(spark, d))
     return rules.sample_conversations(matches, 40, mixed(F.col(ID)))
 
 

@@ -15,7 +15,7 @@ from callsift.plans import jobs
 from callsift.sources import sinks
 from catalog import views as V
 from catalog.aggregates import SIZING_ORACLE
-from catalog.filters_joins import _mix, sizing_input
+from catalog.filters_joins import REPORT_SQL, _mix, sizing_input
 from catalog.intent_queries import distance_ctes, move_pack
 from catalog.registry import query
 from catalog.sources_sinks import _STILL_SQL
@@ -329,7 +329,7 @@ def p3(spark, d):
     ["un"],
 )
 def p4(spark, d):
-    found = jobs.label_examples(V.numbered(spark, d), 50, hash_column=mixed(F.col(ID)))
+    found = jobs.label_examples(V.utterances(spark, d), 50, hash_column=mixed(F.col(ID)))
     return sinks.example_rows(found)
 
 
@@ -348,6 +348,33 @@ def p5(spark, d):
     return model.predict(test).select("conv_id", "chunk_id", "label", "prediction")
 
 
+@query(
+    "p6_match_report",
+    f"""SELECT call_convrstn_id, chunk_id, text, mover_match, cancel_match, bus_bacct_num,
+        CAST(call_convrstn_date AS VARCHAR) AS call_convrstn_date
+        FROM ({REPORT_SQL}) LEFT JOIN facts USING (call_convrstn_id)""",
+    ["un", "facts"],
+)
+def p6_matches(spark, d):
+    convs = V.conversation_facts(spark, d).withColumns(
+        {
+            "pr_name": F.lit(None).cast("string"),
+            "iss_max": F.lit(None).cast("double"),
+            "num": F.lit(None).cast("string"),
+        }
+    )
+    found = jobs.kpi_report(convs, V.utterances(spark, d))["matches"]
+    return found.select(
+        ID,
+        "chunk_id",
+        "text",
+        "mover_match",
+        "cancel_match",
+        "bus_bacct_num",
+        F.col("call_convrstn_date").cast("string").alias("call_convrstn_date"),
+    )
+
+
 @query(
     "p6_sizing_report",
     SIZING_ORACLE,
@@ -357,6 +384,6 @@ def p6_sizing(spark, d):
     convs = sizing_input(spark, d).withColumns(
         {"bus_bacct_num": F.lit(None).cast("string"), "call_convrstn_date": F.lit(None).cast("date")}
     )
-    return jobs.kpi_report(convs, V.utterances(spark, d), V.numbered(spark, d))["sizing"]
+    return jobs.kpi_report(convs, V.utterances(spark, d))["sizing"]
 
 

@@ -218,7 +218,7 @@ _STILL_SQL = (
 @query("s12_read_examples", f"SELECT count(*) AS n FROM ({_STILL_SQL})", ["un"])
 def s12(spark, d):
     path = shared_path(spark, "examples")
-    sinks.export_parquet(sinks.example_rows(jobs.label_matches(V.numbered(spark, d))), path)
+    sinks.export_parquet(sinks.example_rows(jobs.label_matches(V.utterances(spark, d))), path)
     return R.row_count(readers.read_table(spark, path))
 
 
@@ -277,7 +277,7 @@ def k2(spark, d):
     sinks.load_examples(
         spark,
         name,
-        jobs.label_matches(V.numbered(spark, d)),
+        jobs.label_matches(V.utterances(spark, d)),
         shared_path(spark, "staging"),
         location=shared_path(spark, "table"),
     )
@@ -311,7 +311,7 @@ def k3(spark, d):
 def k4(spark, d):
     said = V.numbered(spark, d)
     target = sinks.example_rows(said.withColumnRenamed("sntnce", "text"))
-    source = sinks.example_rows(jobs.label_matches(said))
+    source = sinks.example_rows(jobs.label_matches(V.utterances(spark, d)))
     return sinks.merged(target, source, [ID, "chunk_id"])
 
 

@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callsift import fixed_values as fv
-from callsift.operators.calls import ID
+from callsift import schemas
+from callsift.operators.calls import DATE, ID
 from callsift.operators.intents import IntentPack
 from callsift.operators.ordering import number_rows
-from callsift.session import apply_defaults
+from callsift.session import apply_defaults, shared_path
 from callsift.sources.readers import read_table, spread
 
 # utterances put in place of the invented prose, so that the rules find work
@@ -124,7 +125,25 @@ def conversation_facts(spark: SparkSession, d: str) -> DataFrame:
 # --- nested calls ----------------------------------------------------------------
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
 def calls(spark: SparkSession, d: str) -> DataFrame:
+    """The nested call table, derived from all documents.
+
+    It is stored once per session, by date, as a call table would be: queries
+    then prune dates and nested fields in the scan.
+    """
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _STORED:
+        path = shared_path(spark, "calls")
+        derived = derived_calls(spark, d).hint("rebalance", DATE)
+        derived.write.partitionBy(DATE).parquet(path)
+        _STORED[key] = path
+    return apply_defaults(spark).read.schema(schemas.CALLS).parquet(_STORED[key])
+
+
+def derived_calls(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     n = F.col("doc_id")
 
