@@ -187,24 +187,35 @@ def with_province(
 # --- sentences ---------------------------------------------------------------
 
 
-def sentences(calls: DataFrame) -> DataFrame:
-    """Valid sentences in lower case."""
-    said = calls.select(ID, F.explode("convrstn_sntnce").alias("s"))
-    # single fields of an exploded struct: the scan reads the ones in use
-    return said.filter(
-        (F.col("s.sntnce") != "")
-        & (F.col("s.sntnce") != "\n")
-        & F.col("s.sntnce_partcpnt_role").isNotNull()
-        & F.col("s.sntnce_lang_cd").isNotNull()
-    ).select(
-        ID,
-        F.lower("s.sntnce").alias("sntnce"),
-        F.col("s.sntnce_create_nnsec_qty").alias("sntnce_ts"),
-        "s.sntnce_lang_cd",
-        "s.sntnce_partcpnt_role",
-        "s.sntnce_sntmnt_scor_qty",
-        "s.sntnce_sntmnt_mgntd_qty",
+# column of a sentence -> field of the nested record
+SENTENCE_FIELDS = {
+    "sntnce": "sntnce",
+    "sntnce_ts": "sntnce_create_nnsec_qty",
+    "sntnce_lang_cd": "sntnce_lang_cd",
+    "sntnce_partcpnt_role": "sntnce_partcpnt_role",
+    "sntnce_sntmnt_scor_qty": "sntnce_sntmnt_scor_qty",
+    "sntnce_sntmnt_mgntd_qty": "sntnce_sntmnt_mgntd_qty",
+}
+SAID_BY_WHOM = ("sntnce", "sntnce_lang_cd", "sntnce_partcpnt_role")
+SAID_WHEN = ("sntnce_ts", *SAID_BY_WHOM)
+
+
+def sentences(calls: DataFrame, columns: Sequence[str] = tuple(SENTENCE_FIELDS)) -> DataFrame:
+    """Valid sentences in lower case.
+
+    Only the fields of ``columns`` are read from the nested records; text, role
+    and language have to be among them.
+    """
+    fields = F.arrays_zip(
+        *[F.col(f"convrstn_sntnce.{SENTENCE_FIELDS[c]}").alias(c) for c in columns]
     )
+    said = calls.select(ID, F.inline(fields)).toDF(ID, *columns)
+    return said.filter(
+        (F.col("sntnce") != "")
+        & (F.col("sntnce") != "\n")
+        & F.col("sntnce_partcpnt_role").isNotNull()
+        & F.col("sntnce_lang_cd").isNotNull()
+    ).withColumn("sntnce", F.lower("sntnce"))
 
 
 def role_profile(said: DataFrame, **extra: Column) -> DataFrame:

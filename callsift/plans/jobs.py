@@ -67,7 +67,8 @@ def extract(
     """(conversations, sentences), each with a counterpart in the other."""
     day = C.calls_between(calls, lo, hi)
     said = C.sentences(day)
-    ids = C.eligible_ids(said, settings.min_exchange, settings.allowed_lang)
+    heads = C.sentences(day, C.SAID_BY_WHOM)
+    ids = C.eligible_ids(heads, settings.min_exchange, settings.allowed_lang)
     # whether a conversation has facts shows in its labels and issues alone
     known = C.known_identity(C.call_attributes(day)).select(ID)
     convs = conversation_facts(day, settings).join(ids, ID, "left_semi")
@@ -104,7 +105,7 @@ def naive_daily(
     calls of detected conversations alone.
     """
     day = C.calls_between(calls, lo, hi)
-    said = C.sentences(day)
+    said = C.sentences(day, C.SAID_BY_WHOM)
     rule = rules.naive_rule(F.col("sntnce"), F.col("sntnce_partcpnt_role"), pack)
     profile = C.role_profile(said, hit=F.max(rule))
     hits = (
@@ -188,9 +189,9 @@ def classifier_daily(
     only their sentences are numbered, and only candidates bring their text.
     """
     day = C.calls_between(calls, lo, hi)
-    said = C.sentences(day)
+    said = C.sentences(day, C.SAID_WHEN)
     candidate = rules.mover_candidate(F.col("sntnce"), F.col("sntnce_partcpnt_role"), patterns)
-    profile = C.role_profile(said, hit=F.max(candidate))
+    profile = C.role_profile(C.sentences(day, C.SAID_BY_WHOM), hit=F.max(candidate))
     ids = stage(
         C.eligible(
             profile,

@@ -192,3 +192,37 @@ def test_sizing_and_description(make):
     assert got == {"ON": (3, 3, 2, 1), "QC": (1, 0, 0, 0), "ALL": (5, 4, 3, 1)}
     row = R.describe(R.sentence_counts(said), "sntnce").first()
     assert (row["count"], row["mean"], row["std"], row["min"], row["p75"], row["max"]) == (4, 1.25, 0.5, 1, 1.25, 2)
+
+
+def test_daily_plan_reads_and_moves_little(spark, calls, tmp_path):
+    path = str(tmp_path / "calls")
+    calls.write.partitionBy(C.DATE).parquet(path)
+    stored = spark.read.schema(schemas.CALLS).parquet(path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    job = jobs.naive_daily(stored, "2022-04-11", "2022-04-11")
+    assert ids(job, "convrstn_id") == ["holes", "ok"]
+    plan = job._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 3 and all("2022-04-11" in line for line in scans)
+    said = [line for line in scans if "convrstn_sntnce" in line]
+    assert len(said) == 1 and "sntnce_lang_cd" in said[0].split("ReadSchema")[1]
+    assert "scor_qty" not in said[0].split("ReadSchema")[1]
+    # the sentence aggregation is hash based and comes before any exchange
+    lines = plan.splitlines()
+    first = max(i for i, line in enumerate(lines) if "partial_count(1)" in line)
+    assert "HashAggregate" in lines[first] and "SortAggregate" not in lines[first]
+    assert not any("Exchange" in line for line in lines[first:])
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_large_conversations_in_extraction(spark):
+    """A third of all call records share an id."""
+    rows = [call("big", [("ANI", f"416{i:07d}")], [f"t{i % 3}"], [sentence(f"im moving {i}", 2 * i), sentence("hi", 2 * i + 1, "AGENT")]) for i in range(100)]
+    rows += [call(f"c{i}", [("ANI", "416")], ["a"], TWO_PARTY) for i in range(200)]
+    df = spark.createDataFrame(rows, schemas.CALLS).repartition(7)
+    convs, said = jobs.extract(df, DAY, DAY)
+    assert convs.filter(F.col(ID) == "big").count() == 100
+    assert said.filter(F.col(ID) == "big").count() == 200
+    assert convs.filter(F.col(ID) == "big").first()["topics"] == "t0,t1,t2"
+    found = jobs.naive_daily(df, DAY, DAY)
+    assert found.count() == 300 and found.select("convrstn_id").distinct().count() == 201
