@@ -33,7 +33,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     current = context._jsc.sc().getCheckpointDir()
     if current.isEmpty():
-        shared = context.getConf().get("spark.checkpoint.dir")
+        shared = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="callsift-stage-"))
         current = context._jsc.sc().getCheckpointDir()
     return current.get()
