@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -25,18 +27,38 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_STAGED: dict[str, list[str]] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A folder that every executor sees: the cluster's ``spark.checkpoint.dir``.
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    A session that names none is refused.  Falling back to a folder of the
+    driver's machine would let executors write to their own disks.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None:
+        set_in_context = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if set_in_context.isEmpty():
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = set_in_context.get()
+    return named.rstrip("/")
 
-    Only a session that names none (a local test) gets a folder of its own.
+
+def use_local_folder(spark: SparkSession) -> SparkSession:
+    """For entry points in local mode: a temporary shared folder, if none is named.
+
+    One machine runs everything there.  The folder goes with the process.
     """
-    context = spark.sparkContext
-    current = context._jsc.sc().getCheckpointDir()
-    if current.isEmpty():
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="callsift-stage-"))
-        current = context._jsc.sc().getCheckpointDir()
-    return current.get()
+    if (
+        spark.conf.get("spark.checkpoint.dir", None) is None
+        and spark.sparkContext.master.startswith("local[")
+        and spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty()
+    ):
+        folder = tempfile.mkdtemp(prefix="callsift-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(folder)
+    return spark
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -45,6 +67,31 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once to the shared folder and go on from there.
+
+    Parquet keeps column pruning for what reads it; the plan starts anew, and
+    a lost executor costs no recomputation of what came before.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, "stage")
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that holds it."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete one staged table.  Nothing may read it any more."""
+    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        delete_path(df.sparkSession, path)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete all staged tables of this application, once its results are stored."""
+    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
+        delete_path(spark, path)
