@@ -24,7 +24,7 @@ PARTS = 3
 #: Words of a line that count as one paragraph; longer lines are cut.
 PARAGRAPH_WORDS = 16
 #: Passes over the parts while peeling.
-CYCLES = 5
+CYCLES = 4
 
 
 def paragraphs(text: Column, words: int = PARAGRAPH_WORDS) -> Column:
@@ -151,7 +151,7 @@ def _outcome(peeled: DataFrame, by: list[str]) -> DataFrame:
 def _larger(pairs: DataFrame, salt: int) -> DataFrame:
     """Sketch size for a retry: a power of two in which all digests of both sides would have room."""
     most = F.size("left") + F.size("right")
-    need = F.ceil(most * (0.5 * 2 ** (salt - 1)))
+    need = F.ceil(most * (0.6 * 2 ** (salt - 1)))
     return pairs.withColumn("cells", F.greatest(F.lit(2 * PART), F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(need, F.lit(1))))).cast("int")))
 
 
@@ -163,7 +163,7 @@ def differences(pairs: DataFrame, by: list[str], partition_by: str) -> DataFrame
     """
     difference = subtract(sketch(F.col("left")), sketch(F.col("right")))
     cells = cells_of_sketches(pairs.repartition(partition_by), by, difference)
-    tried = stage(_outcome(peel(cells, by, 0), by))
+    tried = stage(_outcome(peel(cells, by, 0, 3), by))
     solved, salt = [tried.filter("solved")], 0
     stuck = tried.filter("not solved").select(*by)
     while not stuck.isEmpty():

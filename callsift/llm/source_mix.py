@@ -67,9 +67,11 @@ def mix(
     most: float = 3.0,
     seed: int = 0,
     blocks: int = BLOCKS,
-    carry: tuple[str, ...] = (),
+    carry: tuple[str, ...] | list[str] = (),
 ) -> DataFrame:
-    """One row per row of ``df``: key, ``source``, ``size``, ``source_size``, ``target``, ``repeats``, ``taken``.
+    """One row per row of ``df``: key, ``source``, ``size``, ``source_size``, ``target``, ``repeats``, ``taken``, ``carried``.
+
+    ``carried`` is a structure of the columns named in ``carry`` (without any: of the key).
 
     ``repeats`` says how often the mix holds the row and ``taken`` is
     ``repeats * size``.  The rows of a source stand in a seeded order; after
@@ -89,7 +91,7 @@ def mix(
             size.cast("long").alias("size"),
             place.alias("_place"),
             F.pmod(F.xxhash64(F.lit(seed + 1), F.col(key)), F.lit(blocks)).alias("_block"),
-            *[F.col(c) for c in carry if c not in (key, source)],
+            F.struct(*(carry or [key])).alias("carried"),
         )
     )
     sums = rows.groupBy("source", "_block").agg(F.sum("size").alias("_sum"))
@@ -113,5 +115,5 @@ def mix(
         rows.join(plan, F.col("source").eqNullSafe(F.col("_of")) & (F.col("_block") == F.col("_at")))
         .withColumn("repeats", (F.col("_whole") + more.cast("int")).cast("long"))
         .withColumn("taken", F.col("repeats") * F.col("size"))
-        .select(key, "source", "size", "source_size", "target", "repeats", "taken", *[c for c in carry if c not in (key, source)])
+        .select(key, "source", "size", "source_size", "target", "repeats", "taken", "carried")
     )

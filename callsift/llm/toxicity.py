@@ -29,14 +29,14 @@ class Settings:
     the smallest seeded hash of their key.  ``features`` bounds the weights.
     """
 
-    features: int = 1 << 18
+    features: int = 1 << 22
     skips: tuple[int, ...] = (1, 2, 3)
-    alpha: float = 0.3
+    alpha: float = 6.0
     beta: float = 1.0
-    l1: float = 1.5
-    l2: float = 0.5
-    epochs: int = 3
-    most_rows: int = 12_000
+    l1: float = 6.0
+    l2: float = 0.0
+    epochs: int = 6
+    most_rows: int = 16_000
     seed: int = 7
 
 
