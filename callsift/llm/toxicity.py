@@ -57,7 +57,8 @@ def features(texts: pa.Array, settings: Settings) -> tuple[np.ndarray, np.ndarra
             found.append(mix(pair))
             owners.append(owner[:-skip][same])
     bucket = np.concatenate(found) % np.uint64(settings.features)
-    keys = np.unique(np.concatenate(owners).astype(np.int64) * settings.features + bucket.astype(np.int64))
+    keys = np.sort(np.concatenate(owners).astype(np.int64) * settings.features + bucket.astype(np.int64))
+    keys = keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
     return (keys % settings.features).astype(np.int32), np.bincount(keys // settings.features, minlength=len(counts))
 
 
