@@ -56,18 +56,6 @@ PATTERNS = {
     ],
 }
 
-# --- fixed values: words of which a family's matches hold at least one --------
-# A text without any of them cannot match, so the expressions need not run.
-GATES = {
-    "movers": ["moving", "move", "realestat", "house", "reltor"],
-    "cancel": ["end", "stop", "terminat", "cancel", "shut", "finish", "break"],
-    "holiday": ["holiday", "off", "mov", "rest"],
-    "expression": ["mov"],
-    "things": ["mov"],
-    "negation": ["mov"],
-    "past": ["mov"],
-}
-
 # --- fixed values: filler words removed from text ---------------------------
 FILLER_WORDS = [
     "yes", "no", "yeah", "ok", "okey", "okay", "mhm", "mm", "oh", "ho",

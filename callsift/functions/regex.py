@@ -27,8 +27,17 @@ def fuse(patterns: Sequence[str]) -> str:
     return java("|".join(f"(?:{p})" for p in patterns))
 
 
-# words that a match of a shipped pattern cannot do without
-_GATE_OF = {p: fv.GATES[f] for f, patterns in fv.PATTERNS.items() for p in patterns}
+# Words without one of which no pattern of the family can match: a cheap test before the heavy one.
+GATES = {
+    "movers": ["moving", "move", "realestat", "house", "reltor"],
+    "cancel": ["end", "stop", "terminat", "cancel", "shut", "finish", "break"],
+    "holiday": ["holiday", "off", "mov", "rest"],
+    "expression": ["mov"],
+    "things": ["mov"],
+    "negation": ["mov"],
+    "past": ["mov"],
+}
+_GATE_OF = {p: GATES[f] for f, patterns in fv.PATTERNS.items() for p in patterns}
 
 
 def any_match(text: Column, patterns: Sequence[str], gate: bool = True) -> Column:

@@ -61,7 +61,8 @@ def joined_distinct(column: str | Column) -> Column:
 
     Sets are merged in the map tasks, so repeated values never travel.
     """
-    return F.nullif(F.array_join(F.array_sort(F.collect_set(column)), ","), F.lit(""))
+    found = F.collect_set(column)
+    return F.when(F.size(found) > 0, F.array_join(F.array_sort(found), ","))
 
 
 def label_attributes(calls: DataFrame) -> DataFrame:
@@ -184,6 +185,13 @@ def with_province(
     return df.withColumn("pr_name", province(F.col(number), area_codes))
 
 
+def with_province_by_join(df: DataFrame, codes: DataFrame, number: str = "telephone") -> DataFrame:
+    """F7 with a table ``(code, prvnce)`` of any size, one row for each code."""
+    prefix = F.substring(F.col(number).cast("string"), 1, 3)
+    named = codes.select(F.col("code").alias("_code"), F.col("prvnce").alias("pr_name"))
+    return df.join(named, prefix == F.col("_code"), "left").drop("_code")
+
+
 # --- sentences ---------------------------------------------------------------
 
 

@@ -13,7 +13,7 @@ from callsift.functions.text import remove_tokens, training_tokens
 from callsift.functions.vectors import let
 from callsift.operators.calls import ID
 from callsift.operators.intents import IntentPack, intent_distances
-from callsift.operators.lexicon import replace_words
+from callsift.operators.lexicon import replace_words, replace_words_by_join
 from callsift.operators.ordering import hash_ranks
 from callsift.operators.rules import (
     Pack,
@@ -201,10 +201,20 @@ def training_text(
     text: str,
     words: Sequence[str],
     tags: Sequence[str] | None,
-    forms: Mapping[str, str] | None = None,
+    forms: Mapping[str, str] | DataFrame | None = None,
+    key: str | None = None,
 ) -> DataFrame:
-    """Normalised text, words joined by blanks."""
+    """Normalised text, words joined by blanks.
+
+    ``forms`` may be a table ``(form, lemma)`` of any size; that takes ``key``,
+    a unique column.
+    """
     tokens = training_tokens(F.col(text), words, tags)
+    if isinstance(forms, DataFrame):
+        if key is None:
+            raise ValueError("a table of forms takes a unique key")
+        replaced = replace_words_by_join(df.withColumn("_tokens", tokens), key, "_tokens", forms)
+        return replaced.withColumn("text_clean", F.array_join("_tokens", " ")).drop("_tokens")
     if forms:
         tokens = replace_words(tokens, forms)
     return df.withColumn("text_clean", F.array_join(tokens, " "))
@@ -219,12 +229,12 @@ def build_training_data(
     tie: Sequence[str],
     words: Sequence[str] = (),
     tags: Sequence[str] | None = None,
-    forms: Mapping[str, str] | None = None,
+    forms: Mapping[str, str] | DataFrame | None = None,
     ratio: float = fv.TEST_RATIO_TEXT,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """M9: (all, train, test) of a text training set with equal classes."""
     equal = balanced(df, label, hash_column, hash_range, tie)
-    whole = training_text(equal, text, words, tags, forms)
+    whole = training_text(equal, text, words, tags, forms, tie[0])
     train, test = split_rows(whole, ratio, hash_column, hash_range, tie)
     columns = [*tie, F.col("text_clean").alias("x"), F.col(label).alias("y")]
     return whole.select(*columns), train.select(*columns), test.select(*columns)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from callsift.functions.text import sub_sentences
 from callsift.functions.vectors import distances_to
+from callsift.session import stage
 
 # a batch encoder is built once per Python worker and maps texts to a matrix
 BatchEncoder = Callable[[list[str]], np.ndarray]
@@ -394,19 +395,36 @@ def opposed_distances(chunks: DataFrame, text: str, pack: OpposedPack, how: str
 
 
 def encode_texts(df: DataFrame, text: str, batch_encoder, out: str = "vec") -> DataFrame:
-    """A vector per row; each Arrow batch encodes a repeated text once."""
+    """A vector per row.  A text that is repeated is encoded once in the whole job; null counts as empty."""
 
     @F.pandas_udf("array<float>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = batch_encoder()
         for texts in batches:
-            if len(texts) == 0:
-                yield pd.Series([], dtype=object)
-                continue
-            distinct, back = np.unique(texts.to_numpy(dtype=object), return_inverse=True)
-            yield pd.Series(list(np.asarray(model(list(distinct)), dtype="float32")[back]))
+            vectors = np.asarray(model(texts.tolist()), dtype="float32") if len(texts) else []
+            yield pd.Series(list(vectors), dtype=object)
 
-    return df.withColumn(out, encode(F.col(text)))
+    said = F.coalesce(F.col(text), F.lit(""))
+    distinct = df.select(said.alias("_text")).distinct()
+    table = stage(distinct.withColumn(out, encode(F.col("_text"))))
+    return join_vectors(df, text, table, out)
+
+
+def join_vectors(df: DataFrame, text: str, table: DataFrame, out: str = "vec") -> DataFrame:
+    """I1 with vectors computed before: ``table`` holds ``_text`` and ``out``, a text at most once."""
+    return df.join(table, F.coalesce(F.col(text), F.lit("")) == F.col("_text"), "left").drop("_text")
+
+
+def encode_hashed(df: DataFrame, text: str, width: int = 384, out: str = "vec", unit: bool = False) -> DataFrame:
+    """I1 without a model and without Python: counts of words by hash, at unit length if asked for."""
+    from pyspark.ml.feature import HashingTF, Normalizer
+    from pyspark.ml.functions import vector_to_array
+
+    words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+"), lambda w: w != "")
+    counted = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=width).transform(df.withColumn("_words", words))
+    if unit:
+        counted = Normalizer(inputCol="_counts", outputCol="_unit").transform(counted).drop("_counts")
+    return counted.withColumn(out, vector_to_array("_unit" if unit else "_counts", "float32")).drop("_words", "_counts", "_unit")
 
 
 # --- built-in encoders -------------------------------------------------------------

@@ -1,9 +1,9 @@
 """Positions and ranks that survive a key holding a large share of the rows.
 
 A window partitioned by a key sends all rows of the key to one task.  That is
-the cheapest plan while keys are small, so it is used after a look at the
-largest key; otherwise rows are numbered in a range-partitioned sort, whose
-partitions cut through a key.
+the cheapest plan where keys are small by nature, as conversations are.  Where
+they are not, the caller asks for a range-partitioned sort, whose partitions
+cut through a key.  No plan is picked by looking at the data.
 """
 
 from __future__ import annotations
@@ -15,17 +15,9 @@ from pyspark.sql import functions as F
 
 from callsift.session import stage
 
-# rows of one key that one task may sort
-MAX_ROWS_PER_KEY = 2_000_000
 _ROW_BITS = 33
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the most frequent key; reads the key columns only."""
-    row = df.groupBy(*keys).count().agg(F.max("count").alias("n")).first()
-    return row["n"] or 0
-
-
 def global_positions(df: DataFrame, order: Sequence[Column | str], out: str = "position") -> DataFrame:
     """Dense position of every row in the global order, from 0.
 
@@ -56,18 +48,19 @@ def number_rows(
     key: str,
     order: Sequence[str],
     out: str = "chunk_id",
-    max_rows: int | None = MAX_ROWS_PER_KEY,
-    largest: int | None = None,
+    large_keys: bool = False,
 ) -> DataFrame:
     """Position of each row within its key, from 0.
 
-    ``order`` has to be unique within the key.  ``largest`` is the size of the
-    largest key where it is known; otherwise it is looked up.
-    ``max_rows=None`` states that no key is large.
+    Rows that are equal in ``order`` follow a hash of the whole row, so
+    positions do not depend on the order in which rows arrive.
+
+    ``large_keys`` names the plan.  False: a window for each key, for keys
+    whose rows one task can sort.  True: one sort over all rows that is staged,
+    whatever a key holds.
     """
-    if max_rows is not None and largest is None:
-        largest = largest_group(df, [key])
-    if max_rows is None or largest <= max_rows:
+    order = [*order, F.xxhash64(*df.columns)]
+    if not large_keys:
         window = Window.partitionBy(key).orderBy(*order)
         return df.withColumn(out, (F.row_number().over(window) - 1).cast("long"))
     numbered = global_positions(df, [key, *order], "_position")
@@ -94,8 +87,12 @@ def first_rows(df: DataFrame, key: str, order: Sequence[str], n: int) -> DataFra
 
 
 def mixed(column: Column) -> Column:
-    """Arithmetic hash of an integer id, within [0, 1000003)."""
-    return F.pmod(column.cast("long") * F.lit(2654435761), F.lit(1000003))
+    """Arithmetic hash of an integer id, within [0, 1000003).
+
+    Ids that are no integers, null among them, are hashed to one first.
+    """
+    number = F.coalesce(column.try_cast("long"), F.xxhash64(column))
+    return F.pmod(F.pmod(number, F.lit(MIXED_RANGE)) * F.lit(2654435761), F.lit(MIXED_RANGE))
 
 
 MIXED_RANGE = 1000003
@@ -108,15 +105,18 @@ def hash_ranks(
     tie: Sequence[str],
     by: Sequence[str] = (),
     out: str = "hash_rank",
-    blocks: int = 1024,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Rank from 1 in the order of a uniform hash, per group ``by`` or overall.
 
     The hash range is cut into blocks, so a group of any size spreads over
-    ``blocks`` tasks: ranks within a block plus the sizes of earlier blocks.
+    ``blocks`` tasks (16 for each shuffle partition unless stated otherwise):
+    ranks within a block plus the sizes of earlier blocks.  A null hash counts
+    as 0, and ``tie`` goes on from there, nulls first.
     """
     by = list(by)
-    cut = df.withColumn("_hash", hash_column).withColumn(
+    blocks = blocks or 16 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = df.withColumn("_hash", F.coalesce(hash_column, F.lit(0))).withColumn(
         "_block", F.floor(F.col("_hash") * F.lit(blocks) / F.lit(hash_range)).cast("int")
     )
     sizes = cut.groupBy(*by, "_block").agg(F.count(F.lit(1)).alias("_n"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from callsift import fixed_values as fv
 from callsift.functions.regex import any_match
 from callsift.operators.calls import ID
-from callsift.operators.ordering import MAX_ROWS_PER_KEY, first_rows, hash_ranks, number_rows
+from callsift.operators.ordering import first_rows, hash_ranks, number_rows
 from callsift.session import stage
 
 Pack = Mapping[str, Sequence[str]]
@@ -74,7 +74,7 @@ def slim_sentences(
 
 
 def number_kept(
-    said: DataFrame, keep: Column, max_rows: int | None = MAX_ROWS_PER_KEY
+    said: DataFrame, keep: Column, large_keys: bool = False
 ) -> DataFrame:
     """W1 for the sentences that ``keep`` holds for.
 
@@ -86,7 +86,7 @@ def number_kept(
         "sntnce_ts",
         F.when(keep, F.struct(_TEXT, _ROLE)).alias("_kept"),
     )
-    numbered = number_rows(slim, ID, ["sntnce_ts"], max_rows=max_rows)
+    numbered = number_rows(slim, ID, ["sntnce_ts"], large_keys=large_keys)
     return numbered.filter(F.col("_kept").isNotNull()).select(
         ID, "sntnce_ts", "_kept.*", "chunk_id"
     )

@@ -19,6 +19,7 @@ from callsift.operators import rules
 from callsift.operators.intents import IntentPack
 from callsift.operators.ordering import number_rows
 from callsift.session import stage
+from callsift.sources import sinks
 from callsift.sources.sinks import detection_rows
 
 ID = C.ID
@@ -140,12 +141,11 @@ def _classified(
     scorer: Scorer,
     patterns: rules.Pack,
     mode: str,
-    max_rows: int | None,
-    largest: int | None = None,
+    large_keys: bool,
     **encoder,
 ) -> DataFrame:
     numbered = rules.notable(
-        number_rows(slim, ID, ["sntnce_ts"], max_rows=max_rows, largest=largest)
+        number_rows(slim, ID, ["sntnce_ts"], large_keys=large_keys)
     )
     features = X.conversation_features(numbered, pack, patterns, mode=mode, **encoder)
     # the best score passes the threshold if any does; asking it last keeps the
@@ -161,12 +161,15 @@ def detect_classified(
     scorer: Scorer,
     patterns: rules.Pack = fv.PATTERNS,
     mode: str = "after",
-    max_rows: int | None = 2_000_000,
+    large_keys: bool = False,
     **encoder,
 ) -> DataFrame:
-    """Conversations above the threshold, with their best score."""
+    """Conversations above the threshold, with their best score.
+
+    ``large_keys`` as in ``number_rows``.
+    """
     return _classified(
-        rules.slim_sentences(said, patterns), pack, scorer, patterns, mode, max_rows, **encoder
+        rules.slim_sentences(said, patterns), pack, scorer, patterns, mode, large_keys, **encoder
     )
 
 
@@ -180,7 +183,7 @@ def classifier_daily(
     patterns: rules.Pack = fv.PATTERNS,
     mode: str = "after",
     refresh_date: Column | None = None,
-    max_rows: int | None = 2_000_000,
+    large_keys: bool = False,
     **encoder,
 ) -> DataFrame:
     """Rows for the detection table.
@@ -198,14 +201,12 @@ def classifier_daily(
             settings.min_exchange,
             settings.allowed_lang,
             hit=F.max("hit"),
-            sentences=F.sum("n"),
         )
         .filter("hit")
-        .select(ID, "sentences")
+        .select(ID)
     )
-    largest = ids.agg(F.max("sentences")).first()[0] or 0
     slim = rules.slim_sentences(said, patterns).join(ids, ID, "left_semi")
-    detected = _classified(slim, pack, scorer, patterns, mode, max_rows, largest, **encoder)
+    detected = _classified(slim, pack, scorer, patterns, mode, large_keys, **encoder)
     return _load_rows(day, detected.withColumnRenamed("conv_id", ID), settings, refresh_date)
 
 
@@ -284,6 +285,42 @@ def train(
     return model, log, first, second
 
 
+def load_naive_daily(spark, calls: DataFrame, lo, hi, table: str, location: str | None = None, **settings) -> None:
+    """P2 to its end: the day's detections are in the table.  Running it again changes nothing."""
+    rows = sinks.one_per_conversation(naive_daily(calls, lo, hi, **settings))
+    sinks.load_detections(spark, table, rows, location)
+
+
+def load_classifier_daily(
+    spark, calls: DataFrame, lo, hi, pack: IntentPack, scorer: Scorer, table: str, location: str | None = None, **settings
+) -> None:
+    """P3 to its end, as above."""
+    rows = sinks.one_per_conversation(classifier_daily(calls, lo, hi, pack, scorer, **settings))
+    sinks.load_detections(spark, table, rows, location)
+
+
+def load_examples_daily(spark, said: DataFrame, table: str, location: str | None = None, **settings) -> None:
+    """P4 to its end: the drawn examples are in the table."""
+    sinks.load_examples(spark, table, sinks.one_per_place(label_examples(said, **settings)), location)
+
+
+def train_and_store(features: DataFrame, n_intents: int, folder: str, **settings) -> L.LogisticClassifier:
+    """P5 to its end: grid, refit, and model, data and log stored in ``folder``.  Returns the model as reloaded."""
+    model, log, first, second = train(features, n_intents, **settings)
+    sinks.save_model(model.model, f"{folder}/model")
+    sinks.save_data(first, second, f"{folder}/data")
+    sinks.save_log(log, f"{folder}/log")
+    return load_classifier(model.feature_names, f"{folder}/model")
+
+
+def load_classifier(feature_names: Sequence[str], path: str) -> L.LogisticClassifier:
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    found = L.LogisticClassifier(feature_names)
+    found.model = sinks.load_model(LogisticRegressionModel, path)
+    return found
+
+
 def kpi_report(
     convs: DataFrame, said: DataFrame, pack: rules.Pack = fv.PATTERNS
 ) -> dict[str, DataFrame]:
@@ -309,8 +346,13 @@ __all__ = [
     "extract",
     "kpi_report",
     "label_examples",
+    "load_classifier",
+    "load_classifier_daily",
+    "load_examples_daily",
+    "load_naive_daily",
     "naive_daily",
     "train",
+    "train_and_store",
     "training_features",
     "union_days",
     "weights_scorer",

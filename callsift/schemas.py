@@ -74,9 +74,11 @@ EXAMPLES = StructType(
     ]
 )
 
-MAX_LENGTHS = {
-    "convrstn_id": 30,
-    "call_convrstn_id": 30,
-    "telephone": 20,
-    "topic": 30,
+# Columns that hold one value each.  A telephone column holds all numbers of
+# a conversation, so it has no limit.
+MAX_LENGTHS = {"convrstn_id": 30, "call_convrstn_id": 30, "topic": 30}
+
+TABLE_COMMENTS = {
+    "DETECTIONS": "detected conversations, one row each",
+    "EXAMPLES": "sentences to label, one row for each conversation and position",
 }

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +12,10 @@ from pyspark.sql.types import StructType
 from callsift import fixed_values as fv
 from callsift.functions.regex import geo_pattern
 
-# entries a lookup may have to be held as constants of a plan
-MAX_LOOKUP = 10_000
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as one string, from wherever Spark reads."""
+    return spark.read.text(path, wholetext=True).first()["value"]
 
 
 def run_sql(
@@ -26,7 +27,7 @@ def run_sql(
     """Run a statement given as text or as a file; values are bound, not pasted."""
     if sql is None and path is None:
         raise ValueError("give the text of a statement or the path of a file")
-    text = sql if sql is not None else Path(path).read_text()
+    text = sql if sql is not None else read_text(spark, path)
     return spark.sql(text, args=dict(args or {}))
 
 
@@ -36,10 +37,13 @@ def read_csv(
     schema: StructType | str,
     sep: str = ",",
     blank: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """A file with a header; quoted fields may hold line ends.
+    """Files with a header.
 
-    ``blank`` turns missing strings into empty ones.
+    ``multi_line`` is for files whose quoted fields hold line ends; such a file
+    is read by one task, others are split.  ``blank`` turns missing strings
+    into empty ones.
     """
     rows = (
         spark.read.schema(schema)
@@ -47,19 +51,21 @@ def read_csv(
         .option("sep", sep)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .csv(path)
     )
     return rows.na.fill("") if blank else rows
 
 
-def read_area_codes(spark: SparkSession, path: str) -> dict[str, str]:
-    """Code -> province, the code as text."""
+def area_codes(spark: SparkSession, path: str) -> DataFrame:
+    """(code, prvnce), the code as text; each code once.  For ``with_province_by_join``."""
     rows = read_csv(spark, path, "code string, prvnce string")
-    found = rows.limit(MAX_LOOKUP + 1).collect()
-    if len(found) > MAX_LOOKUP:
-        raise ValueError("not an area-code file: too many rows")
-    return {r["code"]: r["prvnce"] for r in found}
+    return rows.groupBy("code").agg(F.min("prvnce").alias("prvnce"))
+
+
+def read_area_codes(spark: SparkSession, path: str) -> dict[str, str]:
+    """Code -> province, for use in expressions.  There are at most 1,000 codes of three digits."""
+    return {r["code"]: r["prvnce"] for r in area_codes(spark, path).collect()}
 
 
 def stopwords(
@@ -75,11 +81,12 @@ def stopwords(
 
 
 def stopword_list(spark: SparkSession, path: str | None = None, others: Sequence[str] = ()) -> list[str]:
-    """The same words, sorted, for use in expressions."""
-    found = stopwords(spark, path, others).limit(MAX_LOOKUP + 1).collect()
-    if len(found) > MAX_LOOKUP:
-        raise ValueError("not a stopword file: too many words")
-    return sorted(r["word"] for r in found)
+    """The same words, sorted, for use in expressions.
+
+    They come to the driver; ``lexicon.drop_words_by_join`` takes the table of
+    ``stopwords`` as it is.
+    """
+    return sorted(r["word"] for r in stopwords(spark, path, others).collect())
 
 
 def read_pack(path: str | None = None) -> tuple[dict[str, list[str]], list[str], list[str]]:
@@ -88,7 +95,7 @@ def read_pack(path: str | None = None) -> tuple[dict[str, list[str]], list[str],
         return dict(fv.PATTERNS), list(fv.FILLER_WORDS), list(fv.TAGS)
     import yaml
 
-    content = yaml.safe_load(Path(path).read_text())
+    content = yaml.safe_load(read_text(SparkSession.active(), path))
     families = {
         k.removeprefix("regex_"): v for k, v in content.items() if k.startswith("regex_")
     }
@@ -149,26 +156,15 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     return spark.table(name_or_path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Even out a scan that has fewer splits than the session has cores.
-
-    A row group is read by one task, however many cores wait.  ``key`` is a
-    unique column.  A scan with enough splits is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def read_training(
     spark: SparkSession,
     path: str,
     schema: StructType | str,
     stopword_path: str | None = None,
     pack_path: str | None = None,
+    multi_line: bool = False,
 ) -> tuple[DataFrame, list[str], list[str]]:
     """(rows, stopwords with the pack's words to remove, tags)."""
     _, fillers, tags = read_pack(pack_path)
     words = stopword_list(spark, stopword_path, fillers)
-    return read_csv(spark, path, schema), words, tags
+    return read_csv(spark, path, schema, multi_line=multi_line), words, tags

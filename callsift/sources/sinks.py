@@ -4,33 +4,59 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from callsift import fixed_values as fv
 from callsift import schemas
 from callsift.operators.calls import ID
+from callsift.session import stage
 
 _MERGE_FORMATS = {"delta", "iceberg", "hudi"}
 
 
+# parts that an upsert rewrites one by one; a column of its own at the end of the table
+BUCKET = "key_bucket"
+BUCKETS = 64
+
+
 def ensure_table(
     spark: SparkSession,
     name: str,
     schema: StructType,
     fmt: str = "parquet",
     location: str | None = None,
+    comment: str = "",
 ) -> None:
-    """K1, K2: create the table with its column comments unless it exists."""
+    """K1, K2: create the table, with its comments, unless it exists.
+
+    Formats without row-level changes are partitioned by a bucket of the key.
+    """
     columns = []
     for f in schema.fields:
-        comment = (f.metadata or {}).get("comment", "").replace("'", "\\'")
+        said = _quoted((f.metadata or {}).get("comment", ""))
         columns.append(
-            f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT '{comment}'" if comment else "")
+            f"`{f.name}` {f.dataType.simpleString()}"
+            + ("" if f.nullable else " NOT NULL")
+            + (f" COMMENT {said}" if said != "''" else "")
         )
+    parts = ""
+    if fmt not in _MERGE_FORMATS:
+        columns.append(f"`{BUCKET}` int COMMENT 'bucket of the key'")
+        parts = f" PARTITIONED BY (`{BUCKET}`)"
     place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}) USING {fmt}{place}")
+    note = f" COMMENT {_quoted(comment)}" if comment else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}) USING {fmt}{parts}{place}{note}")
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def stored(spark: SparkSession, name: str) -> DataFrame:
+    """The rows of a table without its bucket."""
+    return spark.table(name).drop(BUCKET)
 
 
 def checked(df: DataFrame, schema: StructType) -> DataFrame:
@@ -65,33 +91,40 @@ def merged(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
     return target.join(source.select(*keys), list(keys), "left_anti").unionByName(source)
 
 
-def upsert_table(
-    spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str], staging: str
-) -> None:
+def upsert_table(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str]) -> None:
     """K3, K4 on a stored table; an empty source changes nothing.
 
-    Row-level formats take one MERGE.  Others are rewritten: the new content is
-    complete in the staging folder before the table is touched, so it is there
-    again if the last step fails.
+    Row-level formats take one MERGE.  Others are partitioned by a bucket of
+    the key, and only buckets that the source touches are written anew, next
+    to the old files; the last step of the job puts them in their place.
     """
-    columns = spark.table(name).columns
-    source = source.select(*columns).persist()
+    columns = [c for c in spark.table(name).columns if c != BUCKET]
+    source = stage(source.select(*columns))
+    if source.isEmpty():
+        return
+    require_unique(source, keys)
+    if _format_of(spark, name) in _MERGE_FORMATS:
+        on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+        spark.sql(
+            f"MERGE INTO {name} t USING {{source}} s ON {on} "
+            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *",
+            source=source,
+        )
+        return
+    bucketed = source.withColumn(BUCKET, key_bucket(keys))
+    touched = [r[BUCKET] for r in bucketed.select(BUCKET).distinct().collect()]  # at most BUCKETS
+    target = spark.table(name).filter(F.col(BUCKET).isin(touched))
+    whole = merged(target, bucketed, keys).select(*columns, BUCKET).repartition(F.col(BUCKET))
+    mode, before = "spark.sql.sources.partitionOverwriteMode", spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set(mode, "dynamic")
     try:
-        if source.isEmpty():
-            return
-        require_unique(source, keys)
-        if _format_of(spark, name) in _MERGE_FORMATS:
-            source.createOrReplaceTempView("_upsert_source")
-            on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
-            spark.sql(
-                f"MERGE INTO {name} t USING _upsert_source s ON {on} "
-                "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
-            )
-            return
-        merged(spark.table(name), source, keys).write.mode("overwrite").parquet(staging)
-        spark.read.parquet(staging).select(*columns).write.insertInto(name, overwrite=True)
+        whole.write.insertInto(name, overwrite=True)
     finally:
-        source.unpersist()
+        spark.conf.set(mode, before)
+
+
+def key_bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
 
 
 def _format_of(spark: SparkSession, name: str) -> str:
@@ -139,21 +172,34 @@ def example_rows(matches: DataFrame) -> DataFrame:
     return matches.select(ID, F.col("chunk_id").cast("bigint").alias("chunk_id"), "text")
 
 
-def load_detections(
-    spark: SparkSession, name: str, rows: DataFrame, staging: str, location: str | None = None
-) -> None:
+def one_per_conversation(rows: DataFrame) -> DataFrame:
+    """One detection row for each conversation id.
+
+    An id that several calls share has several rows; the one of the latest
+    call stays, among those of one day the one with the least source, account
+    number and telephone (a missing one comes last).
+    """
+    order = [F.desc_nulls_last("call_date"), *map(F.asc_nulls_last, ("src_id", "ban", "telephone"))]
+    place = F.row_number().over(Window.partitionBy("convrstn_id").orderBy(*order))
+    return rows.withColumn("_place", place).filter("_place = 1").drop("_place")
+
+
+def one_per_place(rows: DataFrame) -> DataFrame:
+    """One example for each conversation and position, the least text where several stand there."""
+    return rows.groupBy(ID, "chunk_id").agg(F.min("text").alias("text"))
+
+
+def load_detections(spark: SparkSession, name: str, rows: DataFrame, location: str | None = None) -> None:
     """K1 and K3: rows of ``detection_rows`` into the detection table."""
-    ensure_table(spark, name, schemas.DETECTIONS, location=location)
-    upsert_table(spark, name, checked(rows, schemas.DETECTIONS), ["convrstn_id"], staging)
+    ensure_table(spark, name, schemas.DETECTIONS, location=location, comment=schemas.TABLE_COMMENTS["DETECTIONS"])
+    upsert_table(spark, name, checked(rows, schemas.DETECTIONS), ["convrstn_id"])
 
 
-def load_examples(
-    spark: SparkSession, name: str, examples: DataFrame, staging: str, location: str | None = None
-) -> None:
+def load_examples(spark: SparkSession, name: str, examples: DataFrame, location: str | None = None) -> None:
     """K2, K4 and K6 in turn."""
-    ensure_table(spark, name, schemas.EXAMPLES, location=location)
+    ensure_table(spark, name, schemas.EXAMPLES, location=location, comment=schemas.TABLE_COMMENTS["EXAMPLES"])
     rows = checked(example_rows(examples), schemas.EXAMPLES)
-    upsert_table(spark, name, rows, [ID, "chunk_id"], staging)
+    upsert_table(spark, name, rows, [ID, "chunk_id"])
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ",") -> None:
@@ -176,6 +222,12 @@ def load_model(model_class, path: str):
     return model_class.load(path)
 
 
+def save_data(train: DataFrame, test: DataFrame, path: str) -> None:
+    """K8: the rows that a model was fitted and tested on, by part."""
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    both.write.mode("overwrite").partitionBy("part").parquet(path)
+
+
 def save_log(log: DataFrame, path: str) -> None:
-    """K8: the accuracies of a grid search."""
+    """K8: the accuracies of a grid search, one row for each fit."""
     log.coalesce(1).write.mode("overwrite").json(path)

@@ -399,9 +399,24 @@ def w1_global(spark, d):
     ["sn"],
 )
 def w1_large(spark, d):
-    """The plan taken when a conversation is too long for one task."""
+    """The plan for conversations that are too long for one task."""
     said = C.sentences(V.calls(spark, d)).select(ID, "sntnce_ts")
-    return number_rows(said, ID, ["sntnce_ts"], max_rows=100)
+    return number_rows(said, ID, ["sntnce_ts"], large_keys=True)
+
+
+@query(
+    "w1_repeated_times",
+    """SELECT call_convrstn_id, ts, sntnce_partcpnt_role AS role, sntnce,
+        row_number() OVER (PARTITION BY call_convrstn_id ORDER BY ts, sntnce_partcpnt_role, sntnce) - 1 AS chunk_id
+        FROM (SELECT *, sntnce_ts // 3 AS ts FROM u)""",
+    ["u"],
+)
+def w1_ties(spark, d):
+    """Several sentences of one time: their order is that of the columns named after it."""
+    said = V.utterances(spark, d).select(
+        ID, F.floor(F.col("sntnce_ts") / 3).alias("ts"), F.col("sntnce_partcpnt_role").alias("role"), "sntnce"
+    )
+    return number_rows(said, ID, ["ts", "role", "sntnce"])
 
 
 @query(

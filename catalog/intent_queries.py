@@ -338,9 +338,26 @@ def i13(spark, d):
     return V.references(spark, d).groupBy("intent").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("i1_encoded_sentences")
+@query(
+    "i1_encoded_sentences",
+    r"SELECT doc_id, CAST(len(list_filter(string_split_regex(text, '\s+'), lambda t: t <> '')) AS DOUBLE) AS total FROM documents",
+)
 def i1(spark, d):
     docs = V.table(spark, d, "documents").select("doc_id", "text")
-    return I.encode_texts(docs, "text", I.hashed_words(64)).select(
+    return I.encode_hashed(docs, "text", 64).select(
+        "doc_id", F.round(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x), 3).alias("total")
+    )
+
+
+@query(
+    "i1_repeated_sentences",
+    r"""SELECT doc_id, CAST(len(list_filter(string_split_regex(coalesce(text, ''), '\s+'), lambda t: t <> '')) AS DOUBLE) AS total
+    FROM (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 3 = 0 THEN 'said by many' ELSE text END AS text FROM documents)""",
+)
+def i1_repeated(spark, d):
+    """A batch encoder over distinct texts, some of them missing and one of them said by a third of all."""
+    text = F.when(F.col("doc_id") % 7 == 0, F.lit(None)).when(F.col("doc_id") % 3 == 0, F.lit("said by many")).otherwise(F.col("text"))
+    rows = V.table(spark, d, "documents").select("doc_id", text.alias("text"))
+    return I.encode_texts(rows, "text", I.hashed_words(64)).select(
         "doc_id", F.round(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x), 3).alias("total")
     )

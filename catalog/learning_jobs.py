@@ -126,17 +126,43 @@ def m3(spark, d):
     ).withColumn("value", F.round("value", 6))
 
 
-@query("m4_logistic_fit")
+NAMES = [f"v{i}" for i in range(64)]
+_EACH_NAME = f"SELECT unnest({V.sql_list(NAMES)}) AS feature, TRUE AS at_optimum"
+
+
+def _gradient(model, rows):
+    """Of the stated objective, mean loss plus half the squared weights by C n, for each weight: zero at the optimum."""
+    from pyspark.ml.functions import vector_to_array
+
+    n = rows.count()
+    miss = F.col("detection_score") - F.col("label")
+    each = model.predict(rows).select(F.posexplode(vector_to_array("features")).alias("at", "x"), miss.alias("miss"))
+    return each.groupBy("at").agg((F.sum(F.col("x") * F.col("miss")) / n).alias("loss")).join(
+        rows.sparkSession.createDataFrame(
+            [(i, f, float(w) / (model.params["C"] * n)) for i, (f, w) in enumerate(zip(NAMES, model.model.coefficients, strict=True))],
+            "at int, feature string, penalty double",
+        ),
+        "at",
+    ).select("feature", (F.abs(F.col("loss") + F.col("penalty")) < 1e-3).alias("at_optimum"))
+
+
+@query("m4_logistic_fit", _EACH_NAME)
 def m4(spark, d):
     rows = labelled_vectors(spark, d)
-    return L.LogisticClassifier([f"v{i}" for i in range(64)]).fit(rows).importance(rows)
+    return _gradient(L.LogisticClassifier(NAMES).fit(rows), rows)
 
 
-@query("m5_predictions")
+@query("m5_predictions", "SELECT vec_id, TRUE AS as_stated FROM embeddings")
 def m5(spark, d):
+    """The probability is that of the coefficients as a plain expression, the class that of the probability."""
+    from pyspark.ml.functions import vector_to_array
+
     rows = labelled_vectors(spark, d)
-    model = L.LogisticClassifier([f"v{i}" for i in range(64)]).fit(rows)
-    return model.predict(rows).select("vec_id", "prediction", "detection_score")
+    model = L.LogisticClassifier(NAMES).fit(rows)
+    plain = L.logistic_score(vector_to_array("features"), list(model.model.coefficients), model.model.intercept)
+    found = model.predict(rows)
+    same = F.abs(F.col("detection_score") - plain) < 1e-9
+    return found.select("vec_id", (same & ((F.col("prediction") == 1) == (F.col("detection_score") > 0.5))).alias("as_stated"))
 
 
 @query(
@@ -155,24 +181,47 @@ def _halves(spark, d):
     return X.split_rows(rows, 0.15, mixed(F.col("vec_id")), MIXED_RANGE, ["vec_id"])
 
 
-@query("m6_grid_search")
+def _shown_log(log, chosen: str):
+    """Names of the fits, whether their accuracies can be ones, and whether the chosen one is the first of the best."""
+    share = lambda c: F.col(c).between(0.0, 1.0)
+    rows = log.collect()  # a row for each point of the grid
+    first = max(range(len(rows)), key=lambda i: (rows[i]["test_accuracy"], -i))
+    right = rows[first]["params"] == chosen
+    return log.select("params", (share("train_accuracy") & share("test_accuracy")).alias("valid"), F.lit(right).alias("first_best"))
+
+
+def _log_sql(names) -> str:
+    return f"SELECT unnest({V.sql_list(names)}) AS params, TRUE AS valid, TRUE AS first_best"
+
+
+@query("m6_grid_search", _log_sql([L.parameter_name(p) for p in L.parameter_grid()]))
 def m6(spark, d):
     train, test = _halves(spark, d)
-    _, log = L.fit_best(train, test, [f"v{i}" for i in range(64)])
-    return log
+    model, log = L.fit_best(train, test, NAMES)
+    return _shown_log(log, L.parameter_name({k: model.params[k] for k in fv.LR_GRID}))
 
 
-@query("m7_single_fit")
+@query("m7_single_fit", _log_sql([L.parameter_name(fv.LR_PARAMS)]))
 def m7(spark, d):
     train, test = _halves(spark, d)
-    _, log = L.fit_best(train, test, [f"v{i}" for i in range(64)], grid=None)
-    return log
+    model, log = L.fit_best(train, test, NAMES, grid=None)
+    return _shown_log(log, L.parameter_name(model.params))
 
 
-@query("m8_boosted_trees")
+@query(
+    "m8_boosted_trees",
+    f"""SELECT feature, TRUE AS sums_to_one, TRUE AS beats_majority FROM (SELECT unnest({V.sql_list(NAMES)}) AS feature)""",
+)
 def m8(spark, d):
     rows = labelled_vectors(spark, d)
-    return L.BoostedTrees([f"v{i}" for i in range(64)], maxIter=5).fit(rows).importance(rows)
+    model = L.BoostedTrees(NAMES).fit(rows)
+    importance = model.importance(rows)
+    total = importance.agg(F.sum("importance")).first()[0]
+    shares = [r["n"] for r in L.class_counts(rows, "label").collect()]
+    right = L.accuracy(model.predict(rows), "label", "prediction").first()[0]
+    return importance.select(
+        "feature", F.lit(abs(total - 1) < 1e-6).alias("sums_to_one"), F.lit(right >= max(shares) / sum(shares)).alias("beats_majority")
+    )
 
 
 _LEMMA_CASES = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FORMS.items())
@@ -227,23 +276,36 @@ def m13(spark, d):
     return jobs.detect_naive(V.utterances(spark, d))
 
 
-@query("m14_batch_detection", _NAIVE, ["u"])
+@query(
+    "m14_batch_detection",
+    f"""SELECT conv_id, detection_score, n_total, n_found FROM ({_NAIVE}), (SELECT
+        count(DISTINCT call_convrstn_id) AS n_total,
+        count(DISTINCT CASE WHEN {V.NAIVE_SQL} THEN call_convrstn_id END) AS n_found FROM u)""",
+    ["u"],
+)
 def m14(spark, d):
+    """Detections of all conversations, and the statistics of the run next to each."""
     from callsift.session import shared_path
 
-    found, _ = jobs.detect_all(
+    found, rate = jobs.detect_all(
         V.utterances(spark, d), jobs.detect_naive, backup=shared_path(spark, "backup")
     )
-    return found
+    # the statistics are one row
+    seen = rate.first()
+    return found.select(
+        "conv_id", "detection_score", F.lit(seen["n_total"]).alias("n_total"), F.lit(seen["n_detected"]).alias("n_found")
+    )
 
 
-@query("m15_text_network")
+@query("m15_text_network", "SELECT doc_id, TRUE AS is_class FROM documents JOIN labels USING (doc_id)")
 def m15(spark, d):
     rows = V.table(spark, d, "documents").join(V.table(spark, d, "labels"), "doc_id").select(
         "doc_id", "text", F.col("quality").cast("double").alias("label")
     )
-    model = L.text_classifier(vector_size=16, max_iter=20).fit(rows)
-    return L.predict_text(model, rows).select("doc_id", "prediction")
+    model = L.text_classifier().fit(rows)
+    found = L.predict_text(model, rows)
+    valid = F.col("prediction").isin(0.0, 1.0) & F.col("detection_score").between(0.0, 1.0)
+    return found.select("doc_id", valid.alias("is_class"))
 
 
 # --- jobs -----------------------------------------------------------------------------------
@@ -333,19 +395,128 @@ def p4(spark, d):
     return sinks.example_rows(found)
 
 
-@query("p5_training")
-def p5(spark, d):
-    """Annotated utterances, their features, one fit and its predictions."""
-    rows = V.numbered(spark, d).select(
+def _once_sql(rows: str) -> str:
+    return f"""SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER (PARTITION BY convrstn_id ORDER BY call_date DESC NULLS LAST,
+        src_id NULLS LAST, ban NULLS LAST, telephone NULLS LAST) AS place FROM ({rows})) WHERE place = 1"""
+
+
+def _loaded(spark, load):
+    """Run a loading job twice; the table is as after the first time."""
+    from callsift.session import shared_path
+    from catalog.sources_sinks import _located
+
+    name, place = _located(spark, "loaded"), shared_path(spark, "table")
+    for _ in range(2):
+        load(name, place)
+    return sinks.stored(spark, name)
+
+
+@query(
+    "p2_loaded",
+    V.with_ctes(
+        ["convs", "es"],
+        _once_sql(
+            _loaded_sql(
+                f"SELECT call_convrstn_id AS conv_id, 1.0::DOUBLE AS detection_score FROM es WHERE {V.NAIVE_SQL} GROUP BY 1"
+            )
+        ),
+    ),
+)
+def p2_loaded(spark, d):
+    calls = V.calls(spark, d)
+    return _shown(
+        _loaded(
+            spark,
+            lambda name, place: jobs.load_naive_daily(
+                spark, calls, V.FIRST_DAY, V.LAST_DAY, name, place, settings=EXTRACTION
+            ),
+        )
+    )
+
+
+@query(
+    "p3_loaded",
+    _feature_sql(
+        _once_sql(
+            _loaded_sql(
+                _DETECTED.format(said="en", cancel=V.CANCEL_SQL).replace(
+                    "round(max(detection_score), 6)", "max(detection_score)"
+                )
+            )
+        ),
+        "en",
+        ["convs", "es"],
+        "en AS (SELECT *, row_number() OVER (PARTITION BY call_convrstn_id ORDER BY sntnce_ts) - 1 AS chunk_id FROM es)",
+    ),
+)
+def p3_loaded(spark, d):
+    calls = V.calls(spark, d)
+    return _shown(
+        _loaded(
+            spark,
+            lambda name, place: jobs.load_classifier_daily(
+                spark, calls, V.FIRST_DAY, V.LAST_DAY, move_pack(), _SCORER, name, place, settings=EXTRACTION, **_ENCODER
+            ),
+        )
+    )
+
+
+@query(
+    "p4_loaded",
+    f"""SELECT call_convrstn_id, chunk_id, text FROM ({_STILL_SQL}) WHERE call_convrstn_id IN (
+        SELECT call_convrstn_id FROM (SELECT DISTINCT call_convrstn_id FROM ({_STILL_SQL}))
+        ORDER BY {_mix('CAST(call_convrstn_id AS BIGINT)')}, call_convrstn_id LIMIT 50)""",
+    ["un"],
+)
+def p4_loaded(spark, d):
+    said = V.utterances(spark, d)
+    return _loaded(
+        spark,
+        lambda name, place: jobs.load_examples_daily(
+            spark, said, name, place, nb_select=50, hash_column=mixed(F.col(ID))
+        ),
+    )
+
+
+def _annotated(spark, d):
+    return V.numbered(spark, d).select(
         F.col(ID).alias("conv_id"),
         "chunk_id",
         "sntnce",
         F.when(F.length("sntnce") > 20, "Y").otherwise("N").alias("label"),
         F.col("sntnce_ts").alias("row_ord"),
     )
-    found = jobs.training_features(rows, "row_ord", move_pack(), **_ENCODER)
-    model, _, _, test = jobs.train(found, len(fv.MOVE_SENTENCES), grid=None)
-    return model.predict(test).select("conv_id", "chunk_id", "label", "prediction")
+
+
+@query(
+    "p5_training",
+    V.with_ctes(
+        ["un"],
+        f""", kept AS (SELECT CASE WHEN length(sntnce) > 20 THEN 1 ELSE 0 END AS label, {V.clean_sql('sntnce')} AS text
+            FROM un WHERE {V.MOVER_SQL} AND NOT {V.EXCLUDED_SQL})
+        SELECT count(*) AS stored_rows, CAST(ceil(count(*) * CAST(0.15 AS DOUBLE)) AS BIGINT) AS test_rows, sum(label)::BIGINT AS moves,
+        {len(L.parameter_grid())} AS logged, 0 AS changed FROM kept WHERE text <> ''""",
+    ),
+)
+def p5(spark, d):
+    """Annotated utterances, their features, the whole grid, and what is stored of it."""
+    from callsift.session import shared_path
+    from callsift.sources import readers
+
+    found = jobs.training_features(_annotated(spark, d), "row_ord", move_pack(), **_ENCODER)
+    folder = shared_path(spark, "training")
+    model = jobs.train_and_store(found, len(fv.MOVE_SENTENCES), folder)
+    data = readers.read_table(spark, f"{folder}/data")
+    logged = spark.read.json(f"{folder}/log").count()
+    again = jobs.load_classifier(model.feature_names, f"{folder}/model").predict(data)
+    first = model.predict(data).select("conv_id", "chunk_id", F.col("prediction").alias("first"))
+    return again.join(first, ["conv_id", "chunk_id"]).agg(
+        F.count(F.lit(1)).alias("stored_rows"),
+        F.count(F.when(F.col("part") == "test", 1)).alias("test_rows"),
+        F.sum("label").cast("long").alias("moves"),
+        F.lit(logged).cast("int").alias("logged"),
+        F.count(F.when(F.col("first") != F.col("prediction"), 1)).cast("int").alias("changed"),
+    )
 
 
 @query(

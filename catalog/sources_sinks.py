@@ -67,6 +67,7 @@ def s4(spark, d):
         spark,
         path,
         f"{ID} string, sntnce string, sntnce_ts bigint, sntnce_partcpnt_role string",
+        multi_line=True,
     )
     # an empty field and a missing one look alike in a file
     return rows.na.fill("", ["sntnce"])
@@ -99,7 +100,10 @@ def s6(spark, d):
     sinks.export_csv(codes, path)
     lookup = readers.read_area_codes(spark, path)
     found = C.with_province(V.conversation_facts(spark, d), "telephone", lookup)
-    return R.row_count(found.groupBy("pr_name"))
+    joined = C.with_province_by_join(V.conversation_facts(spark, d), readers.area_codes(spark, path))
+    # the join form gives the same; each half comes from one of the two
+    odd = F.pmod(F.xxhash64(ID), F.lit(2)) == 1
+    return R.row_count(found.filter(odd).unionByName(joined.filter(~odd)).groupBy("pr_name"))
 
 
 _WORD_SQL = r"SELECT DISTINCT unnest(string_split_regex(lower(text), '\s+')) AS word FROM documents"
@@ -233,7 +237,7 @@ def s13(spark, d):
         F.lower("text").alias("sntnce"), F.col("quality").alias("movehit")
     )
     sinks.export_csv(rows, path)
-    found, words, tags = readers.read_training(spark, path, schemas.TRAINING_TEXT)
+    found, words, tags = readers.read_training(spark, path, schemas.TRAINING_TEXT, multi_line=True)
     assert set(words) == set(fv.FILLER_WORDS) and tags == fv.TAGS
     return found
 
@@ -265,10 +269,9 @@ def k1(spark, d):
         spark,
         name,
         _detected_rows(spark, d),
-        shared_path(spark, "staging"),
         location=shared_path(spark, "table"),
     )
-    return _shown(readers.read_table(spark, name))
+    return _shown(sinks.stored(spark, name))
 
 
 @query("k2_example_table", _STILL_SQL, ["un"])
@@ -278,10 +281,9 @@ def k2(spark, d):
         spark,
         name,
         jobs.label_matches(V.utterances(spark, d)),
-        shared_path(spark, "staging"),
         location=shared_path(spark, "table"),
     )
-    return readers.read_table(spark, name)
+    return sinks.stored(spark, name)
 
 
 @query(
@@ -293,12 +295,12 @@ def k2(spark, d):
 def k3(spark, d):
     """All conversations at a low score first, then the detected ones, twice."""
     name = _located(spark, "detections")
-    staging, place = shared_path(spark, "staging"), shared_path(spark, "table")
+    place = shared_path(spark, "table")
     facts = V.conversation_facts(spark, d)
     before = facts.withColumnRenamed(ID, "conv_id").withColumn("detection_score", F.lit(0.25))
-    sinks.load_detections(spark, name, sinks.detection_rows(before), staging, place)
+    sinks.load_detections(spark, name, sinks.detection_rows(before), place)
     for _ in range(2):
-        sinks.load_detections(spark, name, _detected_rows(spark, d), staging, place)
+        sinks.load_detections(spark, name, _detected_rows(spark, d), place)
     return readers.read_table(spark, name).select("convrstn_id", "detection_score")
 
 
@@ -309,10 +311,12 @@ def k3(spark, d):
     ["un"],
 )
 def k4(spark, d):
-    said = V.numbered(spark, d)
-    target = sinks.example_rows(said.withColumnRenamed("sntnce", "text"))
-    source = sinks.example_rows(jobs.label_matches(V.utterances(spark, d)))
-    return sinks.merged(target, source, [ID, "chunk_id"])
+    """All sentences first, then the examples in their place, twice."""
+    name, place = _located(spark, "examples"), shared_path(spark, "table")
+    sinks.load_examples(spark, name, V.numbered(spark, d).withColumnRenamed("sntnce", "text"), place)
+    for _ in range(2):
+        sinks.load_examples(spark, name, jobs.label_matches(V.utterances(spark, d)), place)
+    return sinks.stored(spark, name)
 
 
 @query("k5_detection_rows", _DETECTED_SQL, ["u", "facts"])
@@ -339,17 +343,31 @@ def k7(spark, d):
     )
 
 
-@query("k8_stored_model")
+@query(
+    "k8_stored_model",
+    """SELECT 0 AS changed, count(*) AS stored_rows, 1 AS logged,
+        count(*) FILTER (WHERE part = 'test') AS test_rows FROM (
+        SELECT CASE WHEN row_number() OVER (ORDER BY vec_id * 2654435761 % 1000003, vec_id)
+            <= ceil(count(*) OVER () * CAST(0.15 AS DOUBLE)) THEN 'test' ELSE 'train' END AS part FROM embeddings)""",
+)
 def k8(spark, d):
-    from pyspark.ml.classification import LogisticRegressionModel
-
+    """Model, data and log are stored and read back; the model predicts as before."""
     from callsift.operators import learning as L
-    from catalog.learning_jobs import labelled_vectors
-
-    path = shared_path(spark, "model")
-    rows = labelled_vectors(spark, d)
-    model = L.LogisticClassifier([f"v{i}" for i in range(64)]).fit(rows)
-    sinks.save_model(model.model, path)
-    again = L.LogisticClassifier(model.feature_names)
-    again.model = sinks.load_model(LogisticRegressionModel, path)
-    return again.predict(rows).select("vec_id", "prediction")
+    from catalog.learning_jobs import _halves
+
+    path, names = shared_path(spark, "model"), [f"v{i}" for i in range(64)]
+    train, test = _halves(spark, d)
+    model, log = L.fit_best(train, test, names, grid=None)
+    sinks.save_model(model.model, f"{path}/model")
+    sinks.save_data(train, test, f"{path}/data")
+    sinks.save_log(log, f"{path}/log")
+    data = readers.read_table(spark, f"{path}/data")
+    again = jobs.load_classifier(names, f"{path}/model").predict(data).select("vec_id", F.col("prediction").alias("again"))
+    both = model.predict(data).select("vec_id", "part", "prediction").join(again, "vec_id")
+    logged = spark.read.json(f"{path}/log").count()
+    return both.agg(
+        F.count(F.when(F.col("again") != F.col("prediction"), 1)).cast("int").alias("changed"),
+        F.count(F.lit(1)).alias("stored_rows"),
+        F.lit(logged).cast("int").alias("logged"),
+        F.count(F.when(F.col("part") == "test", 1)).alias("test_rows"),
+    )

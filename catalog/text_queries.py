@@ -334,13 +334,22 @@ def j13(spark, d):
     )
 
 
-@query("m10_word_vectors")
+@query(
+    "m10_word_vectors",
+    """SELECT word, 200 AS width FROM (SELECT DISTINCT unnest(string_split_regex(sntnce, '\\s+')) AS word FROM u) WHERE word <> ''""",
+    ["u"],
+)
 def m10(spark, d):
+    """Every word has a vector of the stated width."""
     said = V.utterances(spark, d).select(TX.words_of(F.col("sntnce")).alias("tokens"))
-    return LX.fit_word_vectors(said, "tokens", vectorSize=32, maxIter=3).getVectors()
+    vectors = LX.fit_word_vectors(said, "tokens").getVectors()
+    from pyspark.ml.functions import vector_to_array
+
+    return vectors.select("word", F.size(vector_to_array("vector")).alias("width"))
 
 
-_PAIRS_SQL = f"""WITH t AS ({_TOKENS_SQL}),
+def _pairs_sql(source: str) -> str:
+    return f"""WITH t AS ({source}),
     w AS (SELECT w, count(*) AS n FROM (SELECT unnest(tokens) AS w FROM t) GROUP BY w),
     p AS (SELECT a, b, count(*) AS n FROM (SELECT unnest(tokens[1:len(tokens) - 1]) AS a, unnest(tokens[2:]) AS b
           FROM t WHERE len(tokens) > 1) GROUP BY a, b)
@@ -349,31 +358,39 @@ _PAIRS_SQL = f"""WITH t AS ({_TOKENS_SQL}),
     WHERE p.n >= 5 AND (p.n - 5) * CAST((SELECT count(*) FROM w) + (SELECT count(*) FROM p) AS DOUBLE) / (wa.n * wb.n) > 10"""
 
 
+_PAIRS_SQL = _pairs_sql(_TOKENS_SQL)
+
+
 @query("m11_pair_scores", _PAIRS_SQL)
 def m11(spark, d):
     found = LX.pair_scores(tokens(spark, d), "tokens")
     return found.select("a", "b", "n_ab", F.round("score", 6).alias("score"))
 
 
-_MERGED_SQL = f"""WITH good AS ({_PAIRS_SQL}), t AS ({_TOKENS_SQL}),
+def _merged_sql(source: str) -> str:
+    return f"""WITH good AS ({_pairs_sql(source)}), t AS ({source}),
     x AS (SELECT doc_id, unnest(tokens) AS a, unnest(list_concat(tokens[2:], [NULL])) AS b,
           generate_subscripts(tokens, 1) - 1 AS pos FROM t WHERE len(tokens) > 0),
     y AS (SELECT x.*, good.n_ab IS NOT NULL AS starts FROM x LEFT JOIN good ON good.a = x.a AND good.b = x.b),
     r AS (SELECT *, starts AND (pos - coalesce(max(CASE WHEN NOT starts THEN pos END) OVER w, -1)) % 2 = 1 AS merges
           FROM y WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
     k AS (SELECT *, coalesce(lag(merges) OVER (PARTITION BY doc_id ORDER BY pos), FALSE) AS taken FROM r)
-    SELECT t.doc_id, coalesce(string_agg(CASE WHEN merges THEN k.a || ' ' || k.b ELSE k.a END, '|' ORDER BY pos), '') AS tokens
+    SELECT t.doc_id, coalesce(list(CASE WHEN merges THEN k.a || ' ' || k.b ELSE k.a END ORDER BY pos) FILTER (WHERE k.a IS NOT NULL), []) AS tokens
     FROM t LEFT JOIN (SELECT * FROM k WHERE NOT taken) k USING (doc_id) GROUP BY t.doc_id"""
 
 
-@query("m11_merged_pairs", _MERGED_SQL)
+def _joined_sql(merged: str) -> str:
+    return f"SELECT doc_id, array_to_string(tokens, '|') AS tokens FROM ({merged})"
+
+
+@query("m11_merged_pairs", _joined_sql(_merged_sql(_TOKENS_SQL)))
 def m11_pairs(spark, d):
     rows = tokens(spark, d)
     merged = LX.merge_pairs(rows, "doc_id", "tokens", LX.pair_scores(rows, "tokens"))
     return merged.select("doc_id", F.array_join("tokens", "|").alias("tokens"))
 
 
-@query("m11_merged_triples")
+@query("m11_merged_triples", _joined_sql(_merged_sql(_merged_sql(_TOKENS_SQL))))
 def m11_triples(spark, d):
     merged, _, _ = LX.detect_collocations(tokens(spark, d), "doc_id", "tokens")
     return merged.select("doc_id", F.array_join("tokens", "|").alias("tokens"))

@@ -15,7 +15,7 @@ from callsift.operators.calls import DATE, ID
 from callsift.operators.intents import IntentPack
 from callsift.operators.ordering import number_rows
 from callsift.session import apply_defaults, shared_path
-from callsift.sources.readers import read_table, spread
+from callsift.sources.readers import read_table
 
 # utterances put in place of the invented prose, so that the rules find work
 PHRASES = [
@@ -66,13 +66,8 @@ N_CHUNKS = 5
 CHUNKS_PER_DOC = 12
 
 
-# tables whose rows take long to process, by their unique column
-SPREAD_KEYS = {"documents": "doc_id"}
-
-
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    rows = read_table(apply_defaults(spark), f"{d}/{name}.parquet")
-    return spread(rows, SPREAD_KEYS[name]) if name in SPREAD_KEYS else rows
+    return read_table(apply_defaults(spark), f"{d}/{name}.parquet")
 
 
 def pick(values: list[str], index: Column) -> Column:

@@ -122,24 +122,53 @@ def test_detection_rows(make):
 
 
 def test_upsert(spark, make, tmp_path):
-    staging = str(tmp_path / "staging")
     schema = "call_convrstn_id string, chunk_id long, text string"
     first = make([("a", 1, "x"), ("a", 2, "y")], schema)
     second = make([("a", 2, "z"), ("b", 1, "w")], schema)
     for rows in (first, second, second, make([], schema)):
-        sinks.load_examples(spark, "examples_t", rows, staging)
-    got = sorted(map(tuple, readers.read_table(spark, "examples_t").collect()))
+        sinks.load_examples(spark, "examples_t", rows)
+    got = sorted(map(tuple, sinks.stored(spark, "examples_t").collect()))
     assert got == [("a", 1, "x"), ("a", 2, "z"), ("b", 1, "w")]
     with pytest.raises(ValueError):
-        sinks.load_examples(spark, "examples_t", make([("a", 1, "p"), ("a", 1, "q")], schema), staging)
+        sinks.load_examples(spark, "examples_t", make([("a", 1, "p"), ("a", 1, "q")], schema))
     with pytest.raises(Exception, match="longer than 30"):
-        sinks.load_examples(spark, "examples_t", make([("a" * 31, 1, "p")], schema), staging)
+        sinks.load_examples(spark, "examples_t", make([("a" * 31, 1, "p")], schema))
     with pytest.raises(Exception, match="is null"):
-        sinks.load_examples(spark, "examples_t", make([(None, 1, "p")], schema), staging)
+        sinks.load_examples(spark, "examples_t", make([(None, 1, "p")], schema))
     assert readers.read_table(spark, "examples_t").count() == 3
     spark.sql("DROP TABLE examples_t")
 
 
+def test_upsert_leaves_other_buckets_alone(spark, make, tmp_path):
+    import os
+
+    schema, place = "call_convrstn_id string, chunk_id long, text string", str(tmp_path / "table")
+    sinks.load_examples(spark, "buckets_t", make([(f"c{i}", 1, "x") for i in range(500)], schema), place)
+    seen = lambda: {os.path.join(d, f) for d, _, fs in os.walk(place) for f in fs if f.startswith("part-")}
+    before = seen()
+    sinks.load_examples(spark, "buckets_t", make([("c7", 1, "y")], schema), place)
+    after = seen()
+    assert len({os.path.dirname(f) for f in before ^ after}) == 1 and len(before & after) > 40
+    assert sinks.stored(spark, "buckets_t").groupBy("text").count().collect() and sinks.stored(spark, "buckets_t").count() == 500
+    assert sinks.stored(spark, "buckets_t").filter("text = 'y'").count() == 1
+    ddl = spark.sql("SHOW CREATE TABLE buckets_t").first()[0]
+    assert "one row for each conversation and position" in ddl
+    spark.sql("DROP TABLE buckets_t")
+
+
+def test_one_row_for_each_conversation(make):
+    schema = "convrstn_id string, call_date date, src_id long, ban string, telephone string"
+    late = datetime.date(2022, 4, 12)
+    rows = [("a", DAY, 1, "1", "x"), ("a", late, 3, "1", "x"), ("a", late, 2, "9", "long" * 20), ("a", late, None, "0", "x"), ("b", None, None, None, None)]
+    got = {r[0]: tuple(r) for r in sinks.one_per_conversation(make(rows, schema)).collect()}
+    assert got == {"a": ("a", late, 2, "9", "long" * 20), "b": ("b", None, None, None, None)}
+
+
+def test_an_empty_issue_name_is_a_name(make):
+    calls = make([("a", [("",)]), ("b", [("x",), ("",)]), ("c", [(None,)])], f"{ID} string, convrstn_iss array<struct<iss_nm: string>>")
+    assert {r[0]: r[1] for r in C.topics(calls).collect()} == {"a": "", "b": ",x", "c": None}
+
+
 def test_statement_needs_a_text(spark, tmp_path):
     with pytest.raises(ValueError):
         readers.run_sql(spark)

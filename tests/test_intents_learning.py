@@ -118,9 +118,12 @@ def test_encoders_agree(spark):
 
 
 def test_vectors_of_texts(spark):
-    rows = spark.createDataFrame([("c", 0, "a b"), ("c", 1, "a b"), ("c", 2, "c")], CHUNKS)
-    got = [r["vec"] for r in I.encode_texts(rows, "text", I.hashed_words(16)).orderBy("chunk_id").collect()]
-    assert got[0] == got[1] != got[2] and sum(got[0]) == 2
+    rows = spark.createDataFrame([("c", 0, "a b"), ("c", 1, "a b"), ("c", 2, "c"), ("c", 3, None)], CHUNKS)
+    for made in (I.encode_texts(rows, "text", I.hashed_words(16)), I.encode_hashed(rows, "text", 16)):
+        got = [r["vec"] for r in made.orderBy("chunk_id").collect()]
+        assert got[0] == got[1] != got[2] and sum(got[0]) == 2 and sum(got[3]) == 0
+    unit = I.encode_hashed(rows, "text", 16, unit=True).orderBy("chunk_id").first()["vec"]
+    assert abs(sum(x * x for x in unit) - 1) < 1e-6
 
 
 def test_vocabulary_and_padding(spark):
@@ -232,7 +235,7 @@ def test_boosted_trees(separable):
 def test_text_network(spark):
     rows = [(i, "we are moving soon" if i % 2 else "please fix the bill", float(i % 2)) for i in range(40)]
     df = spark.createDataFrame(rows, "id long, text string, label double")
-    model = L.text_classifier(vector_size=8, max_iter=30).fit(df)
+    model = L.text_classifier(features=64, max_iter=30).fit(df)
     assert L.accuracy(L.predict_text(model, df), "label", "prediction").first()[0] == 1.0
 
 
@@ -270,9 +273,9 @@ def test_classifier_detection_does_not_depend_on_the_plan(spark, long_talk):
     pack = I.IntentPack.encode({"move": fv.MOVE_SENTENCES}, I.letter_count_matrix)
     scorer = jobs.weights_scorer(WEIGHTS, INTERCEPT)
     results = []
-    for partitions, limit in (("4", None), ("13", 10), ("1", 100)):
+    for partitions, large in (("4", False), ("13", True), ("1", True)):
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
-        found = jobs.detect_classified(long_talk, pack, scorer, max_rows=limit, column_encoder=I.letter_counts)
+        found = jobs.detect_classified(long_talk, pack, scorer, large_keys=large, column_encoder=I.letter_counts)
         results.append(sorted((r[0], round(r[1], 9)) for r in found.collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert results[0] == results[1] == results[2]

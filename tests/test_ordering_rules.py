@@ -36,12 +36,29 @@ def skewed(spark):
 
 
 def test_numbering_agrees_with_and_without_large_keys(skewed):
-    plain = O.number_rows(skewed, ID, ["ts"], max_rows=None)
-    cut = O.number_rows(skewed, ID, ["ts"], max_rows=50)
+    plain = O.number_rows(skewed, ID, ["ts"], large_keys=False)
+    cut = O.number_rows(skewed, ID, ["ts"], large_keys=True)
     assert sorted(plain.collect()) == sorted(cut.collect())
     assert cut.filter(F.col(ID) == "big").agg(F.max("chunk_id")).first()[0] == 999
 
 
+def test_equal_times_do_not_depend_on_arrival(spark):
+    rows = [("a", i // 5, f"t{i % 5}") for i in range(50)] + [("a", 3, "t1"), (None, 1, None)]
+    schema = f"{ID} string, ts long, text string"
+    first = sorted(map(str, O.number_rows(spark.createDataFrame(rows, schema), ID, ["ts"]).collect()))
+    again = O.number_rows(spark.createDataFrame(rows[::-1], schema).repartition(5), ID, ["ts"], large_keys=True)
+    assert sorted(map(str, again.collect())) == first
+
+
+def test_ranks_keep_rows_without_an_id(spark):
+    rows = spark.range(25).select(F.when(F.col("id") % 5 != 0, F.col("id")).alias("id"), F.col("id").alias("n"))
+    for order in (F.col("id"), O.mixed(F.col("id"))):
+        ranked = O.hash_ranks(rows, order, O.MIXED_RANGE, ["id", "n"])
+        assert sorted(r["hash_rank"] for r in ranked.collect()) == list(range(1, 26))
+    texts = spark.createDataFrame([("x",), ("12",), (None,)], "id string")
+    assert texts.select(O.mixed(F.col("id")).alias("h")).filter("h is null").count() == 0
+
+
 def test_large_key_is_cut_across_partitions(skewed):
     placed = O.global_positions(skewed, [ID, "ts"])
     got = [r["position"] for r in placed.orderBy(ID, "ts").collect()]
