@@ -8,8 +8,9 @@ probability; those left are confirmed on their full sets.
 
 Who is compared with whom: first every member of a bucket with the bucket's
 least member, and components are formed of the links.  Then, in each bucket,
-members of different components with each other.  So every candidate pair is
-either examined or already connected, without all pairs of a large group.
+members of different components with each other, inside tasks that return
+links only.  So every candidate pair is either examined or already connected,
+and no table holds all pairs of a large group.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from callsift.llm.blocks import in_blocks, starts_of, whole_groups
 from callsift.llm.components import connected
 from callsift.llm.words import WHITE_SPACE, chunks, mix, word_hashes
 from callsift.session import stage
@@ -33,7 +35,8 @@ class Settings:
     """Similarity is ``share`` / 100.  A signature has ``bands * rows`` values.
 
     ``step``: signature values that one look compares; ``miss``: posterior
-    probability of similarity below which a candidate is dropped.
+    probability of similarity below which a candidate is dropped; ``block``:
+    rows of a bucket that one group compares with as many.
     """
 
     words: int = 5
@@ -42,6 +45,7 @@ class Settings:
     rows: int = 5
     step: int = 25
     miss: float = 1e-6
+    block: int = 4096
     seed: int = 11
 
 
@@ -185,9 +189,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("_left"), batch.column("_right"), strict=True):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(100 * both >= settings.share * (len(p) + len(q) - both))
+                keep.append(_similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), settings))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     with_left = pairs.join(sets.select(F.col("node").alias("a"), F.col("_set").alias("_left")), "a")
@@ -195,6 +197,77 @@ def confirm(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
     return both.select("a", "b", "_left", "_right").mapInArrow(run, pairs.select("a", "b").schema)
 
 
+def across_components(members: DataFrame, signed: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b) between members of a bucket whose groups (``_group``) differ.
+
+    The members of a bucket meet in a task, block by block; what leaves it are
+    links, enough of them to connect what is linked there.
+    """
+    bucket = ["_band", "_hash"]
+    counts = stage(members.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n")))
+    blocks = in_blocks(members.join(counts, bucket), bucket, "node", "_n", settings.block)
+    group = [*bucket, "_low", "_high"]
+    full = blocks.join(signed, "node").join(sets, "node")
+    columns = ["node", "_group", "signature", "_set", "_block", *group]
+    ordered = full.select(*columns).repartition(*group).sortWithinPartitions(*group, "node")
+    kind = members.schema["node"].dataType.simpleString()
+    needed = least_matches(settings)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, group, 500):
+            starts = np.append(starts_of(table, group), table.num_rows)
+            for start, end in zip(starts[:-1], starts[1:], strict=True):
+                found = _links_in_group(table.slice(start, end - start), needed, settings)
+                if found:
+                    a, b = zip(*found, strict=True)
+                    names = table.column("node").slice(start, end - start).combine_chunks()
+                    yield pa.RecordBatch.from_arrays([names.take(pa.array(a)), names.take(pa.array(b))], names=["a", "b"])
+
+    return ordered.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+
+
+def _links_in_group(table: pa.Table, needed: list[int], settings: Settings, most: int = 100_000) -> list[tuple[int, int]]:
+    """Places of rows that are linked, across groups only; a pair that shares an earlier band is left to that one."""
+    _, group = np.unique(np.asarray(table.column("_group").to_pylist(), object), return_inverse=True)
+    if group.max() == 0:
+        return []
+    signed = _matrix(table.column("signature").combine_chunks(), np.uint32)
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("_set")]
+    band, low, high = (table.column(c)[0].as_py() for c in ("_band", "_low", "_high"))
+    block = table.column("_block").to_numpy()
+    left = np.flatnonzero(block == low)
+    right = left if low == high else np.flatnonzero(block == high)
+    found = []
+    rows = max(1, most // max(1, len(right)))
+    for at in range(0, len(left), rows):
+        some = left[at : at + rows]
+        apart = group[some][:, None] != group[right][None, :]
+        if low == high:
+            apart &= some[:, None] < right[None, :]
+        i, j = np.nonzero(apart)
+        p, q = some[i], right[j]
+        matches = np.zeros(len(p), np.int64)
+        for look, least in enumerate(needed):
+            span = slice(look * settings.step, (look + 1) * settings.step)
+            matches = matches + (signed[p, span] == signed[q, span]).sum(axis=1)
+            keep = matches >= least
+            p, q, matches = p[keep], q[keep], matches[keep]
+        same = (signed[p] == signed[q]).reshape(len(p), settings.bands, settings.rows).all(axis=2)
+        mine = same.argmax(axis=1) == band
+        for x, y in zip(p[mine].tolist(), q[mine].tolist(), strict=True):
+            if group[x] != group[y] and _similar(sets[x], sets[y], settings):
+                found.append((x, y))
+                group[group == group[y]] = group[x]
+    return found
+
+
+def _similar(p: np.ndarray, q: np.ndarray, settings: Settings) -> bool:
+    if 100 * min(len(p), len(q)) < settings.share * max(len(p), len(q)):
+        return False
+    both = len(np.intersect1d(p, q, assume_unique=True))
+    return 100 * both >= settings.share * (len(p) + len(q) - both)
+
+
 def links(sketches: DataFrame, documents: DataFrame, settings: Settings) -> DataFrame:
     """Links (a, b) that connect what is to be connected; see above.
 
@@ -208,21 +281,15 @@ def links(sketches: DataFrame, documents: DataFrame, settings: Settings) -> Data
     members = stage(bands.join(shared, ["_band", "_hash"]))
     signed = sketches.select("node", "signature")
     sets = stage(full_sets(documents.join(members.select("node").distinct(), "node", "left_semi"), settings))
-    with_lead = stage(members.filter("node != _lead").select(F.col("_lead").alias("a"), F.col("node").alias("b")).distinct())
-    first = stage(confirm(stage(examine(with_lead, signed, settings)), sets, settings))
+    with_lead = members.filter("node != _lead").select(F.col("_lead").alias("a"), F.col("node").alias("b")).distinct()
+    first = stage(confirm(stage(examine(stage(with_lead), signed, settings)), sets, settings))
     groups = stage(connected(first, "a", "b"))
     placed = members.join(groups, "node", "left").withColumn("_group", F.coalesce("component", "node"))
     placed = stage(placed.select("_band", "_hash", "node", "_group"))
-    mixed = stage(
-        placed.groupBy("_band", "_hash").agg(F.min("_group").alias("_x"), F.max("_group").alias("_y")).filter("_x < _y").select("_band", "_hash")
-    )
+    ends = placed.groupBy("_band", "_hash").agg(F.min("_group").alias("_x"), F.max("_group").alias("_y"))
+    mixed = stage(ends.filter("_x < _y").select("_band", "_hash"))
     rest = stage(placed.join(mixed, ["_band", "_hash"], "left_semi"))
-    other = rest.select("_band", "_hash", F.col("node").alias("b"), F.col("_group").alias("_other"))
-    across = rest.withColumnRenamed("node", "a").join(other, ["_band", "_hash"])
-    across = across.filter((F.col("a") < F.col("b")) & (F.col("_group") != F.col("_other"))).select("a", "b").distinct()
-    untried = stage(across.join(with_lead, ["a", "b"], "left_anti"))
-    second = confirm(stage(examine(untried, signed, settings)), sets, settings)
-    return first.unionByName(second)
+    return first.unionByName(across_components(rest, signed, sets, settings))
 
 
 def near_duplicates(df: DataFrame, key: str, text: str, settings: Settings = Settings()) -> DataFrame:

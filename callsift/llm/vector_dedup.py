@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from callsift.llm.blocks import in_blocks, starts_of, whole_groups
 from callsift.llm.components import connected
 from callsift.session import stage
 
@@ -187,12 +188,7 @@ def _links_of_width(rows: DataFrame, width: int, vectors: int, settings: Setting
     # keys first, without vectors: most buckets hold a single row and end here
     keyed = stage(rows.mapInArrow(to_keys, "_row long, _table int, _hash long"))
     shared = keyed.groupBy("_table", "_hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    blocks = F.ceil(F.col("_n") / settings.block).cast("int")
-    joined = keyed.join(stage(shared), ["_table", "_hash"]).withColumn("_blocks", blocks)
-    joined = joined.withColumn("_block", F.pmod(F.xxhash64("_row", F.lit(3)), "_blocks").cast("int"))
-    # block i meets every block j, itself included
-    meets = joined.withColumn("_meets", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    meets = meets.select("_row", "_table", "_hash", "_block", F.least("_block", "_meets").alias("_low"), F.greatest("_block", "_meets").alias("_high"))
+    meets = in_blocks(keyed.join(stage(shared), ["_table", "_hash"]), ["_table", "_hash"], "_row", "_n", settings.block)
     group = ["_table", "_hash", "_low", "_high"]
     full = meets.join(rows.select("_row", "_key", "_vector"), "_row")
     ordered = full.repartition(*group).sortWithinPartitions(*group, "_block", "_row")
@@ -206,36 +202,8 @@ def _links_of_width(rows: DataFrame, width: int, vectors: int, settings: Setting
     return ordered.select(*columns).mapInArrow(compare, f"a {kind}, b {kind}, n long")
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], group: list[str], rows: int = 4000) -> Iterator[pa.Table]:
-    """Sorted batches as tables that end where a group ends, of ``rows`` rows or one group."""
-    waiting: list[pa.RecordBatch] = []
-    held = 0
-    for batch in batches:
-        waiting.append(batch)
-        held += batch.num_rows
-        if held < rows:
-            continue
-        table = pa.Table.from_batches(waiting)
-        starts = _starts(table, group)
-        if len(starts) > 1:
-            yield table.slice(0, int(starts[-1]))
-            table = table.slice(int(starts[-1])).combine_chunks()
-        waiting, held = table.to_batches(), table.num_rows
-    if held:
-        yield pa.Table.from_batches(waiting)
-
-
-def _starts(table: pa.Table, group: list[str]) -> np.ndarray:
-    new = np.zeros(table.num_rows, bool)
-    new[:1] = True
-    for name in group:
-        values = table.column(name).to_numpy()
-        new[1:] |= values[1:] != values[:-1]
-    return np.flatnonzero(new)
-
-
 def _compare_groups(table: pa.Table, group: list[str], worker: _Compare, kind: str) -> Iterator[pa.RecordBatch]:
-    starts = np.append(_starts(table, group), table.num_rows)
+    starts = np.append(starts_of(table, group), table.num_rows)
     vectors = table.column("_vector").combine_chunks()
     units = _unit(_matrix(vectors, worker.plan.width))
     coded = encode(units, worker.rotation)
