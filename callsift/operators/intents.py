@@ -12,7 +12,6 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -257,27 +256,49 @@ def distances_in_blocks(
     order: str = "j",
     reference_vector: str = "vec",
     block: int = 2000,
+    parts: int | None = None,
 ) -> DataFrame:
-    """I2 against references too many for one pack: one pass per block of them.
+    """I2 against a table of references of any number and width.
 
     ``references`` has a dense number ``order`` from 0.  A row comes out once
-    per block, with ``first`` (number of the block's first reference) and
-    ``dists``; ``min_distance`` over the result gives the overall minimum.
+    per block of them, with ``first`` (number of the block's first reference)
+    and ``dists``, its least distance in the block as an array of one;
+    ``min_distance`` over the result gives the overall minimum.
+
+    Rows are dealt out to ``parts`` (4 for each shuffle partition unless
+    stated otherwise), and each part meets each block in a task that holds the
+    block as a matrix.  Nothing goes through the driver but the number of
+    references.
     """
-    total = references.count()
-    passes = []
-    for first in range(0, total, block):
-        part = references.filter(
-            (F.col(order) >= first) & (F.col(order) < first + block)
-        ).withColumn("_all", F.lit("all"))
-        pack = IntentPack.from_rows(part, "_all", order, reference_vector)
-        scored = with_distances(rows, vector, {"d": pack})
-        passes.append(
-            scored.withColumnRenamed("d_all", "dists").withColumn("first", F.lit(first))
-        )
-    if not passes:
+    parts = parts or 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = references.agg(F.max(order)).first()[0]
+    if total is None:
         raise ValueError("no references")
-    return reduce(DataFrame.unionByName, passes)
+    blocks = int(total) // block + 1
+    left = rows.withColumn("_part", F.pmod(F.xxhash64(vector, F.monotonically_increasing_id()), F.lit(parts)))
+    left = left.withColumn("_at", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    right = references.select(
+        F.floor(F.col(order) / block).cast("int").alias("_at"),
+        F.col(order).alias("_order"),
+        F.col(reference_vector).cast("array<double>").alias("_reference"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("_part"),
+    )
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields), "first long, dists array<double>"])
+    names = rows.columns
+
+    def compare(some: pd.DataFrame, those: pd.DataFrame) -> pd.DataFrame:
+        out = some[names].assign(first=0, dists=None)
+        if len(some) and len(those):
+            matrix = IntentPack.of({"all": np.stack(those["_reference"].to_numpy())}).vectors["all"]
+            found = np.stack(some[vector].to_numpy()).astype("float64")
+            length = np.linalg.norm(found, axis=1, keepdims=True)
+            unit = np.divide(found, length, out=np.zeros_like(found), where=length > 0)
+            out["first"] = int(those["_order"].min())
+            out["dists"] = list((1.0 - unit @ matrix.T).min(axis=1, keepdims=True))
+        return out.iloc[: len(some) if len(those) else 0]
+
+    at = ["_part", "_at"]
+    return left.groupBy(*at).cogroup(right.groupBy(*at)).applyInPandas(compare, schema)
 
 
 # --- distances of chunks of text -------------------------------------------------

@@ -361,3 +361,36 @@ def i1_repeated(spark, d):
     return I.encode_texts(rows, "text", I.hashed_words(64)).select(
         "doc_id", F.round(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x), 3).alias("total")
     )
+
+
+_WIDE = "list_concat(" * 5 + "{0}" + "".join(f", {{{b}}})" for b in range(1, 6))
+
+
+def _wide_sql(v: str) -> str:
+    parts = [f"list_transform(embedding, lambda x: CAST(x AS DOUBLE) * (({b} + {v}) % 7 - 3))" for b in range(6)]
+    return _WIDE.format(*parts)
+
+
+@query(
+    "i2_many_references",
+    f"""WITH r AS (SELECT vec_id, v, {_wide_sql('v')} AS vec FROM embeddings, (SELECT unnest([0, 1, 2]) AS v)),
+    q AS (SELECT vec_id, {_wide_sql('3')} AS vec FROM embeddings WHERE vec_id % 25 = 0)
+    SELECT q.vec_id, round(min(1 - list_cosine_similarity(q.vec, r.vec)), 6) AS least, count(*) AS n FROM q, r GROUP BY 1""",
+)
+def i2_many(spark, d):
+    """Three references of width 384 from each embedding: more than a plan could hold."""
+    rows = V.table(spark, d, "embeddings")
+
+    def wide(v):
+        return F.concat(*[_scaled(b, v) for b in range(6)])
+
+    references = rows.select("vec_id", F.explode(F.array(*map(F.lit, range(3)))).alias("v"))
+    references = references.join(rows, "vec_id").select((F.col("vec_id") * 3 + F.col("v")).alias("j"), wide(F.col("v")).alias("vec"))
+    asked = rows.filter("vec_id % 25 = 0").select("vec_id", wide(F.lit(3)).alias("vec"))
+    found = I.distances_in_blocks(asked, "vec", references, block=500)
+    total = references.count()
+    return found.groupBy("vec_id").agg(F.round(F.min(F.array_min("dists")), 6).alias("least")).withColumn("n", F.lit(total))
+
+
+def _scaled(b: int, v):
+    return F.transform("embedding", lambda x: x.cast("double") * ((F.lit(b) + v) % 7 - 3))

@@ -182,6 +182,24 @@ def t10_join(spark, d):
     return out.select("doc_id", F.array_join("tokens", " ").alias("text_clean"))
 
 
+@query(
+    "t9_large_dictionary",
+    r"SELECT doc_id, "
+    + V.join_sql(
+        r"list_transform(list_filter(string_split_regex(regexp_replace(lower(text), '[^\p{L}\p{N}_\s]', '', 'g'), '\s+'), "
+        r"lambda t: length(t) > 0), lambda t: left(t, 3))",
+        " ",
+    )
+    + " AS text_clean FROM documents",
+)
+def t9_dictionary(spark, d):
+    """Every word of all documents is an entry of the dictionary."""
+    rows = docs(spark, d)
+    words = rows.select(F.explode(TX.training_tokens(F.col("text"))).alias("form")).distinct()
+    forms = words.select("form", F.substring("form", 1, 3).alias("lemma"))
+    return X.training_text(rows, "text", [], None, forms, "doc_id").select("doc_id", "text_clean")
+
+
 @query(
     "t11_word_grams",
     r"SELECT doc_id, list_filter(string_split_regex(text, '\s+'), lambda w: length(w) > 0) AS w, 0 AS x FROM documents".join(
