@@ -19,6 +19,23 @@ def query(function):
     return function
 
 
+def oracle(sql: str):
+    """States a query in DuckDB's SQL over the tables by name."""
+
+    def register(function):
+        ORACLES[function.__name__] = sql
+        return function
+
+    return register
+
+
+#: Least node that links (a, b), both ways, lead to, for each of ``nodes`` (node).
+_REACHED = """reached AS (SELECT node AS a, node AS b FROM nodes UNION
+    SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b),
+    grouped AS (SELECT a AS node, min(b) AS component_id FROM reached GROUP BY 1)"""
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return apply_defaults(spark).read.parquet(f"{folder}/{name}.parquet")
 
@@ -42,6 +59,22 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
+@oracle(
+    f"""WITH sized AS (SELECT doc_id, source, len({_WORDS}) AS size, md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place FROM documents),
+    sources AS (SELECT source, sum(size)::BIGINT AS source_size,
+        CAST((row_number() OVER (ORDER BY source IS NULL, CAST(source AS BLOB)) - 1) % 3 + 1 AS DOUBLE) AS weight FROM sized GROUP BY source),
+    capped AS (SELECT *, source_size * 3.0::DOUBLE AS cap, source_size * 3.0::DOUBLE / weight AS ratio FROM sources),
+    levels AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0)) /
+        (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+        FROM capped WINDOW before AS (ORDER BY ratio, cap, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    filled AS (SELECT source, source_size, least(cap, weight * (SELECT arg_min(level, ratio) FROM levels WHERE level <= ratio)) AS target FROM levels),
+    placed AS (SELECT doc_id, size, source_size, target,
+        CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole,
+        sum(size) OVER (PARTITION BY sized.source ORDER BY place, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto
+        FROM sized JOIN filled ON sized.source IS NOT DISTINCT FROM filled.source)
+    SELECT doc_id, size, source_size, target, CAST(size * (whole + CASE WHEN target - whole * source_size > 0
+        AND upto - size / 2 < target - whole * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM placed"""
+)
 def op2_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = source_mix.mix(table(spark, folder, "documents"), "doc_id", "source", source_mix.word_count(F.col("text")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -69,6 +102,12 @@ def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
+@oracle(
+    f"""WITH RECURSIVE nodes AS (SELECT vec_id AS node FROM embeddings),
+    links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM embeddings x JOIN embeddings y ON x.vec_id <> y.vec_id
+        AND list_cosine_similarity(CAST(x.embedding AS DOUBLE[]), CAST(y.embedding AS DOUBLE[])) >= 0.95), {_REACHED}
+    SELECT node AS vec_id, (SELECT count(*) FROM links WHERE a = node) AS n_links, component_id, node = component_id AS kept FROM grouped"""
+)
 def op6_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vector_dedup.near_vectors(table(spark, folder, "embeddings"), "vec_id", "embedding")
 
@@ -78,6 +117,16 @@ CONFLICT = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerat
 
 
 @query
+@oracle(
+    """WITH said AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'),
+    lengths AS (SELECT *, length(text) + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 9 ELSE 17 END
+        + CASE WHEN conv_id = -7 THEN 3 ELSE 0 END AS n FROM said)
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+        coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+        sum(n)::BIGINT + 10 AS formatted_chars FROM lengths GROUP BY conv_id"""
+)
 def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     said = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     more = spark.createDataFrame(CONFLICT, said.schema)
@@ -86,6 +135,19 @@ def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
+@oracle(
+    f"""WITH RECURSIVE worded AS (SELECT doc_id, list_transform({_WORDS},
+        lambda w: translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS words FROM documents),
+    shingled AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS found FROM worded),
+    sizes AS (SELECT doc_id, len(found) AS n_shingles FROM shingled),
+    each AS (SELECT doc_id, unnest(found) AS shingle FROM shingled),
+    common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM each x JOIN each y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL),
+    links AS (SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+        WHERE 100 * n >= 75 * (p.n_shingles + q.n_shingles - n)),
+    nodes AS (SELECT doc_id AS node FROM documents), {_REACHED}
+    SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM sizes JOIN grouped ON node = doc_id"""
+)
 def op8_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, folder, "documents"), "doc_id", "text")
 

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from callsift.session import stage
 
-#: Hash blocks of a source.  Only one block of a source has its rows sorted.
-BLOCKS = 4096
+#: Digits of the hash that name a block of a source: 4,096 blocks.  Only rows of one block are sorted together.
+BLOCK_DIGITS = 3
 
 
 def word_count(text: Column) -> Column:
@@ -66,7 +66,6 @@ def mix(
     weights=(1, 2, 3),
     most: float = 3.0,
     seed: int = 0,
-    blocks: int = BLOCKS,
     carry: tuple[str, ...] | list[str] = (),
 ) -> DataFrame:
     """One row per row of ``df``: key, ``source``, ``size``, ``source_size``, ``target``, ``repeats``, ``taken``, ``carried``.
@@ -83,14 +82,14 @@ def mix(
     Rows alike in key and size may swap places, which changes nothing.  An
     empty table gives an empty one.
     """
-    place = F.xxhash64(F.lit(seed), F.col(key), size)
+    place = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
     rows = stage(
         df.select(
             F.col(key),
             F.col(source).alias("source"),
             size.cast("long").alias("size"),
             place.alias("_place"),
-            F.pmod(F.xxhash64(F.lit(seed + 1), F.col(key)), F.lit(blocks)).alias("_block"),
+            F.substring(place, 1, BLOCK_DIGITS).alias("_block"),
             F.struct(*(carry or [key])).alias("carried"),
         )
     )
