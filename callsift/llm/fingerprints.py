@@ -7,8 +7,8 @@ have is gone; cells that hold a single digest give it away, and taking it out
 of its other cells lays open more of them.  If that peeling gets stuck, the
 pair is tried again with larger sketches.
 
-Everything is DataFrame functions: sketches are built inside a row, peeling is
-a chain of aggregations that all keep the partitioning by document.
+Everything is DataFrame functions: building sketches and peeling them are a
+chain of aggregations that all keep the partitioning by document.
 """
 
 from __future__ import annotations
@@ -42,109 +42,79 @@ def _cell(digest: Column, part: int, size, salt) -> Column:
     return (F.pmod(F.xxhash64(digest, F.lit(part), salt), size) + part * size).cast("int")
 
 
-def sketch(digests: Column, size: int = PART) -> Column:
-    """Array of cells (n, key, check) over an array of digests."""
-    placed = F.transform(
-        digests, lambda d: F.struct(d.alias("d"), _check(d).alias("c"), *[_cell(d, p, F.lit(size), F.lit(0)).alias(f"p{p}") for p in range(PARTS)])
-    )
-    empty = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("check"))
-
-    def cell(number: Column, part: int) -> Column:
-        here = F.filter(placed, lambda x: x[f"p{part}"] == number)
-        return F.aggregate(
-            here,
-            empty,
-            lambda s, x: F.struct((s["n"] + 1).alias("n"), s["key"].bitwiseXOR(x["d"]).alias("key"), s["check"].bitwiseXOR(x["c"]).alias("check")),
-        )
+def sketches(rows: DataFrame, by: list[str], digests: str, size=PART, salt: int = 0, sign: str | None = None) -> DataFrame:
+    """Rows of cells (by, size, cell, n, key, check) of the sketch of each array of digests.
 
-    parts = [
-        F.transform(F.sequence(F.lit(p * size), F.lit((p + 1) * size - 1)), (lambda part: lambda i: cell(i, part))(p)) for p in range(PARTS)
-    ]
-    return F.concat(*parts)
+    ``size`` is a number or a column.  ``sign`` names a column by which the
+    contributions of a row count, 1 or -1: sketches of opposite signs that
+    share ``by`` come out subtracted.
+    """
+    width = F.col(size) if isinstance(size, str) else F.lit(size)
+    each = F.col(sign).cast("long") if sign else F.lit(1).cast("long")
+    said = rows.select(*by, width.alias("size"), each.alias("n"), F.explode(digests).alias("key"))
+    cells = F.array(*[_cell(F.col("key"), p, F.col("size"), F.lit(salt)) for p in range(PARTS)])
+    said = said.select(*by, "size", "n", "key", _check(F.col("key")).alias("check"), F.explode(cells).alias("cell"))
+    return _added(said, by)
 
 
-def as_text(cells: Column) -> Column:
-    """A sketch as a string: each cell in hexadecimal, ``-`` for an empty one."""
-    return F.array_join(
-        F.transform(
-            cells,
-            lambda c: F.when(c["n"] == 0, F.lit("")).otherwise(F.concat_ws(".", F.hex(c["n"]), F.hex(c["key"]), F.hex(c["check"]))),
-        ),
-        "-",
-    )
+def _added(cells: DataFrame, by: list[str]) -> DataFrame:
+    """Cells that share a place, added up.  Empty ones go."""
+    summed = cells.groupBy(*by, "size", "cell").agg(F.sum("n").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check"))
+    return summed.filter((F.col("n") != 0) | (F.col("key") != 0) | (F.col("check") != 0))
 
 
-def subtract(left: Column, right: Column) -> Column:
-    """Cells of one sketch less those of another of the same size."""
-    return F.zip_with(
-        left,
-        right,
-        lambda a, b: F.struct(
-            (a["n"] - b["n"]).alias("n"), a["key"].bitwiseXOR(b["key"]).alias("key"), a["check"].bitwiseXOR(b["check"]).alias("check")
-        ),
+def as_text(cells: Column) -> Column:
+    """A sketch as a string: its cells (cell, n, key, check) in order, in hexadecimal."""
+    return F.array_join(
+        F.transform(F.array_sort(cells), lambda c: F.concat_ws(".", F.hex(c["cell"]), F.hex(c["n"]), F.hex(c["key"]), F.hex(c["check"]))), "-"
     )
 
 
-def _summed(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Cells from contributions; empty ones go.  ``found`` rows hold a recovered digest and stay."""
-    summed = rows.groupBy(*by, "size", "cell", "found").agg(F.sum("n").alias("n"), F.bit_xor("key").alias("key"), F.bit_xor("check").alias("check"))
-    return summed.filter(F.col("found").isNotNull() | (F.col("n") != 0) | (F.col("key") != 0) | (F.col("check") != 0))
-
-
-def cells_of_sketches(pairs: DataFrame, by: list[str], difference: Column, size: int = PART) -> DataFrame:
-    """Rows of the cells of a difference of sketches."""
-    cells = pairs.select(*by, F.posexplode(difference).alias("cell", "c")).filter("c.n != 0 or c.key != 0 or c.check != 0")
-    return cells.select(*by, F.lit(size).alias("size"), "cell", F.lit(None).cast("long").alias("found"), "c.n", "c.key", "c.check")
+#: Cells in which peeling notes what it has found, below the others: on the left only, on the right only.
+FOUND_LEFT, FOUND_RIGHT = -1, -2
 
 
-def cells_of_digests(pairs: DataFrame, by: list[str], left: str, right: str, size: str, salt: int) -> DataFrame:
-    """The same for sketches of any size, a column: both sides go into the cells, the right one with the sign changed."""
-    def signed(side: str, sign: int) -> Column:
-        return F.transform(F.col(side), lambda d: F.struct(F.lit(sign).cast("long").alias("n"), d.alias("d")))
+def peel(cells: DataFrame, by: list[str], salt: int, cycles: int = CYCLES, digests: bool = False) -> DataFrame:
+    """Take single digests out of the cells, part after part, and leave what can't be taken.
 
-    sides = [signed(left, 1), signed(right, -1)]
-    rows = pairs.select(*by, F.col(size).alias("size"), F.explode(F.concat(*sides)).alias("x"))
-    cells = F.array(*[_cell(F.col("x.d"), p, F.col("size"), F.lit(salt)) for p in range(PARTS)])
-    rows = rows.select(*by, "size", F.explode(cells).alias("cell"), F.lit(None).cast("long").alias("found"), "x.n", F.col("x.d").alias("key"), _check(F.col("x.d")).alias("check"))
-    return _summed(rows, by)
-
-
-def peel(cells: DataFrame, by: list[str], salt: int, cycles: int = CYCLES) -> DataFrame:
-    """Take single digests out of the cells, part after part; what is left and what is ``found`` (n = 1: left, -1: right).
-
-    In one part a digest has one cell, so it is found once.
+    In one part a digest has one cell, so it is found once.  What is found is
+    added up in the cells ``FOUND_LEFT`` and ``FOUND_RIGHT``: ``n`` is their
+    number, negative on the right.  With ``digests`` each has a row of its
+    own instead, whose ``size`` is 0.
     """
     for step in range(cycles * PARTS):
         part = step % PARTS
+        n, key = F.col("n"), F.col("key")
         pure = (
-            F.col("found").isNull()
-            & (F.floor(F.col("cell") / F.col("size")) == part)
-            & (F.abs("n") == 1)
-            & (F.col("check") == _check(F.col("key")))
-            & (_cell(F.col("key"), part, F.col("size"), F.lit(salt)) == F.col("cell"))
+            (F.col("cell") >= part * F.col("size"))
+            & (F.col("cell") < (part + 1) * F.col("size"))
+            & ((n == 1) | (n == -1))
+            & (F.col("check") == _check(key))
+            & (_cell(key, part, F.col("size"), F.lit(salt)) == F.col("cell"))
         )
-        fields = [F.col("n").alias("n"), F.col("key").alias("key"), F.col("check").alias("check")]
-        nothing = F.lit(None).cast("long").alias("found")
-        same = F.struct(F.col("cell").alias("cell"), F.col("found").alias("found"), *fields)
-        taken = F.struct(F.lit(-1).alias("cell"), F.col("key").alias("found"), *fields)
+
+        def row(cell: Column, n: Column, key: Column, check: Column, size: Column) -> Column:
+            return F.struct(size.alias("size"), cell.cast("int").alias("cell"), n.alias("n"), key.alias("key"), check.alias("check"))
+
+        side = F.when(n > 0, F.lit(FOUND_LEFT)).otherwise(F.lit(FOUND_RIGHT))
+        if digests:
+            taken = row(F.pmod(F.xxhash64(key), F.lit(1 << 30)), n, key, F.col("check"), F.lit(0))
+        else:
+            taken = row(side, n, F.lit(0).cast("long"), F.lit(0).cast("long"), F.col("size"))
         others = [
-            F.struct(
-                _cell(F.col("key"), p, F.col("size"), F.lit(salt)).alias("cell"), nothing, (-F.col("n")).alias("n"), F.col("key").alias("key"), F.col("check").alias("check")
-            )
-            for p in range(PARTS)
-            if p != part
+            row(_cell(key, p, F.col("size"), F.lit(salt)), -n, key, F.col("check"), F.col("size")) for p in range(PARTS) if p != part
         ]
-        rows = cells.select(*by, "size", F.explode(F.when(pure, F.array(taken, *others)).otherwise(F.array(same))).alias("x"))
-        cells = _summed(rows.select(*by, "size", "x.cell", "x.found", "x.n", "x.key", "x.check"), by)
+        same = row(F.col("cell"), n, key, F.col("check"), F.col("size"))
+        rows = cells.select(*by, F.explode(F.when(pure, F.array(taken, *others)).otherwise(F.array(same))).alias("x"))
+        cells = _added(rows.select(*by, "x.size", "x.cell", "x.n", "x.key", "x.check"), by)
     return cells
 
 
 def _outcome(peeled: DataFrame, by: list[str]) -> DataFrame:
     """For each pair with a difference: digests only on the left, only on the right, and whether nothing is left over."""
-    known = F.col("found").isNotNull()
-    count = lambda c: F.sum(c.cast("long"))
+    found = lambda c: F.coalesce(F.sum(F.when(F.col("cell") == c, F.abs("n"))), F.lit(0))
     return peeled.groupBy(*by).agg(
-        count(known & (F.col("n") > 0)).alias("only_left"), count(known & (F.col("n") < 0)).alias("only_right"), (count(~known) == 0).alias("solved")
+        found(FOUND_LEFT).alias("only_left"), found(FOUND_RIGHT).alias("only_right"), (F.min(F.col("cell") < 0)).alias("solved")
     )
 
 
@@ -155,21 +125,26 @@ def _larger(pairs: DataFrame, salt: int) -> DataFrame:
     return pairs.withColumn("cells", F.greatest(F.lit(2 * PART), F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(need, F.lit(1))))).cast("int")))
 
 
+def signed(pairs: DataFrame, by: list[str], *more: str) -> DataFrame:
+    """The digests of a pair as two rows: ``sign`` 1 for those on the left, -1 for those on the right."""
+    sides = F.array(*[F.struct(F.lit(n).alias("sign"), F.col(side).alias("digests")) for side, n in (("left", 1), ("right", -1))])
+    return pairs.select(*by, *more, F.explode(sides).alias("x")).select(*by, *more, "x.sign", "x.digests")
+
+
 def differences(pairs: DataFrame, by: list[str], partition_by: str) -> DataFrame:
     """(by, only_left, only_right) of pairs whose digests (``left``, ``right``) differ; the others have no row.
 
-    First with the fingerprints themselves, then with larger sketches for the
-    pairs that got stuck, until none is left.
+    First with sketches as large as the fingerprints, then with larger ones for
+    the pairs that got stuck, until none is left.
     """
-    difference = subtract(sketch(F.col("left")), sketch(F.col("right")))
-    cells = cells_of_sketches(pairs.repartition(partition_by), by, difference)
-    tried = stage(_outcome(peel(cells, by, 0, 3), by))
+    cells = sketches(signed(pairs.repartition(partition_by), by), by, "digests", sign="sign")
+    tried = stage(_outcome(peel(cells, by, 0, 2), by))
     solved, salt = [tried.filter("solved")], 0
     stuck = tried.filter("not solved").select(*by)
     while not stuck.isEmpty():
         salt += 1
         again = _larger(pairs.join(stuck, by), salt).repartition(partition_by)
-        cells = cells_of_digests(again, by, "left", "right", "cells", salt)
+        cells = sketches(signed(again, by, "cells"), by, "digests", "cells", salt, "sign")
         tried = stage(_outcome(peel(cells, by, salt), by))
         solved.append(tried.filter("solved"))
         stuck = tried.filter("not solved").select(*by)
@@ -179,6 +154,17 @@ def differences(pairs: DataFrame, by: list[str], partition_by: str) -> DataFrame
     return out.drop("solved")
 
 
+def fingerprints_of(rows: DataFrame, by: str, digests: dict[str, str]) -> DataFrame:
+    """``by`` and the fingerprint of each array of digests, by the name of its column."""
+    kinds = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(c).alias("digests")) for i, c in enumerate(digests.values())])
+    versions = rows.select(by, F.explode(kinds).alias("x")).select(by, "x.kind", "x.digests").repartition(by)
+    cells = sketches(versions, [by, "kind"], "digests")
+    held = F.struct("cell", "n", "key", "check")
+    lists = [F.collect_list(F.when(F.col("kind") == i, held)).alias(name) for i, name in enumerate(digests)]
+    made = cells.groupBy(by).agg(*lists)
+    return made.select(by, *[as_text(F.col(name)).alias(name) for name in digests])
+
+
 #: Stands for a null id, before all others.
 NO_ID = -(1 << 63)
 
@@ -247,12 +233,13 @@ def fingerprint(df: DataFrame, key: str, text: str) -> DataFrame:
         union = F.size("own") + right
         return F.when(union == 0, F.lit(1.0)).otherwise((F.size("own") - left) / union)
 
-    return rows.join(wide, "row", "left").select(
+    printed = fingerprints_of(rows, "row", {"fingerprint": "own", "edited_fingerprint": "changed"})
+    return rows.join(wide, "row", "left").join(printed, "row", "left").select(
         F.when(F.col("id") != NO_ID, F.col("id")).alias(key),
         "n_chars",
         "edited_sha256",
-        as_text(sketch(F.col("own"))).alias("fingerprint"),
-        as_text(sketch(F.col("changed"))).alias("edited_fingerprint"),
+        F.coalesce("fingerprint", F.lit("")).alias("fingerprint"),
+        F.coalesce("edited_fingerprint", F.lit("")).alias("edited_fingerprint"),
         likeness(0).alias("near_edited"),
         likeness(1).alias("near_next"),
     )

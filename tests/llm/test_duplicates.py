@@ -187,5 +187,8 @@ def test_sketches_subtract_and_peel(make):
     rows = make([(1, left, right), (2, left, left), (3, list(range(500)), list(range(400, 900)))], "k long, left array<long>, right array<long>")
     got = {r["k"]: (r["only_left"], r["only_right"]) for r in fingerprints.differences(rows, ["k"], "k").collect()}
     assert got == {1: (3, 4), 3: (400, 400)}
-    cells = rows.filter("k = 2").select(fingerprints.subtract(fingerprints.sketch(F.col("left")), fingerprints.sketch(F.col("right"))).alias("c")).first()["c"]
-    assert len(cells) == fingerprints.PART * fingerprints.PARTS and not any(c["n"] or c["key"] for c in cells)
+    same = fingerprints.sketches(fingerprints.signed(rows.filter("k = 2"), ["k"]), ["k"], "digests", sign="sign")
+    assert same.count() == 0
+    one = fingerprints.sketches(fingerprints.signed(rows.filter("k = 1"), ["k"]), ["k"], "digests", 16, 3, "sign")
+    found = fingerprints.peel(one, ["k"], 3, digests=True).filter("size = 0").collect()
+    assert {(r["key"], r["n"]) for r in found} == {(0, 1), (1, 1), (2, 1), (60, -1), (61, -1), (62, -1), (63, -1)}
