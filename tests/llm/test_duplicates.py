@@ -2,7 +2,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from callsift.llm import fingerprints, minhash_dedup, vector_dedup
 from callsift.llm.components import connected
