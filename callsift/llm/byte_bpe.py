@@ -11,6 +11,7 @@ import base64
 import functools
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,34 +37,92 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
-@functools.lru_cache(maxsize=2)
-def _codec(path: str, pattern: str):
-    """Tokenizer and the bytes of each id, once in a process."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Regex, Tokenizer, models, pre_tokenizers
-
-    ranks, table = read_ranks(path), byte_characters()
-    spelled = {token: "".join(map(table.__getitem__, token)) for token in ranks}
-    # by rank, every pair of tokens that makes up the token: any of them may meet in a text
-    merges = [
-        (spelled[token[:i]], spelled[token[i:]])
-        for token in sorted(ranks, key=ranks.__getitem__)
-        for i in range(1, len(token))
-        if token[:i] in ranks and token[i:] in ranks
-    ]
-    vocabulary = {spelled[token]: rank for token, rank in ranks.items()}
-    coder = Tokenizer(models.BPE(vocab=vocabulary, merges=merges, ignore_merges=True, cache_capacity=100_000))
-    coder.pre_tokenizer = pre_tokenizers.Sequence(
-        [
-            pre_tokenizers.Split(Regex(pattern), "isolated"),
-            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+class Codec:
+    """A vocabulary, ready to encode and decode; one in a process.
+
+    The pattern cuts texts into matches.  Most matches recur, so each is
+    encoded once and remembered, up to ``REMEMBERED`` of them.
+    """
+
+    def __init__(self, path: str, pattern: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import regex
+        from tokenizers import models
+
+        ranks, self.table = read_ranks(path), dict(enumerate(byte_characters()))
+        spelled = {token: "".join(map(self.table.__getitem__, token)) for token in ranks}
+        # by rank, every pair of tokens that makes up the token: any of them may meet in a text
+        merges = [
+            (spelled[token[:i]], spelled[token[i:]])
+            for token in sorted(ranks, key=ranks.__getitem__)
+            for i in range(1, len(token))
+            if token[:i] in ranks and token[i:] in ranks
         ]
-    )
-    unspell = {c: b for b, c in enumerate(table)}
-    spellings = [b""] * (max(ranks.values()) + 1)
-    for token, rank in vocabulary.items():
-        spellings[rank] = bytes(map(unspell.__getitem__, token))
-    return coder, spellings
+        vocabulary = {spelled[token]: rank for token, rank in ranks.items()}
+        self.model = models.BPE(vocab=vocabulary, merges=merges, ignore_merges=True, cache_capacity=0)
+        self.matches = regex.compile(pattern).findall
+        unspell = {c: b for b, c in self.table.items()}
+        spellings = [b""] * (max(ranks.values()) + 1)
+        for token, rank in vocabulary.items():
+            spellings[rank] = bytes(map(unspell.__getitem__, token))
+        self.lengths = np.fromiter(map(len, spellings), np.int64, len(spellings))
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.bytes = np.frombuffer(b"".join(spellings), np.uint8)
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.covered: dict[str, list[tuple[int, int]]] = {}
+
+    def learn(self, matches) -> None:
+        """Encode the matches that are not known yet."""
+        if len(self.known) > REMEMBERED:
+            self.known, self.covered = {}, {}
+        new = [m for m in set(matches) if m not in self.known]
+        spelled = [m.encode("utf-8").decode("latin-1").translate(self.table) for m in new]
+        for match, word in zip(new, spelled, strict=True):
+            self.known[match] = tuple([token.id for token in self.model.tokenize(word)])
+
+    def ids(self, text: str) -> np.ndarray:
+        parts = []
+        for part in pieces(text):
+            matches = self.matches(part)
+            found = list(map(self.known.get, matches))
+            if None in found:
+                self.learn(m for m, ids in zip(matches, found, strict=True) if ids is None)
+                found = [self.known[m] if ids is None else ids for m, ids in zip(matches, found, strict=True)]
+            parts.append(np.fromiter(chain.from_iterable(found), np.int32))
+        return np.concatenate(parts)
+
+    def spans(self, text: str) -> list[tuple[int, int]]:
+        """Characters (start, end) that each token covers: the character of its first byte to that of its last."""
+        out, at = [], 0
+        for match in chain.from_iterable(map(self.matches, pieces(text))):
+            self.learn((match,))
+            if match not in self.covered:
+                # a byte is of the character whose first byte came last
+                of = np.cumsum([b & 0xC0 != 0x80 for b in match.encode("utf-8")]) - 1
+                ends = np.cumsum(self.lengths[list(self.known[match])])
+                begins = ends - self.lengths[list(self.known[match])]
+                self.covered[match] = list(zip(of[begins].tolist(), (of[ends - 1] + 1).tolist(), strict=True))
+            out += [(at + a, at + b) for a, b in self.covered[match]]
+            at += len(match)
+        return out
+
+    def spell(self, ids: np.ndarray) -> bytes:
+        """The bytes of ids, gathered from the table of all spellings."""
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        if not len(ids):
+            return b""
+        at = np.arange(ends[-1]) + np.repeat(self.starts[ids] - (ends - lengths), lengths)
+        return self.bytes[at].tobytes()
+
+
+#: Matches that a process remembers the ids of (some 250 bytes each).
+REMEMBERED = 500_000
+
+
+@functools.lru_cache(maxsize=2)
+def codec(path: str, pattern: str) -> Codec:
+    return Codec(path, pattern)
 
 
 def pieces(text: str, size: int = PIECE) -> list[str]:
@@ -88,21 +147,14 @@ def encode_texts(texts: list[str | None], path: str, pattern: str, spans: bool =
     A token that ends inside a character has that character in its span, as
     does the token that begins there.
     """
-    coder, _ = _codec(path, pattern)
+    own = codec(path, pattern)
     for text in texts:
-        ids, covered, at = [], [], 0
-        for part in pieces(text or ""):
-            found = coder.encode(part, add_special_tokens=False)
-            ids += found.ids
-            if spans:
-                covered += [(at + a, at + b) for a, b in found.offsets]
-            at += len(part)
-        yield ids, covered
+        yield own.ids(text or "").tolist(), own.spans(text or "") if spans else []
 
 
 def decode_ids(ids, path: str, pattern: str) -> bytes:
     """The bytes of a list of ids.  They may begin or end inside a character."""
-    return b"".join(map(_codec(path, pattern)[1].__getitem__, ids))
+    return codec(path, pattern).spell(np.asarray(ids, np.int64))
 
 
 class TextDecoder:
@@ -169,14 +221,11 @@ def encode_and_decode(df: DataFrame, text: str, path: str, pattern: str) -> Data
     """Add ``ids`` and ``decoded``, the bytes of those ids, in one pass through Python."""
 
     def rows(batch):
-        found = [i for i, _ in encode_texts(batch.column(text).to_pylist(), path, pattern)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
-        flat = pa.array(np.fromiter((x for i in found for x in i), np.int32, int(lengths.sum())))
-        return [
-            (pa.ListArray.from_arrays(offsets, flat), "ids"),
-            (pa.array([decode_ids(i, path, pattern) for i in found], pa.binary()), "decoded"),
-        ]
+        own = codec(path, pattern)
+        found = [own.ids(t or "") for t in batch.column(text).to_pylist()]
+        offsets = np.concatenate([[0], np.cumsum([len(i) for i in found])])
+        ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found)))
+        return [(ids, "ids"), (pa.array([own.spell(i) for i in found], pa.binary()), "decoded")]
 
     fields = [
         T.StructField("ids", T.ArrayType(T.IntegerType(), False), False),
