@@ -91,6 +91,11 @@ def unstage(df: DataFrame) -> None:
         delete_path(df.sparkSession, path)
 
 
+def staged(spark: SparkSession) -> list[str]:
+    """Folders of the tables that this application has staged."""
+    return list(_STAGED.get(spark.sparkContext.applicationId, []))
+
+
 def drop_stages(spark: SparkSession) -> None:
     """Delete all staged tables of this application, once its results are stored."""
     for path in _STAGED.pop(spark.sparkContext.applicationId, []):
