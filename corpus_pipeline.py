@@ -2,16 +2,21 @@
 
 Each stage takes the rows that the one before it kept, written as Parquet.
 All but the last return the columns of ``documents``.
+
+What a stage has staged for itself is deleted when the next one is called, so
+its result has to be written by then.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from callsift.llm import byte_bpe, language_id, minhash_dedup, source_mix, toxicity
 from callsift.llm.queries import tokenizer
-from callsift.session import apply_defaults, stage
+from callsift.session import apply_defaults, delete_path, shared_path, staged
 
 #: From this probability on a document counts as toxic.
 TOXIC = 0.7
@@ -30,6 +35,32 @@ def _unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.select(*[F.col(c) if c in NEEDED else F.col("_others").getField(c).alias(c) for c in docs.columns])
 
 
+_left: list[str] = []
+
+
+def _tidy(function):
+    """Delete what the stage before has staged; its result is written."""
+
+    @functools.wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _left:
+            delete_path(spark, _left.pop())
+        before = set(staged(spark))
+        result = function(spark, docs, sf_dir)
+        _left.extend(path for path in staged(spark) if path not in before)
+        return result
+
+    return run
+
+
+def stored(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Write the result of a stage to the shared folder and read it again."""
+    path = shared_path(spark, "pipeline")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@_tidy
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language can't be told: null texts and texts without a letter.
 
@@ -41,6 +72,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return _unpacked(told.filter(F.col("lang_pred") != language_id.UNDETERMINED), docs)
 
 
+@_tidy
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that score as toxic.  Labels of every third document are not learned from."""
     labels = apply_defaults(spark).read.parquet(f"{sf_dir}/labels.parquet")
@@ -49,6 +81,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _unpacked(toxicity.score(_packed(docs), "text", model).filter(F.col("score") < TOXIC), docs)
 
 
+@_tidy
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the least id of each group of near duplicates.
 
@@ -61,6 +94,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return _unpacked(single, docs).unionByName(docs.filter("doc_id is null"))
 
 
+@_tidy
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat and drop documents so that sources come to their shares.  A document stands there as often as it is taken."""
     mixed = source_mix.mix(docs, "doc_id", "source", source_mix.word_count(F.col("text")), carry=docs.columns)
@@ -68,6 +102,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.select("carried", F.explode(times)).select(*[F.col("carried").getField(c).alias(c) for c in docs.columns])
 
 
+@_tidy
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and digests of the ids and of the bytes that they decode to."""
     coded = byte_bpe.encode_and_decode(docs.select("doc_id", "source", "text"), "text", *tokenizer())
@@ -97,5 +132,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     rows = apply_defaults(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for _, function in STAGES:
-        rows = stage(function(spark, rows, sf_dir))
+        rows = stored(spark, function(spark, rows, sf_dir))
     return rows
