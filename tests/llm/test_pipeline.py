@@ -46,7 +46,7 @@ def test_each_stage_does_its_work(spark, folder):
     rows = spark.read.parquet(f"{folder}/documents.parquet")
     names, kept = rows.columns, [rows]
     for name, function in corpus_pipeline.STAGES:
-        kept.append(corpus_pipeline.stage(function(spark, kept[-1], folder)))
+        kept.append(corpus_pipeline.stored(spark, function(spark, kept[-1], folder)))
         if name != "byte_bpe":
             assert kept[-1].columns == names
     every, told, clean, single, mixed, tokens = ([r.asDict() for r in k.collect()] for k in kept)
