@@ -4,7 +4,8 @@ Text nodes of a page are grouped by their path of tags from the root.  Each
 path has a ratio of text to nodes and one of punctuation to text; both are
 smoothed over the page, fused, and cut at a threshold.  The container that
 holds most of the selected text is the article, and all of its blocks that are
-not boilerplate by tag or name come out in page order.
+not boilerplate come out in page order.  Some tags and roles are boilerplate;
+names (classes and ids) only lower the scores of what stands under them.
 """
 
 from __future__ import annotations
@@ -43,6 +44,23 @@ NOISE_NAME = re.compile(
     r"tags|toolbar|search|form|copyright|skip|hidden)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+#: Names of boilerplate that an article's own parts have as well.
+AMBIGUOUS = re.compile(
+    r"nav|navigation|menu|header|side|aside|notices?|alert|modal|overlay|replies|reply|discussion|related|recommend\w*|tags|"
+    r"search|form|copyright|skip|hidden",
+    re.IGNORECASE,
+)
+#: Names that tell boilerplate even as the id of a section.
+OF_SECTIONS = re.compile(r"ads?|advert\w*|sidebar|newsletter|comments?|commentlist|disqus|respond", re.IGNORECASE)
+#: Words that go with a name of boilerplate and do not change what it says.
+NEUTRAL = frozenset(
+    "area bar block bottom box buttons col column container frame group holder icons inner item items left links list outer panel "
+    "placeholder primary right row secondary section site slot small title top unit wrap wrapper".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What a name does: some word of it, a name of nothing else, and one that an article's own parts don't have.
+HINT, NAMED, CERTAIN, BOILERPLATE = 1, 2, 3, 4
+LOWERED = {HINT: 0.5, NAMED: 0.1, CERTAIN: 0.02}
 NOISE_ROLE = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -56,37 +74,62 @@ SPACE = re.compile(r"\s+")
 
 @dataclass
 class Node:
-    """A block of text: its path of tags, its elements from the root (numbers), its text, and whether it is in boilerplate."""
+    """A block of text: its path of tags, its elements from the root (numbers), its text, and whether it is in boilerplate.
+
+    ``named``: number and kind of each element around it that has a name of boilerplate.
+    """
 
     path: str
     inside: tuple[int, ...]
     text: str
     links: int
     noise: bool
+    named: tuple[tuple[int, int], ...] = ()
+
+
+def _name_kind(value: str, of_section: bool) -> int:
+    """What the words of a class or id tell; the id of a section is its topic unless it is one of a few."""
+    kind = 0
+    for token in value.split():
+        words = [w for w in re.split(r"[_-]+", token) if w and not w.isdigit()]
+        noisy = [w for w in words if NOISE_NAME.search(w)]
+        if not noisy:
+            continue
+        if of_section:
+            noisy = [w for w in noisy if OF_SECTIONS.fullmatch(w)]
+            if not noisy:
+                continue
+        if len(noisy) + sum(w.lower() in NEUTRAL and w not in noisy for w in words) < len(words):
+            kind = max(kind, 0 if of_section else HINT)
+        else:
+            kind = max(kind, NAMED if all(AMBIGUOUS.fullmatch(w) for w in noisy) else CERTAIN)
+    return kind
 
 
-def _is_noise(name: str, attributes: str) -> bool:
+def _kind(name: str, attributes: str) -> int:
+    """``BOILERPLATE`` by tag, role or style, or what the names of an element tell."""
     if name in NOISE:
-        return True
+        return BOILERPLATE
     if not attributes or name in ("html", "body", "article", "main"):
-        return False
+        return 0
+    kind = 0
     for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), html.unescape(value.strip("\"'"))
-        if key in ("class", "id") and NOISE_NAME.search(value):
-            return True
+        if key in ("class", "id") and name not in HEADINGS and NOISE_NAME.search(value):
+            kind = max(kind, _name_kind(value, key == "id" and name == "section"))
         if key == "role" and value.lower() in NOISE_ROLE:
-            return True
+            return BOILERPLATE
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return BOILERPLATE
         if key == "style" and re.search(r"display\s*:\s*none", value, re.IGNORECASE):
-            return True
-    return False
+            return BOILERPLATE
+    return kind
 
 
 def blocks(page: str) -> list[Node]:
     """Blocks of text in page order.  Markup that is not closed, or closed twice, is taken as browsers take it."""
     found: list[Node] = []
-    stack: list[tuple[str, int, bool]] = []  # block elements and links: name, number, boilerplate
+    stack: list[tuple[str, int, int]] = []  # block elements and links: name, number, kind
     pending: list[str] = []
     state = {"number": 0, "links": 0}
 
@@ -95,7 +138,9 @@ def blocks(page: str) -> list[Node]:
         if text:
             outer = [e for e in stack if e[0] not in INLINE]
             path = "/".join(e[0] for e in outer)
-            found.append(Node(path, tuple(e[1] for e in outer), text, min(state["links"], len(text)), any(e[2] for e in stack)))
+            noise = any(e[2] == BOILERPLATE for e in stack)
+            named = tuple((e[1], e[2]) for e in stack if e[2])
+            found.append(Node(path, tuple(e[1] for e in outer), text, min(state["links"], len(text)), noise, named))
         pending.clear()
         state["links"] = 0
 
@@ -155,7 +200,7 @@ def blocks(page: str) -> list[Node]:
                 pending.append(" ")
             elif name not in VOID:
                 state["number"] += 1
-                stack.append((name, state["number"], _is_noise(name, match["attributes"])))
+                stack.append((name, state["number"], _kind(name, match["attributes"])))
             continue
         if name in ENDS_PARAGRAPH and (place := open_place({"p"})) is not None:
             pop_to(place)
@@ -164,7 +209,7 @@ def blocks(page: str) -> list[Node]:
         flush()
         if name not in VOID:
             state["number"] += 1
-            stack.append((name, state["number"], _is_noise(name, match["attributes"])))
+            stack.append((name, state["number"], _kind(name, match["attributes"])))
     flush()
     return found
 
@@ -191,18 +236,90 @@ def path_scores(nodes: list[Node]) -> np.ndarray:
     return smooth(text) * (1.0 + smooth(marks))
 
 
-def extract(page: str | None) -> str:
-    """The article: blocks joined by line ends, empty if the page has none."""
-    nodes = [n for n in blocks(page or "") if not n.noise]
-    if not nodes:
-        return ""
-    scores = path_scores(nodes)
+def select(nodes: list[Node], scores: np.ndarray) -> list[Node]:
+    """Blocks of the paths that reach the threshold."""
     # paths, not single blocks, are selected: short paragraphs go with long ones
     best: dict[str, float] = {}
     for node, score in zip(nodes, scores, strict=True):
         best[node.path] = max(best.get(node.path, 0.0), score)
     threshold = float(np.std(scores))
-    selected = [n for n in nodes if best[n.path] >= threshold] or nodes
+    return [n for n in nodes if best[n.path] >= threshold] or nodes
+
+
+def _article(selected: list[Node]) -> int | None:
+    """Number of the article or main element with most of the selected text, the innermost that has half of it."""
+    held: dict[int, float] = {}
+    around: dict[int, set[int]] = {}
+    for node in selected:
+        weight = min((LOWERED[kind] for _, kind in node.named), default=1.0) * len(node.text)
+        found = [e for e, tag in zip(node.inside, node.path.split("/"), strict=False) if tag in ("article", "main")]
+        for level, element in enumerate(found):
+            held[element] = held.get(element, 0.0) + weight
+            around.setdefault(element, set()).update(found[:level])
+    if not held:
+        return None
+    top = max(held, key=lambda e: (held[e], -e))
+    inner = [e for e in held if top in around[e] and held[e] * 2 >= held[top]]
+    return max(inner, default=top)
+
+
+def without_named(nodes: list[Node]) -> list[Node]:
+    """Blocks without those of named elements whose lowered scores fall short of the rest of the page.
+
+    An element stays that holds the article or more than half of the selected
+    text; under a certain name, two thirds of all text outside links (nine
+    tenths within the article), as some comments are longer than what they are
+    about.  Within the article only certain names count.
+    """
+    if not any(n.named for n in nodes):
+        return nodes
+    scores = path_scores(nodes)
+    selected = select(nodes, scores)
+    article = _article(selected) or _article(nodes)
+    total = sum(len(n.text) for n in selected)
+    plain = sum(len(n.text) - n.links for n in nodes)
+    plain_of_article = sum(len(n.text) - n.links for n in nodes if article in n.inside)
+    kinds: dict[int, int] = {}
+    best: dict[int, float] = {}
+    held: dict[int, int] = {}
+    held_plain: dict[int, int] = {}
+    outer: set[int] = set()
+    inner: set[int] = set()
+    for node, score in zip(nodes, scores, strict=True):
+        for element, kind in node.named:
+            kinds[element] = kind
+            best[element] = max(best.get(element, 0.0), score)
+            held_plain[element] = held_plain.get(element, 0) + len(node.text) - node.links
+            if article in node.inside:
+                (outer if element < article else inner).add(element)
+    for node in selected:
+        for element, _ in node.named:
+            held[element] = held.get(element, 0) + len(node.text)
+    chosen = set(map(id, selected))
+    rest = [s for n, s in zip(nodes, scores, strict=True) if id(n) in chosen and not n.named]
+    least = max(float(np.std(scores)), 0.3 * float(np.mean(rest if rest else scores)))
+    dropped = set()
+    for element, kind in kinds.items():
+        if element in outer or element in inner and kind != CERTAIN:
+            continue
+        if kind == CERTAIN:
+            # next to an article of some size, a long list of comments is no article
+            beside = article is not None and element not in inner and plain_of_article * 10 >= plain
+            share = held_plain[element] / max(1, plain_of_article if element in inner else plain)
+            most = not beside and share > (0.9 if element in inner else 2 / 3)
+        else:
+            most = held.get(element, 0) * 2 > total
+        if not most and LOWERED[kind] * best[element] < least:
+            dropped.add(element)
+    return [n for n in nodes if not any(e in dropped for e, _ in n.named)] or nodes
+
+
+def extract(page: str | None) -> str:
+    """The article: blocks joined by line ends, empty if the page has none."""
+    nodes = without_named([n for n in blocks(page or "") if not n.noise])
+    if not nodes:
+        return ""
+    selected = select(nodes, path_scores(nodes))
     # the innermost element that holds nine tenths of the selected text
     held: dict[int, int] = {}
     depth: dict[int, int] = {}

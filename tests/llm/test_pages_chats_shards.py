@@ -35,6 +35,34 @@ def test_page_without_an_article_element():
     assert text == "Head\nWords, many of them, here.\nMore of them, too."
 
 
+LONG = "".join(f"<p>Paragraph {i} says this, and that, and a good deal more of it.</p>" for i in range(6))
+
+
+@pytest.mark.parametrize("names", ["class='content-sidebar-wrap'", "class='site no-sidebar'", "id=related class=comments", "class=hidden"])
+@pytest.mark.parametrize("tag", ["main", "article", "div"])
+def test_wrapper_with_a_name_of_boilerplate(names, tag):
+    page = f"<body><nav>Home</nav><div {names}><{tag}><h1>Head</h1>{LONG}</{tag}></div><div class=sidebar><p>Other, things.</p></div></body>"
+    assert html_content.extract(page).split("\n") == ["Head", *html_content.extract(LONG).split("\n")]
+
+
+@pytest.mark.parametrize("tag", ["article", "div"])
+@pytest.mark.parametrize(
+    "part", ["<section id='discussion'>{}</section>", "<h2 id='related-work'>{}</h2>", "<div class='side-by-side'>{}</div>"]
+)
+def test_parts_of_an_article_with_a_name_of_boilerplate(tag, part):
+    said = "It is discussed here, at some length, by those who did it."
+    page = f"<div id=menu><a href=a>Home</a></div><{tag}><h1>Head</h1>{LONG}{part.format(said)}{LONG}</{tag}><div class='related-posts'><p>Another, post.</p></div>"
+    whole = html_content.extract(LONG).split("\n")
+    assert html_content.extract(page).split("\n") == ["Head", *whole, said, *whole]
+
+
+@pytest.mark.parametrize("names", ["class=comments", "id=sidebar", "class='cookie-notice'", "class='share-buttons'", "class='ad-slot'"])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_names_of_boilerplate_lower_scores(names, tag):
+    page = f"<{tag}>{LONG}<div {names}><p>Words that belong to others, and are of no use, here.</p></div></{tag}>"
+    assert html_content.extract(page) == html_content.extract(LONG)
+
+
 @pytest.mark.parametrize("page", ["", "   ", "<", "<p", "<!--", "<script>x", "</p></p>", "<div class=\"a", "&am", "<nav><p>x</p></nav>", "\x00"])
 def test_odd_pages(page):
     assert isinstance(html_content.extract(page), str)
