@@ -58,6 +58,8 @@ NEUTRAL = frozenset(
     "placeholder primary right row secondary section site slot small title top unit wrap wrapper".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: With one of these an ambiguous name is certain.
+TEASERS = frozenset("posts articles stories".split())
 #: What a name does: some word of it, a name of nothing else, and one that an article's own parts don't have.
 HINT, NAMED, CERTAIN, BOILERPLATE = 1, 2, 3, 4
 LOWERED = {HINT: 0.5, NAMED: 0.1, CERTAIN: 0.02}
@@ -99,10 +101,12 @@ def _name_kind(value: str, of_section: bool) -> int:
             noisy = [w for w in noisy if OF_SECTIONS.fullmatch(w)]
             if not noisy:
                 continue
-        if len(noisy) + sum(w.lower() in NEUTRAL and w not in noisy for w in words) < len(words):
+        others = {w.lower() for w in words if w not in noisy}
+        if not others <= NEUTRAL | TEASERS:
             kind = max(kind, 0 if of_section else HINT)
         else:
-            kind = max(kind, NAMED if all(AMBIGUOUS.fullmatch(w) for w in noisy) else CERTAIN)
+            open_to_parts = all(AMBIGUOUS.fullmatch(w) for w in noisy) and not others & TEASERS
+            kind = max(kind, NAMED if open_to_parts else CERTAIN)
     return kind
 
 
@@ -316,33 +320,66 @@ def without_named(nodes: list[Node]) -> list[Node]:
 
 def extract(page: str | None) -> str:
     """The article: blocks joined by line ends, empty if the page has none."""
-    nodes = without_named([n for n in blocks(page or "") if not n.noise])
+    every = blocks(page or "")
+    nodes = without_named([n for n in every if not n.noise])
     if not nodes:
         return ""
     selected = select(nodes, path_scores(nodes))
-    # the innermost element that holds nine tenths of the selected text
     held: dict[int, int] = {}
+    names: dict[int, str] = {}
     depth: dict[int, int] = {}
     for node in selected:
-        for level, element in enumerate(node.inside):
+        for level, (element, name) in enumerate(zip(node.inside, node.path.split("/"), strict=False)):
             held[element] = held.get(element, 0) + len(node.text)
+            names[element] = name
             depth[element] = level
     total = sum(len(n.text) for n in selected)
+    # an article element with half of the selected text comes whole
+    whole = [e for e, n in held.items() if names[e] in ("article", "main") and n >= 0.5 * total]
+    if whole:
+        root = min(whole, key=depth.__getitem__)
+        return "\n".join(n.text for n in nodes if root in n.inside)
+    # or else the element around nine tenths of the selected text, and all from the first selected block to the last
     large = [e for e, n in held.items() if n >= 0.9 * total]
     root = max(large, key=depth.__getitem__) if large else None
-    # an article element around it, or the block that it is part of, comes whole
-    names = {}
-    for node in selected:
-        names.update(zip(node.inside, node.path.split("/"), strict=False))
     chain = next((n.inside for n in selected if root in n.inside), ())
-    for element in chain:
-        if names.get(element) in ("article", "main") and held[element] >= 0.5 * total:
-            root = element
-            break
-    else:
-        while root is not None and names.get(root) in PARTS and len(chain) > 1 and root in chain and chain.index(root):
-            root = chain[chain.index(root) - 1]
-    return "\n".join(n.text for n in nodes if root is None or root in n.inside)
+    while root is not None and names[root] in PARTS and chain.index(root):
+        root = chain[chain.index(root) - 1]
+    chosen = set(map(id, selected))
+    inside = [at for at, n in enumerate(nodes) if root is None or root in n.inside or id(n) in chosen]
+    first, last = min(inside), max(inside)
+    taken = {id(n) for n in nodes[first : last + 1]} | _around(every, nodes, first, last)
+    return "\n".join(n.text for n in nodes if id(n) in taken)
+
+
+def _around(every: list[Node], nodes: list[Node], first: int, last: int) -> set[int]:
+    """Headings and paragraphs right before and after a run of blocks that stand directly in an element around it.
+
+    Boilerplate by tag and blocks of links end the search; outside the page's
+    own elements nothing after the run is taken.
+    """
+    shared = set(nodes[first].inside).intersection(nodes[last].inside)
+    names = dict(zip(nodes[first].inside, nodes[first].path.split("/"), strict=False))
+    left = set(map(id, nodes))
+    place = {id(n): at for at, n in enumerate(every)}
+    taken: set[int] = set()
+    for start, step in ((place[id(nodes[first])], -1), (place[id(nodes[last])], 1)):
+        passed: list[int] = []
+        at = start + step
+        while 0 <= at < len(every):
+            node = every[at]
+            at += step
+            if node.noise or id(node) in left and node.links * 2 >= len(node.text):
+                break
+            if id(node) not in left:
+                continue
+            passed.append(id(node))
+            around = node.inside[-2] if len(node.inside) > 1 else None
+            tag = node.path.rsplit("/", 1)[-1]
+            own = around in shared and names[around] not in ("html", "body")
+            if (tag == "p" or tag in HEADINGS) and (own or step < 0 and (around is None or around in shared)):
+                taken.update(passed)
+    return taken
 
 
 #: Elements that are parts of a text rather than its container.

@@ -63,6 +63,22 @@ def test_names_of_boilerplate_lower_scores(names, tag):
     assert html_content.extract(page) == html_content.extract(LONG)
 
 
+@pytest.mark.parametrize("n", [1, 3, 10, 40, 200])
+@pytest.mark.parametrize("around", ["{}", "<html><body><nav><p>Go, there.</p></nav>{}<footer><p>All, reserved.</p></footer></body></html>"])
+def test_headline_and_lede_beside_a_body_of_any_length(n, around):
+    body = "".join(f"<p>Paragraph {i} says this, and that, and a good deal more of it.</p>" for i in range(n))
+    page = f"<div id=post><h1>Headline</h1><p>Lede, of some words.</p><div class=entry>{body}</div><div class=more><p>Afterword, in short.</p></div></div>"
+    lines = html_content.extract(around.format(page)).split("\n")
+    assert lines[:2] == ["Headline", "Lede, of some words."] and lines[-1] == "Afterword, in short." and len(lines) == n + 3
+
+
+def test_selected_blocks_outside_the_longest_part():
+    part = "<div><h2>Part</h2><section><p>{}</p></section></div>"
+    texts = ["Short, but chosen.", "Long, and longer, and on it goes. " * 60, "Short, at the end."]
+    page = "<body><div id=top><a href=a>Home</a></div>" + "".join(map(part.format, texts)) + "</body>"
+    assert html_content.extract(page).split("\n") == [x for t in texts for x in ("Part", t.strip())]
+
+
 @pytest.mark.parametrize("page", ["", "   ", "<", "<p", "<!--", "<script>x", "</p></p>", "<div class=\"a", "&am", "<nav><p>x</p></nav>", "\x00"])
 def test_odd_pages(page):
     assert isinstance(html_content.extract(page), str)
