@@ -21,13 +21,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Content that is no markup, up to the closing tag.
-RAW = frozenset("script style noscript template iframe textarea title svg math select object canvas".split())
+#: Content that is not shown as text, up to the closing tag.
+RAW = frozenset("script style noscript template iframe textarea title select annotation annotation-xml desc".split())
 #: Elements that hold no article text.
 NOISE = frozenset("head nav header footer aside form button menu dialog label fieldset".split())
+#: Elements of formulas and drawings.
+FOREIGN = frozenset(
+    "math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace "
+    "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics "
+    "svg circle clippath defs ellipse g line lineargradient marker mask path pattern polygon polyline radialgradient rect stop "
+    "symbol text textpath tspan use".split()
+)
 #: Elements whose text goes on in the line around them.
-INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span "
+INLINE = FOREIGN | frozenset(
+    "a abbr acronym b bdi bdo big br canvas cite code data del dfn em font i img ins kbd mark object param q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split()
 )
 #: A new element of these ends an open paragraph.
@@ -200,9 +207,9 @@ def blocks(page: str) -> list[Node]:
                 at = end.end() if end else size
             continue
         if name in INLINE:
-            if name == "br":
+            if name in ("br", "mtd", "text"):
                 pending.append(" ")
-            elif name not in VOID:
+            if name not in VOID and not (name in FOREIGN and match["attributes"].endswith("/")):
                 state["number"] += 1
                 stack.append((name, state["number"], _kind(name, match["attributes"])))
             continue

@@ -79,6 +79,14 @@ def test_selected_blocks_outside_the_longest_part():
     assert html_content.extract(page).split("\n") == [x for t in texts for x in ("Part", t.strip())]
 
 
+def test_formulas_drawings_and_fallback_text():
+    formula = "<math><semantics><mrow><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup><mspace/></mrow><annotation>E</annotation></semantics></math>"
+    drawing = "<svg aria-hidden=true><path d='M0'/><title>Icon</title></svg><svg><g><text>up</text><text>down</text></g></svg>"
+    fallback = "<object data=x><param name=y>a film</object> or <canvas>a curve</canvas>"
+    page = f"<article><p>It is {formula}, he said.</p><p>Go{drawing}, and see {fallback}.</p><script>x</script><select><option>y</select></article>"
+    assert html_content.extract(page) == "It is E=mc2, he said.\nGo up down, and see a film or a curve."
+
+
 @pytest.mark.parametrize("page", ["", "   ", "<", "<p", "<!--", "<script>x", "</p></p>", "<div class=\"a", "&am", "<nav><p>x</p></nav>", "\x00"])
 def test_odd_pages(page):
     assert isinstance(html_content.extract(page), str)
