@@ -261,8 +261,9 @@ def distances_in_blocks(
     """I2 against a table of references of any number and width.
 
     ``references`` has a dense number ``order`` from 0.  A row comes out once
-    per block of them, with ``first`` (number of the block's first reference)
-    and ``dists``, its least distance in the block as an array of one;
+    per block of them, with ``first`` (number of the block's first reference),
+    ``dists``, its least distance in the block as an array of one, and
+    ``compared``, the number of references it was compared with;
     ``min_distance`` over the result gives the overall minimum.
 
     Rows are dealt out to ``parts`` (4 for each shuffle partition unless
@@ -283,11 +284,11 @@ def distances_in_blocks(
         F.col(reference_vector).cast("array<double>").alias("_reference"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("_part"),
     )
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields), "first long, dists array<double>"])
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields), "first long, dists array<double>, compared long"])
     names = rows.columns
 
     def compare(some: pd.DataFrame, those: pd.DataFrame) -> pd.DataFrame:
-        out = some[names].assign(first=0, dists=None)
+        out = some[names].assign(first=0, dists=None, compared=len(those))
         if len(some) and len(those):
             matrix = IntentPack.of({"all": np.stack(those["_reference"].to_numpy())}).vectors["all"]
             found = np.stack(some[vector].to_numpy()).astype("float64")

@@ -378,18 +378,30 @@ def _wide_sql(v: str) -> str:
     SELECT q.vec_id, round(min(1 - list_cosine_similarity(q.vec, r.vec)), 6) AS least, count(*) AS n FROM q, r GROUP BY 1""",
 )
 def i2_many(spark, d):
-    """Three references of width 384 from each embedding: more than a plan could hold."""
-    rows = V.table(spark, d, "embeddings")
+    """A set of embeddings (as the SQL states it) against three references of width 384 from each: more than a plan could hold."""
+    return _least_of_many(V.table(spark, d, "embeddings"), "vec_id % 25 = 0", 500)
+
+
+@query(
+    "i2_all_many_references",
+    f"""WITH r AS (SELECT vec_id, v, {_wide_sql('v')} AS vec FROM embeddings, (SELECT unnest([0, 1, 2]) AS v)),
+    q AS (SELECT vec_id, {_wide_sql('3')} AS vec FROM embeddings)
+    SELECT q.vec_id, round(min(1 - list_cosine_similarity(q.vec, r.vec)), 6) AS least, count(*) AS n FROM q, r GROUP BY 1""",
+)
+def i2_all_many(spark, d):
+    """Every embedding against all these references.  Pairs grow with the square of the table."""
+    return _least_of_many(V.table(spark, d, "embeddings"), "true", 8000)
+
 
+def _least_of_many(rows, asked, block):
     def wide(v):
         return F.concat(*[_scaled(b, v) for b in range(6)])
 
     references = rows.select("vec_id", F.explode(F.array(*map(F.lit, range(3)))).alias("v"))
     references = references.join(rows, "vec_id").select((F.col("vec_id") * 3 + F.col("v")).alias("j"), wide(F.col("v")).alias("vec"))
-    asked = rows.filter("vec_id % 25 = 0").select("vec_id", wide(F.lit(3)).alias("vec"))
-    found = I.distances_in_blocks(asked, "vec", references, block=500)
-    total = references.count()
-    return found.groupBy("vec_id").agg(F.round(F.min(F.array_min("dists")), 6).alias("least")).withColumn("n", F.lit(total))
+    found = I.distances_in_blocks(rows.filter(asked).select("vec_id", wide(F.lit(3)).alias("vec")), "vec", references, block=block)
+    least = F.round(F.min(F.array_min("dists")), 6).alias("least")
+    return found.groupBy("vec_id").agg(least, F.sum("compared").alias("n"))
 
 
 def _scaled(b: int, v):

@@ -85,6 +85,29 @@ def test_blocks_of_references_give_the_same_minimum(spark, vectors, pack):
     assert [r["dist"] for r in got] == pytest.approx([r["dist"] for r in want])
 
 
+def test_every_embedding_meets_every_reference(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.integers(-4, 5, size=64)], 0) for i in range(230)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    scale = lambda v: np.repeat([(b + v) % 7 - 3 for b in range(6)], 64)
+    plain = np.array([r[1] for r in rows])
+    wide = [np.tile(plain, 6) * scale(v) for v in range(4)]
+    unit = [w / np.linalg.norm(w, axis=1, keepdims=True) for w in wide]
+    want = 1 - np.maximum.reduce([unit[3] @ unit[v].T for v in range(3)]).max(axis=1)
+    got = entry.queries()["i2_all_many_references"](spark, str(tmp_path)).orderBy("vec_id").collect()
+    assert [r["vec_id"] for r in got] == list(range(230)) and {r["n"] for r in got} == {690}
+    assert [r["least"] for r in got] == pytest.approx(want, abs=2e-6)
+
+
+def test_references_that_were_compared_are_counted(spark, vectors):
+    refs = spark.createDataFrame([(j, [1.0] * 8) for j in (0, 1, 5, 6, 9)], "j int, vec array<double>")
+    got = I.distances_in_blocks(vectors, "vec", refs, block=2).groupBy(*KEYS).agg(F.sum("compared").alias("n"), F.count_distinct("first").alias("k"))
+    seen = vectors.groupBy(*KEYS).count().join(got, KEYS).collect()
+    assert seen and all(r["n"] == 5 * r["count"] and r["k"] == 4 for r in seen)
+
+
 def test_pack_size_is_checked(monkeypatch):
     monkeypatch.setattr(I, "MAX_PACK_VALUES", 10)
     with pytest.raises(ValueError):
