@@ -249,6 +249,15 @@ def _complete(df, keys, chunks, columns):
     )
 
 
+#: Rows that a task of ``distances_in_blocks`` holds at once, on average.
+ROWS_OF_PART = 8_000
+
+
+def parts_of(n: int, blocks: int, tasks: int) -> int:
+    """Parts of ``n`` rows: none too large to hold, and with ``blocks`` enough pairs for all tasks."""
+    return max(1, -(-n // ROWS_OF_PART), -(-tasks // blocks))
+
+
 def distances_in_blocks(
     rows: DataFrame,
     vector: str,
@@ -266,16 +275,17 @@ def distances_in_blocks(
     ``compared``, the number of references it was compared with;
     ``min_distance`` over the result gives the overall minimum.
 
-    Rows are dealt out to ``parts`` (4 for each shuffle partition unless
-    stated otherwise), and each part meets each block in a task that holds the
-    block as a matrix.  Nothing goes through the driver but the number of
-    references.
+    Rows are dealt out to ``parts``, and each part meets each block in a task
+    that holds both as matrices.  Unless stated otherwise the rows are counted
+    first, for parts of ``ROWS_OF_PART`` rows on average.  Nothing goes through
+    the driver but the numbers of rows and references.
     """
-    parts = parts or 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = references.agg(F.max(order)).first()[0]
     if total is None:
         raise ValueError("no references")
     blocks = int(total) // block + 1
+    if parts is None:
+        parts = parts_of(rows.count(), blocks, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     left = rows.withColumn("_part", F.pmod(F.xxhash64(vector, F.monotonically_increasing_id()), F.lit(parts)))
     left = left.withColumn("_at", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = references.select(
@@ -290,12 +300,16 @@ def distances_in_blocks(
     def compare(some: pd.DataFrame, those: pd.DataFrame) -> pd.DataFrame:
         out = some[names].assign(first=0, dists=None, compared=len(those))
         if len(some) and len(those):
-            matrix = IntentPack.of({"all": np.stack(those["_reference"].to_numpy())}).vectors["all"]
+            matrix = np.stack(those["_reference"].to_numpy())
+            norm = np.linalg.norm(matrix, axis=1, keepdims=True)
+            matrix = np.divide(matrix, norm, out=np.zeros_like(matrix), where=norm > 0)
             found = np.stack(some[vector].to_numpy()).astype("float64")
             length = np.linalg.norm(found, axis=1, keepdims=True)
             unit = np.divide(found, length, out=np.zeros_like(found), where=length > 0)
             out["first"] = int(those["_order"].min())
-            out["dists"] = list((1.0 - unit @ matrix.T).min(axis=1, keepdims=True))
+            # the product is made in slices, so that it stays small beside the two matrices
+            slices = [unit[at : at + 512] for at in range(0, len(unit), 512)]
+            out["dists"] = list(np.concatenate([(1.0 - s @ matrix.T).min(axis=1, keepdims=True) for s in slices]))
         return out.iloc[: len(some) if len(those) else 0]
 
     at = ["_part", "_at"]

@@ -108,6 +108,24 @@ def test_references_that_were_compared_are_counted(spark, vectors):
     assert seen and all(r["n"] == 5 * r["count"] and r["k"] == 4 for r in seen)
 
 
+def test_parts_grow_with_the_rows(spark, vectors, pack, monkeypatch):
+    for n in (0, 1, 8_000, 8_001, 10**6, 10**10):
+        parts = I.parts_of(n, 3, 12)
+        assert parts * I.ROWS_OF_PART >= n and parts * 3 >= 12
+    asked = []
+    monkeypatch.setattr(I, "parts_of", lambda n, *rest: asked.append(n) or 40)
+    refs = spark.createDataFrame([(j, [float(x) for x in v]) for j, v in enumerate(pack.vectors["a"])], "j int, vec array<double>")
+    got = I.min_distance(I.distances_in_blocks(vectors, "vec", refs, block=2), KEYS, "dists").orderBy(*KEYS).collect()
+    want = I.min_distance(I.with_distances(vectors, "vec", {"d": pack}), KEYS, "d_a").orderBy(*KEYS).collect()
+    assert asked == [61] and [r["dist"] for r in got] == pytest.approx([r["dist"] for r in want])
+
+
+def test_wide_blocks_are_no_pack(spark, vectors, pack, monkeypatch):
+    monkeypatch.setattr(I, "MAX_PACK_VALUES", 10)
+    refs = spark.createDataFrame([(j, [float(x) for x in v]) for j, v in enumerate(pack.vectors["b"])], "j int, vec array<double>")
+    assert I.distances_in_blocks(vectors, "vec", refs, parts=1).count() == 61
+
+
 def test_pack_size_is_checked(monkeypatch):
     monkeypatch.setattr(I, "MAX_PACK_VALUES", 10)
     with pytest.raises(ValueError):
