@@ -11,12 +11,12 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callsift.llm import byte_bpe, language_id, minhash_dedup, source_mix, toxicity
 from callsift.llm.queries import tokenizer
-from callsift.session import apply_defaults, delete_path, shared_path, staged
+from callsift.session import apply_defaults, delete_path, shared_path, stage, staged
 
 #: From this probability on a document counts as toxic.
 TOXIC = 0.7
@@ -83,15 +83,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_tidy
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the least id of each group of near duplicates.
+    """Keep one row of each group of near duplicates: that of the least id, then of the least digest.
 
-    One row of each id stays, the one with the least digest; rows without an id all stay.
+    Each row counts by its text alone, whether its id is repeated or null; a
+    row with an id goes before one without.
     """
-    kept = minhash_dedup.near_duplicates(docs, "doc_id", "text").filter("kept and doc_id is not null")
-    staying = _packed(docs).join(kept.select("doc_id").distinct(), "doc_id", "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*NEEDED, "_others"))
-    single = staying.withColumn("_place", F.row_number().over(order)).filter("_place = 1")
-    return _unpacked(single, docs).unionByName(docs.filter("doc_id is null"))
+    rows = stage(_packed(docs).withColumn("_row", F.monotonically_increasing_id()))
+    found = minhash_dedup.near_duplicates(rows, "_row", "text").select("_row", "component_id")
+    digest = F.xxhash64(*NEEDED, "_others")
+    order = rows.select("_row", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", digest.alias("digest"), "_row").alias("_order"))
+    first = found.join(order, "_row").groupBy("component_id").agg(F.min("_order").alias("_first"))
+    return _unpacked(rows.join(first.select(F.col("_first._row").alias("_row")), "_row", "left_semi"), docs)
 
 
 @_tidy

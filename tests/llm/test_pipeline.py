@@ -77,6 +77,16 @@ def test_each_stage_does_its_work(spark, folder):
     assert all(r["n_tokens"] == len(r["ids"]) for r in tokens)
 
 
+def test_repeated_and_null_ids_are_deduplicated_by_text(spark):
+    texts = {k: " ".join(f"{k}{i}" for i in range(30)) for k in "abcd"}
+    rows = [(7, "a"), (7, "b"), (1, "a"), (3, "b"), (7, "c"), (7, "c"), (None, "d"), (None, "d"), (None, "a")]
+    docs = spark.createDataFrame([(i, texts[k], "en", "s", 1, "x", 1, 2) for i, k in rows], SCHEMA)
+    kept = dict(corpus_pipeline.STAGES)["minhash_dedup"](spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted((r["text"][0], r["doc_id"]) for r in kept.collect())
+    assert got == [("a", 1), ("b", 3), ("c", 7), ("d", None)]
+
+
 def test_empty_corpus(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
