@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callsift.llm import byte_bpe, chat_format, fingerprints, html_content, language_id, minhash_dedup, sharding, source_mix, toxicity, vector_dedup
+from callsift.llm import (
+    byte_bpe,
+    centroid_clusters,
+    chat_format,
+    fingerprints,
+    html_content,
+    language_id,
+    minhash_dedup,
+    sharding,
+    source_mix,
+    toxicity,
+    url_filter,
+    vector_codes,
+    vector_dedup,
+)
 from callsift.session import apply_defaults
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +48,34 @@ _REACHED = """reached AS (SELECT node AS a, node AS b FROM nodes UNION
     SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.b),
     grouped AS (SELECT a AS node, min(b) AS component_id FROM reached GROUP BY 1)"""
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+#: Vectors whose components are all finite numbers.
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+#: Floor of a quotient of whole numbers, for a positive divisor.
+_FLOOR = "CAST((s - ((s % n) + n) % n) // n AS BIGINT)"
+
+
+def _rounds_of_clusters(rounds: int) -> str:
+    """Tables c0, a0, c1, a1, ... of op12: centroids by component, and the nearest one of each row."""
+    steps = []
+    for r in range(rounds + 1):
+        if r:
+            steps.append(f"""c{r} AS MATERIALIZED (SELECT c, d, coalesce(CAST(x1 AS BIGINT), x) AS x FROM c{r - 1} LEFT JOIN
+                (SELECT c, d, {_FLOOR} AS x1 FROM (SELECT c, d, sum(x) AS s, count(*) AS n FROM a{r - 1} JOIN cells USING (nr) GROUP BY ALL)) USING (c, d))""")
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT nr, min(c) AS c, min(apart) AS apart FROM (SELECT *, min(apart) OVER (PARTITION BY nr) AS least
+            FROM (SELECT nr, c, CAST(sum((v.x - w.x) * (v.x - w.x)) AS BIGINT) AS apart FROM cells v JOIN c{r} w USING (d) GROUP BY ALL)) WHERE apart = least GROUP BY nr)""")
+    return ",\n".join(steps)
+
+
+def _rounds_of_codes(rounds: int) -> str:
+    """Tables c0, a0, c1, a1, ... of op13: codebooks by part, entry and component, and the nearest entry of each part of a row."""
+    steps = []
+    for r in range(rounds + 1):
+        if r:
+            steps.append(f"""c{r} AS MATERIALIZED (SELECT p, c, d, coalesce(CAST(x1 AS BIGINT), x) AS x FROM c{r - 1} LEFT JOIN
+                (SELECT p, c, d, {_FLOOR} AS x1 FROM (SELECT p, c, d, sum(x) AS s, count(*) AS n FROM a{r - 1} JOIN cells USING (nr, p) GROUP BY ALL)) USING (p, c, d))""")
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT nr, p, min(c) AS c, min(apart) AS apart FROM (SELECT *, min(apart) OVER (PARTITION BY nr, p) AS least
+            FROM (SELECT nr, p, c, CAST(sum((v.x - w.x) * (v.x - w.x)) AS BIGINT) AS apart FROM cells v JOIN c{r} w USING (p, d) GROUP BY ALL)) WHERE apart = least GROUP BY nr, p)""")
+    return ",\n".join(steps)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -173,3 +215,52 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     model = language_id.fit(documents.filter(~held_out), "text", "lang")
     scored = language_id.predict(documents.select("doc_id", "text"), "text", model)
     return scored.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+#: The rules of the query on URLs.
+URL_RULES = (
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+)
+
+
+@query
+def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    model = url_filter.fit(url_filter.labelled_urls(spark), "url", "block")
+    return url_filter.judge(pages, "page_id", "url", spark.createDataFrame(URL_RULES, "rule string, verdict string"), model)
+
+
+@query
+@oracle(
+    f"""WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS nr, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+        FROM embeddings WHERE len(embedding) = 64 AND {_FINITE}),
+    cells AS MATERIALIZED (SELECT nr, unnest(range(64)) AS d, unnest(x) AS x FROM kept),
+    firsts AS (SELECT nr, row_number() OVER (ORDER BY sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')), x) - 1 AS c FROM kept),
+    c0 AS MATERIALIZED (SELECT c, d, cells.x FROM firsts JOIN cells USING (nr) WHERE c < 40),
+    {_rounds_of_clusters(5)},
+    digests AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c5 GROUP BY c)
+    SELECT vec_id, CAST(c AS INTEGER) AS cluster, apart AS distance, CAST(sum(apart) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+        CAST(sum(apart) OVER () AS BIGINT) AS inertia, centroid_sha256 FROM a5 JOIN kept USING (nr) JOIN digests USING (c)"""
+)
+def op12_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return centroid_clusters.cluster(table(spark, folder, "embeddings"), "vec_id", "embedding")
+
+
+@query
+@oracle(
+    f"""WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS nr, vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+        FROM embeddings WHERE {_FINITE}),
+    cells AS MATERIALIZED (SELECT nr, i // (w // 4) AS p, i % (w // 4) AS d, x FROM (SELECT nr, len(x) AS w, unnest(range(len(x))) AS i, unnest(x) AS x FROM kept)),
+    firsts AS (SELECT nr, row_number() OVER (ORDER BY vec_id, x) - 1 AS c FROM kept),
+    c0 AS MATERIALIZED (SELECT p, c, d, cells.x FROM firsts JOIN cells USING (nr) WHERE c < 256),
+    {_rounds_of_codes(4)},
+    coded AS (SELECT nr, string_agg(lower(printf('%02x', CAST(c AS INTEGER))), '' ORDER BY p) AS code, CAST(sum(apart) AS BIGINT) AS error FROM a4 GROUP BY nr)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+        (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, c, d)) FROM c4) AS codebooks_sha256 FROM coded JOIN kept USING (nr)"""
+)
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compress(table(spark, folder, "embeddings"), "vec_id", "embedding", "label")[0]

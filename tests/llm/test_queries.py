@@ -27,8 +27,8 @@ def test_against_sql(spark, con, name):
     assert outcome.startswith("ok"), outcome
 
 
-def test_there_are_ten(spark):
-    assert [int(n.split("_")[0][2:]) for n in queries.QUERIES] == list(range(1, 11))
+def test_there_are_thirteen(spark):
+    assert [int(n.split("_")[0][2:]) for n in queries.QUERIES] == list(range(1, 14))
 
 
 def test_tokens(spark, con):
