@@ -117,7 +117,7 @@ class Codec:
 
 
 #: Matches that a process remembers the ids of (some 250 bytes each).
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 
 
 @functools.lru_cache(maxsize=2)

@@ -2,8 +2,8 @@
 
 Learning is on-line: each labelled text moves only the weights it touches, at
 rates of their own, and the L1 term keeps most weights at exactly zero.  It
-runs on a bounded sample of labelled rows (``Settings.most_rows``), in one
-task; what leaves that task are the non-zero weights.
+runs on a bounded sample of labelled rows (``Settings.most_rows`` and
+``most_found``), in one task; what leaves that task are the non-zero weights.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +26,9 @@ class Settings:
     """``skips``: distances between the two words of a pair, 1 for neighbours.
 
     ``most_rows`` bounds the labelled rows that are learned from: those with
-    the smallest seeded hash of their key.  ``features`` bounds the weights.
+    the smallest seeded hash of their key.  Of these, in the order of a hash,
+    rows are taken as long as they have ``most_found`` features together (4
+    bytes each).  ``features`` bounds the weights.
     """
 
     features: int = 1 << 22
@@ -37,6 +39,7 @@ class Settings:
     l2: float = 0.0
     epochs: int = 6
     most_rows: int = 16_000
+    most_found: int = 60_000_000
     seed: int = 7
 
 
@@ -125,30 +128,34 @@ def fit(documents: DataFrame, labels: DataFrame, key: str, text: str, label: str
             yield pa.RecordBatch.from_arrays(columns, names=["_order", "_label", "_found"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = [(o, y, np.asarray(f, np.int32)) for b in batches for o, y, f in zip(*_columns(b), strict=True)]
-        table.sort(key=lambda row: (row[0], row[1], len(row[2])))
+        orders, labels, sizes, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        for batch in batches:
+            orders.append(batch.column("_order").to_numpy())
+            labels.append(batch.column("_label").to_numpy())
+            sizes.append(batch.column("_found").value_lengths().to_numpy().astype(np.int64))
+            flat.append(batch.column("_found").flatten().to_numpy())
+        order, label, size, flat = (np.concatenate(x) for x in (orders, labels, sizes, flat))
+        ends = np.cumsum(size)
+        rows = np.lexsort((size, label, order))
         model = Ftrl(settings)
         for epoch in range(settings.epochs):
-            shuffled = np.random.default_rng(settings.seed + epoch).permutation(len(table))
-            for i in shuffled:
-                model.learn(table[i][2], table[i][1])
+            for i in rows[np.random.default_rng(settings.seed + epoch).permutation(len(rows))]:
+                model.learn(flat[ends[i] - size[i] : ends[i]], label[i])
         weights = model.weights(np.arange(settings.features + 1))
         used = np.flatnonzero(weights)
         yield pa.RecordBatch.from_pydict({"feature": pa.array(used.astype(np.int32)), "weight": pa.array(weights[used])})
 
-    found = rows.mapInArrow(grams, "_order long, _label int, _found array<int>")
-    learned = found.repartition(1).mapInArrow(learn, "feature int, weight double")
+    found = stage(rows.mapInArrow(grams, "_order long, _label int, _found array<int>").withColumn("_row", F.monotonically_increasing_id()))
+    # most_rows rows of four numbers
+    upto = F.sum("_size").over(Window.orderBy("_order", "_label", "_size", "_row"))
+    sized = found.select("_order", "_label", F.size("_found").alias("_size"), "_row").filter(F.col("_size") <= settings.most_found).withColumn("_upto", upto)
+    within = sized.filter(F.col("_upto") <= settings.most_found).select("_row")
+    learned = found.join(F.broadcast(within), "_row", "left_semi").drop("_row").repartition(1).mapInArrow(learn, "feature int, weight double")
     weights = {r["feature"]: r["weight"] for r in learned.collect()}  # at most ``features`` rows
     intercept = weights.pop(settings.features, 0.0)
     return Model(weights, intercept, settings)
 
 
-def _columns(batch: pa.RecordBatch):
-    lists = batch.column("_found")
-    flat, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
-    return batch.column("_order").to_pylist(), batch.column("_label").to_pylist(), np.split(flat, ends[:-1])
-
-
 def score(df: DataFrame, text: str, model: Model, out: str = "score") -> DataFrame:
     """Add the probability of label 1.  A null or empty text has the probability that the intercept gives."""
     dense = np.zeros(model.settings.features)

@@ -60,23 +60,37 @@ def word_hashes(texts: pa.Array, separators: np.ndarray) -> tuple[np.ndarray, np
     if not len(begin):
         return np.zeros(0, np.uint64), counts
     length = end - begin
-    # h(word) = sum of byte_i * base**i with i from 0, by prefix sums modulo 2**64
+    sums = np.empty(len(begin), np.uint64)
+    at = 0
+    while at < len(begin):
+        # words that begin within one window; they are hashed by where they stand in it
+        upto = max(at + 1, int(np.searchsorted(begin, begin[at] + WINDOW)))
+        sums[at:upto] = _sums(data[begin[at] : end[upto - 1]], begin[at:upto] - begin[at], end[at:upto] - begin[at])
+        at = upto
+    return mix(sums ^ mix(length.astype(np.uint64) + np.uint64(1))), counts
+
+
+#: Bytes that are hashed together: numpy needs some 50 bytes for each.
+WINDOW = 1_000_000
+
+
+def _sums(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """h(word) = sum of byte_i * base**i with i from 0, by prefix sums modulo 2**64."""
     power = np.empty(len(data) + 1, np.uint64)
     power[0] = 1
     power[1:] = _BASE
     np.multiply.accumulate(power, out=power)
     prefix = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((LOWER[data].astype(np.uint64) + np.uint64(1)) * power[:-1], out=prefix[1:])
-    back = np.empty(len(data) + 1, np.uint64)
+    back = power
     back[0] = 1
     back[1:] = _BASE_INVERSE
     np.multiply.accumulate(back, out=back)
-    sums = (prefix[end] - prefix[begin]) * back[begin]
-    return mix(sums ^ mix(length.astype(np.uint64) + np.uint64(1))), counts
+    return (prefix[end] - prefix[begin]) * back[begin]
 
 
-def chunks(batches, text: str, most_bytes: int = 4_000_000):
-    """Pieces of Arrow batches with few bytes of text each, at least one row: numpy needs some 100 bytes a byte."""
+def chunks(batches, text: str, most_bytes: int = 1_000_000):
+    """Pieces of Arrow batches with few bytes of text each, at least one row."""
     for batch in batches:
         size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         start, total = 0, 0

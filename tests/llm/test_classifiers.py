@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -55,6 +56,65 @@ def test_counts_match_a_loop(make):
         assert sum(r["n"] for r in counted if r["lang"] == lang) == n
 
 
+def plain_grams(text, settings):
+    """Buckets of n-grams, from the points of the text one by one."""
+    whole = 1 << 64
+
+    def finish(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % whole
+        x = (x ^ x >> 27) * 0x94D049BB133111EB % whole
+        return x ^ x >> 31
+
+    points = [finish(ord(c) + 1) for c in f" {text.lower()} "]
+    for n in settings.orders:
+        for i in range(len(points) - n + 1):
+            rolled = 0
+            for x in points[i : i + n]:
+                rolled = (rolled * 0x9E3779B97F4A7C15 + x) % whole
+            yield finish((rolled + n) % whole) % settings.buckets
+
+
+def plain_languages(rows, texts, settings):
+    counts = {}
+    for text, lang in rows:
+        if text is not None and lang is not None:
+            mine = counts.setdefault(lang, [settings.smoothing] * settings.buckets)
+            for b in plain_grams(text, settings):
+                mine[b] += 1
+    for text in texts:
+        if text is None or not any(c.isalpha() for c in text):
+            yield "und", 0.0
+            continue
+        logs = {lang: sum(math.log(mine[b] / sum(mine)) for b in plain_grams(text, settings)) for lang, mine in counts.items()}
+        best = max(sorted(logs), key=logs.__getitem__)
+        yield best, 1 / sum(math.exp(x - logs[best]) for x in logs.values())
+
+
+def test_languages_match_plain_python(make, monkeypatch):
+    monkeypatch.setattr(language_id, "WINDOW", 7)
+    settings = language_id.Settings(orders=(1, 3), buckets=128)
+    rows = [(t, lang) for _, t, lang in sentences(40, 5)] + [("b", "tie"), ("b", "also"), (None, "en"), ("x", None), ("", "nothing")]
+    texts = [t for _, t, _ in sentences(25, 6)] + ["b", None, "", "12", "ü", "long " * 300, "İstanbul"]
+    table = make([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    for cells in (128 * 100, 128 * 2, 1):
+        some = language_id.Settings(orders=(1, 3), buckets=128, most_cells=cells)
+        model = language_id.fit(make(rows, "text string, lang string"), "text", "lang", some)
+        assert model.langs == ("also", "de", "en", "fr", "nothing", "tie")
+        got = sorted(language_id.predict(table, "text", model).collect())
+        for r, (lang, score) in zip(got, plain_languages(rows, texts, settings), strict=True):
+            assert r["lang_pred"] == lang and abs(r["score"] - score) < 1e-3, (r, lang, score)
+
+
+def test_a_very_long_text(make):
+    rows = [(t, lang) for _, t, lang in sentences(100, 7)]
+    model = language_id.fit(make(rows, "text string, lang string"), "text", "lang")
+    long = "the thing shall and with " * 60_000
+    got = language_id.predict(make([(1, long), (2, "der und mit nicht")], "id long, text string"), "text", model).collect()
+    assert [(r["id"], r["lang_pred"]) for r in sorted(got)] == [(1, "en"), (2, "de")]
+    hashes, counts = word_hashes(pa.array([long + "ende", "ende", "x" * 2_500_000 + " ende"]), WHITE_SPACE)
+    assert counts.tolist() == [300_001, 1, 2] and hashes[300_000] == hashes[300_001] == hashes[300_003]
+
+
 def test_nothing_learned(make):
     model = language_id.fit(make([], "text string, lang string"), "text", "lang")
     assert language_id.predict(make([("word",)], "text string"), "text", model).first()["lang_pred"] == "und"
@@ -95,3 +155,55 @@ def test_toxicity(make):
 def test_toxicity_without_labels(make):
     model = toxicity.fit(make([(1, "a")], "doc_id long, text string"), make([], "doc_id long, toxic int"), "doc_id", "text", "toxic")
     assert toxicity.score(make([("a",), (None,)], "text string"), "text", model).first()["score"] == 0.5
+
+
+def plain_ftrl(rows, settings):
+    """The weights after on-line learning, one coordinate after the other."""
+    z, n = {}, {}
+
+    def weight(i):
+        lean = abs(z.get(i, 0.0)) - (0 if i == settings.features else settings.l1)
+        return 0.0 if lean <= 0 else -math.copysign(lean, z[i]) / ((settings.beta + math.sqrt(n.get(i, 0.0))) / settings.alpha + settings.l2)
+
+    for epoch in range(settings.epochs):
+        for at in np.random.default_rng(settings.seed + epoch).permutation(len(rows)):
+            found, label = rows[at]
+            touched = [*found, settings.features]
+            before = {i: weight(i) for i in touched}
+            gradient = 1 / (1 + math.exp(-sum(before.values()))) - label
+            for i in touched:
+                rate = (math.sqrt(n.get(i, 0.0) + gradient**2) - math.sqrt(n.get(i, 0.0))) / settings.alpha
+                z[i] = z.get(i, 0.0) + gradient - rate * before[i]
+                n[i] = n.get(i, 0.0) + gradient**2
+    return {i: w for i in z if (w := weight(i))}
+
+
+def test_toxicity_matches_a_plain_loop(make):
+    from pyspark.sql import functions as F
+
+    random.seed(8)
+    settings = toxicity.Settings(features=1 << 12, l1=0.5, epochs=3)
+    texts = [(i, " ".join(random.choices(["a", "b", "c", "idiot", "d", "e"], k=random.randint(0, 9))), random.randint(0, 1)) for i in range(60)]
+    documents = make([(i, t) for i, t, _ in texts], "id long, text string")
+    labels = make([(i, y) for i, _, y in texts], "id long, y int")
+    model = toxicity.fit(documents, labels, "id", "text", "y", settings)
+    ordered = documents.orderBy(F.xxhash64(F.lit(settings.seed + 1), "id")).collect()
+    truth = {i: y for i, _, y in texts}
+    rows = [(toxicity.features(pa.array([r["text"]]), settings)[0].tolist(), truth[r["id"]]) for r in ordered]
+    want = plain_ftrl(rows, settings)
+    assert abs(model.intercept - want.pop(settings.features)) < 1e-9
+    assert model.weights.keys() == want.keys() and len(want) > 5
+    assert all(abs(model.weights[i] - w) < 1e-9 for i, w in want.items())
+    # features of a text, by a plain loop over its words
+    words = texts[3][1].split()
+    pairs = {(words[i], words[i + k], k) for k in settings.skips for i in range(len(words) - k)}
+    assert len(toxicity.features(pa.array([texts[3][1]]), toxicity.Settings())[0]) == len(set(words)) + len(pairs)
+
+
+def test_toxicity_learns_from_a_bounded_sample(make):
+    documents = make([(i, "idiot scum" if i % 2 else "fine day") for i in range(40)] + [(99, " ".join(f"w{i}" for i in range(50_000)))], "id long, text string")
+    labels = make([(i, i % 2) for i in range(40)] + [(99, 0)], "id long, y int")
+    model = toxicity.fit(documents, labels, "id", "text", "y", toxicity.Settings(most_found=60, l1=0.0))
+    assert 0 < len(model.weights) <= 6
+    got = {r["id"]: r["score"] for r in toxicity.score(documents, "text", model).collect()}
+    assert got[1] > 0.5 > got[0] and 0 <= got[99] <= 1
