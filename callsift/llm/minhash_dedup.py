@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from callsift.llm.blocks import in_blocks, starts_of, whole_groups
 from callsift.llm.components import connected
 from callsift.llm.words import WHITE_SPACE, chunks, mix, word_hashes
-from callsift.session import stage
+from callsift.session import stage, unstage
 
 
 @dataclass(frozen=True)
@@ -98,7 +98,13 @@ def _binary(array: np.ndarray) -> pa.Array:
 
 
 def sketch(df: DataFrame, key: str, text: str, settings: Settings = Settings()) -> DataFrame:
-    """key, n_shingles, set_a, set_b (digest of the set), signature, band (array of band hashes) of each row."""
+    """key, n_shingles, set_a, set_b (digest of the set), signature, band of each row.
+
+    ``band`` holds a 64-bit hash of each band.  ``signature`` holds the lowest
+    byte of each value: equal values have equal bytes, so no match is lost,
+    and one in 256 of the others passes for a match until the full sets are
+    compared.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "_text"):
@@ -109,20 +115,19 @@ def sketch(df: DataFrame, key: str, text: str, settings: Settings = Settings())
             band = np.zeros((len(counts), settings.bands), np.uint64)
             for row in range(settings.rows):
                 band = mix(band * np.uint64(0x9E3779B97F4A7C15) + signed[:, row :: settings.rows].astype(np.uint64))
-            bands = pa.FixedSizeListArray.from_arrays(pa.array(band.ravel().view(np.int64)), settings.bands)
             columns = [
                 part.column("_key"),
                 pa.array(counts.astype(np.int64)),
                 pa.array(a.view(np.int64)),
                 pa.array(b.view(np.int64)),
-                _binary(signed),
-                bands.cast(pa.list_(pa.int64())),
+                _binary(signed.astype(np.uint8)),
+                _binary(band),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["_key", "n_shingles", "set_a", "set_b", "signature", "band"])
 
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    schema = f"_key {kind}, n_shingles long, set_a long, set_b long, signature binary, band array<long>"
+    schema = f"_key {kind}, n_shingles long, set_a long, set_b long, signature binary, band binary"
     return rows.mapInArrow(run, schema)
 
 
@@ -148,7 +153,7 @@ def examine(pairs: DataFrame, signed: DataFrame, settings: Settings) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (_matrix(batch.column(c), np.uint32) for c in ("_left", "_right"))
+            left, right = (_matrix(batch.column(c), np.uint8) for c in ("_left", "_right"))
             alive, matches = np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64)
             for look, least in enumerate(needed):
                 span = slice(look * settings.step, (look + 1) * settings.step)
@@ -183,61 +188,94 @@ def full_sets(documents: DataFrame, settings: Settings) -> DataFrame:
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
+    """The pairs (a, b) whose full sets are similar enough.
+
+    All pairs of one ``a`` meet, ``block`` of them in a group, with its set
+    once and the set of each ``b``.
+    """
+    kind = pairs.schema["a"].dataType.simpleString()
+    counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / settings.block).cast("int").alias("_salts"))
+    firsts = counts.select("a", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"), F.col("a").alias("node"), F.lit(0).alias("_of"))
+    others = pairs.join(counts, "a").select("a", F.pmod(F.xxhash64("b"), "_salts").cast("int").alias("_salt"), F.col("b").alias("node"), F.lit(1).alias("_of"))
+    group = ["a", "_salt"]
+    full = firsts.unionByName(others).join(sets, "node")
+    ordered = full.select(*group, "_of", "node", "_set").repartition(*group).sortWithinPartitions(*group, "_of", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, own = None, []
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("_left"), batch.column("_right"), strict=True):
-                keep.append(_similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), settings))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            rows = zip(*(batch.column(c).to_pylist() for c in (*group, "_of")), batch.column("_set"), strict=True)
+            for a, salt, of, found in rows:
+                found = np.frombuffer(found.as_buffer(), np.uint64)
+                if (a, salt) != now:
+                    now, own = (a, salt), []
+                if of == 0:
+                    own.append(found.copy())  # several where a key has several texts
+                keep.append(of == 1 and any(_similar(x, found, settings) for x in own))
+            kept = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("node")], names=["a", "b"])
 
-    with_left = pairs.join(sets.select(F.col("node").alias("a"), F.col("_set").alias("_left")), "a")
-    both = with_left.join(sets.select(F.col("node").alias("b"), F.col("_set").alias("_right")), "b")
-    return both.select("a", "b", "_left", "_right").mapInArrow(run, pairs.select("a", "b").schema)
+    return ordered.mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def across_components(members: DataFrame, signed: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+def across_components(members: DataFrame, sketches: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
     """Links (a, b) between members of a bucket whose groups (``_group``) differ.
 
-    The members of a bucket meet in a task, block by block; what leaves it are
-    links, enough of them to connect what is linked there.
+    The members of a bucket meet in a task, block by block.  First with their
+    signatures only, to tell which of them have a candidate there; then those
+    with their full sets.  What leaves the second task are links, enough of
+    them to connect what is linked there.
     """
     bucket = ["_band", "_hash"]
     counts = stage(members.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n")))
     blocks = in_blocks(members.join(counts, bucket), bucket, "node", "_n", settings.block)
     group = [*bucket, "_low", "_high"]
-    full = blocks.join(signed, "node").join(sets, "node")
-    columns = ["node", "_group", "signature", "_set", "_block", *group]
-    ordered = full.select(*columns).repartition(*group).sortWithinPartitions(*group, "node")
+    signed = blocks.join(sketches, "node").select("node", "_group", "signature", "band", "_block", *group)
     kind = members.schema["node"].dataType.simpleString()
     needed = least_matches(settings)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, group, 500):
-            starts = np.append(starts_of(table, group), table.num_rows)
-            for start, end in zip(starts[:-1], starts[1:], strict=True):
-                found = _links_in_group(table.slice(start, end - start), needed, settings)
-                if found:
-                    a, b = zip(*found, strict=True)
-                    names = table.column("node").slice(start, end - start).combine_chunks()
-                    yield pa.RecordBatch.from_arrays([names.take(pa.array(a)), names.take(pa.array(b))], names=["a", "b"])
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, places in _groups(batches, group):
+            found = np.zeros(table.num_rows, bool)
+            for start, part in places:
+                for p, q in _candidates(part, needed, settings):
+                    found[start + p] = found[start + q] = True
+            yield from table.select(["node", "_group", "signature", "band", "_block", *group]).filter(pa.array(found)).combine_chunks().to_batches()
 
-    return ordered.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, places in _groups(batches, group):
+            names = table.column("node").combine_chunks()
+            found = [(start + p, start + q) for start, part in places for p, q in _links_in_group(part, needed, settings)]
+            if found:
+                a, b = (names.take(pa.array(x)) for x in zip(*found, strict=True))
+                yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition(*group).sortWithinPartitions(*group, "node")
 
-def _links_in_group(table: pa.Table, needed: list[int], settings: Settings, most: int = 100_000) -> list[tuple[int, int]]:
-    """Places of rows that are linked, across groups only; a pair that shares an earlier band is left to that one."""
+    left = stage(dealt(signed).mapInArrow(candidates, signed.schema))
+    return dealt(left.join(sets, "node")).mapInArrow(linked, f"a {kind}, b {kind}").distinct()
+
+
+def _groups(batches: Iterator[pa.RecordBatch], group: list[str]) -> Iterator[tuple[pa.Table, list[tuple[int, pa.Table]]]]:
+    """Tables of whole groups, with the place of each group in it and its rows."""
+    for table in whole_groups(batches, group, 500):
+        starts = np.append(starts_of(table, group), table.num_rows).tolist()
+        yield table, [(a, table.slice(a, b - a)) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+
+
+def _candidates(table: pa.Table, needed: list[int], settings: Settings, most: int = 100_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of rows of different groups whose signatures pass all looks; a pair that shares an earlier band is left to that one."""
     _, group = np.unique(np.asarray(table.column("_group").to_pylist(), object), return_inverse=True)
     if group.max() == 0:
-        return []
-    signed = _matrix(table.column("signature").combine_chunks(), np.uint32)
-    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("_set")]
+        return
+    signed = _matrix(table.column("signature").combine_chunks(), np.uint8)
+    bands = _matrix(table.column("band").combine_chunks(), np.uint64)
     band, low, high = (table.column(c)[0].as_py() for c in ("_band", "_low", "_high"))
     block = table.column("_block").to_numpy()
     left = np.flatnonzero(block == low)
     right = left if low == high else np.flatnonzero(block == high)
-    found = []
     rows = max(1, most // max(1, len(right)))
     for at in range(0, len(left), rows):
         some = left[at : at + rows]
@@ -252,9 +290,17 @@ def _links_in_group(table: pa.Table, needed: list[int], settings: Settings, most
             matches = matches + (signed[p, span] == signed[q, span]).sum(axis=1)
             keep = matches >= least
             p, q, matches = p[keep], q[keep], matches[keep]
-        same = (signed[p] == signed[q]).reshape(len(p), settings.bands, settings.rows).all(axis=2)
-        mine = same.argmax(axis=1) == band
-        for x, y in zip(p[mine].tolist(), q[mine].tolist(), strict=True):
+        mine = (bands[p] == bands[q]).argmax(axis=1) == band
+        yield p[mine], q[mine]
+
+
+def _links_in_group(table: pa.Table, needed: list[int], settings: Settings) -> list[tuple[int, int]]:
+    """Places of rows that are linked, across groups only."""
+    _, group = np.unique(np.asarray(table.column("_group").to_pylist(), object), return_inverse=True)
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("_set")]
+    found = []
+    for p, q in _candidates(table, needed, settings):
+        for x, y in zip(p.tolist(), q.tolist(), strict=True):
             if group[x] != group[y] and _similar(sets[x], sets[y], settings):
                 found.append((x, y))
                 group[group == group[y]] = group[x]
@@ -274,22 +320,35 @@ def links(sketches: DataFrame, documents: DataFrame, settings: Settings) -> Data
     ``sketches``: node, signature, band of each class; ``documents``: node and
     ``_text`` of at least these.
     """
-    bands = sketches.select("node", F.posexplode("band").alias("_band", "_hash"))
+    hashes = F.transform(F.sequence(F.lit(0), F.lit(settings.bands - 1)), lambda i: F.substring("band", i * 8 + 1, F.lit(8)))
+    bands = sketches.select("node", F.posexplode(hashes).alias("_band", "_bytes")).select("node", "_band", F.xxhash64("_bytes").alias("_hash"))
     shared = stage(
         bands.groupBy("_band", "_hash").agg(F.min("node").alias("_lead"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
     )
     members = stage(bands.join(shared, ["_band", "_hash"]))
-    signed = sketches.select("node", "signature")
+    unstage(shared)
     sets = stage(full_sets(documents.join(members.select("node").distinct(), "node", "left_semi"), settings))
-    with_lead = members.filter("node != _lead").select(F.col("_lead").alias("a"), F.col("node").alias("b")).distinct()
-    first = stage(confirm(stage(examine(stage(with_lead), signed, settings)), sets, settings))
+    with_lead = stage(members.filter("node != _lead").select(F.col("_lead").alias("a"), F.col("node").alias("b")).distinct())
+    left = stage(examine(with_lead, sketches.select("node", "signature"), settings))
+    first = stage(confirm(left, sets, settings))
     groups = stage(connected(first, "a", "b"))
+    for used in (with_lead, left):
+        unstage(used)
     placed = members.join(groups, "node", "left").withColumn("_group", F.coalesce("component", "node"))
     placed = stage(placed.select("_band", "_hash", "node", "_group"))
+    for used in (members, groups):
+        unstage(used)
     ends = placed.groupBy("_band", "_hash").agg(F.min("_group").alias("_x"), F.max("_group").alias("_y"))
-    mixed = stage(ends.filter("_x < _y").select("_band", "_hash"))
-    rest = stage(placed.join(mixed, ["_band", "_hash"], "left_semi"))
-    return first.unionByName(across_components(rest, signed, sets, settings))
+    rest = stage(placed.join(ends.filter("_x < _y").select("_band", "_hash"), ["_band", "_hash"], "left_semi"))
+    unstage(placed)
+    found = stage(first.unionByName(across_components(rest, sketches, sets, settings)))
+    for used in (first, rest, sets):
+        unstage(used)
+    return found
+
+
+#: Parts that the rows of a class of equal sets are dealt over.
+SALTS = 16
 
 
 def near_duplicates(df: DataFrame, key: str, text: str, settings: Settings = Settings()) -> DataFrame:
@@ -302,19 +361,26 @@ def near_duplicates(df: DataFrame, key: str, text: str, settings: Settings = Set
     kept.  Keys of any type that can be ordered will do.
     """
     sketched = stage(sketch(df, key, text, settings))
-    some = sketched.filter((F.col("n_shingles") > 0) & F.col("_key").isNotNull())
     same = ["set_a", "set_b", "n_shingles"]
-    copies = stage(some.groupBy(*same).agg(F.min("_key").alias("_least"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"))
-    # classes with several rows are few next to all rows; a hot one is split by adaptive execution
-    found = some.select("_key", *same).join(copies, same).filter("_key != _least")
-    found = stage(found.select("_least", "_key", *same).distinct())
-    copy_links = found.select(F.col("_least").alias("a"), F.col("_key").alias("b"))
-    classes = some.join(found.drop("_least"), ["_key", *same], "left_anti")
-    sketches = stage(classes.select(F.col("_key").alias("node"), "signature", "band").dropDuplicates(["node", "band"]))
+    listed = stage(sketched.select("_key", *same))
+    some = (F.col("n_shingles") > 0) & F.col("_key").isNotNull()
+    copies = listed.filter(some).groupBy(*same).agg(F.min("_key").alias("_least"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    # a class may hold a third of all rows, so they are dealt over parts, each with the least key
+    copies = copies.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = listed.filter(some).withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(SALTS)).cast("int"))
+    found = salted.join(copies, [*same, "_salt"]).filter("_key != _least").select("_least", "_key", *same)
+    found = stage(found.distinct())
+    classes = sketched.filter(some).join(found.drop("_least"), ["_key", *same], "left_anti").dropDuplicates(["_key", *same])
+    sketches = stage(classes.select(F.col("_key").alias("node"), "signature", "band"))
+    unstage(sketched)
     documents = df.select(F.col(key).alias("node"), F.col(text).alias("_text"))
     near = links(sketches, documents, settings)
+    unstage(sketches)
+    copy_links = found.select(F.col("_least").alias("a"), F.col("_key").alias("b"))
     groups = stage(connected(copy_links.unionByName(near), "a", "b"))
-    placed = sketched.select("_key", "n_shingles").join(groups, F.col("_key") == F.col("node"), "left")
+    for used in (found, near):
+        unstage(used)
+    placed = listed.select("_key", "n_shingles").join(groups, F.col("_key") == F.col("node"), "left")
     component = F.coalesce("component", "_key")
     return placed.select(
         F.col("_key").alias(key),
