@@ -36,7 +36,8 @@ class Settings:
 
     ``step``: signature values that one look compares; ``miss``: posterior
     probability of similarity below which a candidate is dropped; ``block``:
-    rows of a bucket that one group compares with as many.
+    rows of a bucket that one group compares with as many; ``spokes``: pairs
+    of one least member that share a copy of its full set.
     """
 
     words: int = 5
@@ -46,6 +47,7 @@ class Settings:
     step: int = 25
     miss: float = 1e-6
     block: int = 4096
+    spokes: int = 256
     seed: int = 11
 
 
@@ -190,11 +192,11 @@ def full_sets(documents: DataFrame, settings: Settings) -> DataFrame:
 def confirm(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.
 
-    All pairs of one ``a`` meet, ``block`` of them in a group, with its set
+    Pairs of one ``a`` meet, some ``spokes`` of them in a group, with its set
     once and the set of each ``b``.
     """
     kind = pairs.schema["a"].dataType.simpleString()
-    counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / settings.block).cast("int").alias("_salts"))
+    counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / settings.spokes).cast("int").alias("_salts"))
     firsts = counts.select("a", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"), F.col("a").alias("node"), F.lit(0).alias("_of"))
     others = pairs.join(counts, "a").select("a", F.pmod(F.xxhash64("b"), "_salts").cast("int").alias("_salt"), F.col("b").alias("node"), F.lit(1).alias("_of"))
     group = ["a", "_salt"]
