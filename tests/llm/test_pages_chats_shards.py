@@ -191,3 +191,100 @@ def test_shards(make):
 def test_no_rows_no_shards(make):
     df = make([], "doc_id long, text string")
     assert sharding.shard(df, "doc_id", F.col("text"), F.octet_length("text"), shards=3).collect() == []
+
+
+def paragraphs(n, word="Paragraph"):
+    return "".join(f"<p>{word} {i} says this, and that, and a good deal more of it.</p>" for i in range(n))
+
+
+def lines(n, word="Paragraph"):
+    return [f"{word} {i} says this, and that, and a good deal more of it." for i in range(n)]
+
+
+@pytest.mark.parametrize("sizes", [(5, 5), (5, 4), (9, 1), (1, 9), (4, 4, 4), (20, 1, 3)])
+def test_every_article_of_a_page(sizes):
+    parts = "".join(f"<article><h2>Head {i}</h2>{paragraphs(n, f'Part {i}')}</article>" for i, n in enumerate(sizes))
+    want = [x for i, n in enumerate(sizes) for x in (f"Head {i}", *lines(n, f"Part {i}"))]
+    for page in (parts, f"<main>{parts}</main>", f"<body><nav>Home</nav><div id=list>{parts}</div><footer>x</footer></body>"):
+        assert html_content.extract(page).split("\n") == want
+
+
+def test_page_inside_a_form():
+    page = f"<body><form id=aspnetForm action=x><input type=hidden name=state><div id=top><a href=a>Home</a></div><h1>Head</h1>{paragraphs(4)}</form></body>"
+    assert html_content.extract(page).split("\n") == ["Head", *lines(4)]
+    page = f"<body><div id=main><h1>Head</h1>{paragraphs(4)}<form><p>Tell us what you think, please, and how.</p><input name=q><textarea>x</textarea></form></div></body>"
+    assert html_content.extract(page).split("\n") == ["Head", *lines(4)]
+
+
+@pytest.mark.parametrize("names", ["id=comments", "class='reader-comments'", "class=feedback", "class='comment-list user-comments'"])
+@pytest.mark.parametrize("tag", ["div", "section"])
+@pytest.mark.parametrize("n", [0, 1, 10, 40, 300])
+@pytest.mark.parametrize("size", [1, 3, 8])
+def test_comments_of_any_length_are_no_article(names, tag, n, size):
+    if tag == "section" and names.startswith("class=f"):
+        pytest.skip("a section may be about feedback")
+    said = "".join(f"<article><p>Reader {i} says a lot, quite a lot, and on and on, really, with many words more.</p></article>" for i in range(n))
+    around = "<body><nav>Home</nav>{}<footer>All, reserved.</footer></body>"
+    for post in ("<div id=post><h1>Head</h1>{}</div>", "<h1>Head</h1>{}", "<article><h1>Head</h1>{}</article>"):
+        page = around.format(post.format(paragraphs(size)) + f"<{tag} {names}>{said}</{tag}>")
+        assert html_content.extract(page).split("\n") == ["Head", *lines(size)]
+
+
+def test_layout_tables_and_related_links():
+    page = f"<table><tr><td>Home</td><td><h1>Head</h1>{paragraphs(4)}</td><td>Elsewhere</td></tr></table>"
+    assert html_content.extract(page).split("\n") == ["Head", *lines(4)]
+    data = "<table><tr><th>Year</th><th>Sum</th></tr><tr><td>1</td><td>2</td></tr></table>"
+    page = f"<div id=x><h1>Head</h1>{paragraphs(3)}{data}{paragraphs(3)}</div>"
+    assert html_content.extract(page).split("\n") == ["Head", *lines(3), "Year", "Sum", "1", "2", *lines(3)]
+    page = f"<article><h1>Head</h1>{paragraphs(4)}<div class=related><p>Another story, that says this and that.</p></div></article>"
+    assert html_content.extract(page).split("\n") == ["Head", *lines(4)]
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<b>x " * 40_000, "<div>" * 20_000 + "x", "<div>x" * 20_000, "<ul><li>" * 5_000 + "x", "<p><i>" * 20_000 + "</p></i>" * 20_000, "<a href=x>" * 30_000 + "x " * 1000, "</b></i></div>" * 30_000 + "x"],
+)
+def test_bad_markup_takes_linear_time(page):
+    import time
+
+    start = time.process_time()
+    html_content.extract(page)
+    assert time.process_time() - start < 6
+
+
+def test_scores_of_paths_match_plain_loops():
+    import math
+    import statistics
+
+    random.seed(9)
+    tags = ["div", "p", "section", "li", "span", "a href=x"]
+    for _ in range(60):
+        page = "".join(f"<{random.choice(tags)}>" + random.choice(["", "Some, words. ", "more ", "x" * 30]) + random.choice(["", "</p>", "</div>", "</a>"]) for _ in range(40))
+        nodes, tree = html_content.blocks(page)
+        if not nodes:
+            continue
+        paths = []
+        for node in nodes:
+            path, at = [], node.element
+            while at:
+                path, at = [tree.tag[at], *path], tree.parent[at]
+            paths.append("/".join(t for t in path if t not in html_content.INLINE))
+        assert len(set(paths)) == len({n.path for n in nodes}) and len(set(zip(paths, (n.path for n in nodes), strict=True))) == len(set(paths))
+        text, marks = [], []
+        for path in paths:
+            mine = [n for n, p in zip(nodes, paths, strict=True) if p == path]
+            text.append(sum(len(n.text) - n.links for n in mine) / len(mine))
+            marks.append(sum(sum(c in ".,;:!?" for c in n.text) for n in mine if n.links * 2 < len(n.text)) / len(mine))
+        window = [math.exp(-d * d / 2) for d in range(-2, 3)]
+
+        def smooth(values):
+            return [sum(w * values[min(max(i + d, 0), len(values) - 1)] for w, d in zip(window, range(-2, 3), strict=True)) / sum(window) for i in range(len(values))]
+
+        want = [t * (1 + m) for t, m in zip(smooth(text), smooth(marks), strict=True)]
+        got = html_content.path_scores(nodes)
+        assert got.tolist() == pytest.approx(want)
+        best = {p: max(w for w, q in zip(want, paths, strict=True) if q == p) for p in paths}
+        least = statistics.pstdev(want)
+        if all(abs(b - least) > 1e-9 for b in best.values()):
+            chosen = [n.text for n, p in zip(nodes, paths, strict=True) if best[p] >= least]
+            assert [n.text for n in html_content.select(nodes, got)] == (chosen or [n.text for n in nodes])
