@@ -9,7 +9,8 @@ Pairs to look at come from hash tables: each table keys a vector by some signs
 of further rotations.  The number of signs follows the number of vectors, and
 the number of tables follows from the signs and the wanted recall, so buckets
 stay small at any size.  A bucket is cut into blocks that meet in pairs, so a
-bucket of any size is dealt out over tasks.
+bucket of any size is dealt out over tasks.  Equal vectors are one class with
+a count, so copies of one vector are compared once.
 """
 
 from __future__ import annotations
@@ -146,16 +147,32 @@ def near_vectors(df: DataFrame, key: str, vector: str, settings: Settings = Sett
         .withColumn("_width", F.coalesce(F.size("_vector"), F.lit(0)))
         .withColumn("_row", F.monotonically_increasing_id())  # lasting, as the rows are staged
     )
-    widths = rows.filter("_vector is not null").groupBy("_width").count().collect()  # a row for each width
-    found = [_links_of_width(rows.filter(F.col("_width") == w["_width"]), w["_width"], w["count"], settings) for w in widths]
+    classes = _classes(rows)
+    widths = classes.groupBy("_width").count().collect()  # a row for each width
+    found = [_links_of_width(classes.filter(F.col("_width") == w["_width"]), w["_width"], w["count"], settings) for w in widths]
     if not found:
         return rows.select(F.col("_key").alias(key), F.lit(0).cast("long").alias("n_links"), F.col("_key").alias("component_id"), F.lit(True).alias("kept"))
     both = found[0]
     for more in found[1:]:
         both = both.unionByName(more)
     both = stage(both)
-    counted = both.groupBy(F.col("a").alias("_at")).agg(F.sum("n").alias("n_links"))
-    groups = connected(both.filter("b is not null"), "a", "b")
+    linked = both.groupBy(F.col("a").alias("_row")).agg(F.sum("n").alias("_n"))
+    # rows of one class link with each other, unless they share their key
+    known = classes.select("_row", "_least", "_owner", "_weight", *DIGEST).join(linked, "_row", "left")
+    each = F.coalesce("_n", F.lit(0)) + F.when(F.col("_owner").isNull(), F.col("_weight") - 1).otherwise(F.lit(0))
+    known = known.select("_least", "_owner", *DIGEST, each.alias("_each"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    # a class may hold a third of all rows, so they are dealt over parts
+    salted = _with_owner(rows).select("_key", "_owner", *DIGEST, F.pmod(F.xxhash64("_row"), F.lit(SALTS)).cast("int").alias("_salt"))
+    on = [F.col(c) == F.col(f"_of{c}") for c in (*DIGEST, "_salt")] + [F.col("_owner").eqNullSafe(F.col("_as"))]
+    known = known.withColumnsRenamed({**{c: f"_of{c}" for c in (*DIGEST, "_salt")}, "_owner": "_as"})
+    members = stage(salted.join(known, on).select("_key", "_least", "_each"))
+    counted = members.groupBy(F.col("_key").alias("_at")).agg(F.sum("_each").alias("n_links"))
+    names = classes.select("_row", "_least")
+    ends = both.filter("b is not null").select("a", "b").distinct()
+    ends = ends.join(names.select(F.col("_row").alias("a"), F.col("_least").alias("x")), "a")
+    ends = ends.join(names.select(F.col("_row").alias("b"), F.col("_least").alias("y")), "b").select("x", "y")
+    inside = members.select(F.col("_key").alias("x"), F.col("_least").alias("y"))
+    groups = connected(ends.unionByName(inside), "x", "y")
     component = F.coalesce("component", "_key")
     return (
         rows.select("_key")
@@ -170,10 +187,33 @@ def near_vectors(df: DataFrame, key: str, vector: str, settings: Settings = Sett
     )
 
 
+#: 128 bits of a vector that tell it from others.
+DIGEST = ("_one", "_two")
+#: Parts that the rows of a class of equal vectors are dealt over.
+SALTS = 16
+
+
+def _with_owner(rows: DataFrame) -> DataFrame:
+    """Usable rows with the digest of their vector, and as ``_owner`` their key if several rows have it."""
+    usable = rows.filter("_vector is not null")
+    repeated = usable.groupBy("_key").count().filter("count > 1").select(F.col("_key").alias("_owner"))
+    digests = {name: F.xxhash64(F.lit(seed), "_vector") for seed, name in enumerate(DIGEST)}
+    return usable.withColumns(digests).join(repeated, F.col("_key") == F.col("_owner"), "left")
+
+
+def _classes(rows: DataFrame) -> DataFrame:
+    """One row for each vector, or for each vector and key where keys repeat: _row, _vector, _width, _weight, _least, _owner.
+
+    ``_weight`` counts its rows and ``_least`` is their least key.  Equal
+    vectors are compared with others once, however many there are.
+    """
+    alike = _with_owner(rows).groupBy(*DIGEST, "_owner").agg(F.min("_row").alias("_row"), F.count(F.lit(1)).alias("_weight"), F.min("_key").alias("_least"))
+    return stage(alike.join(rows.select("_row", "_vector", "_width"), "_row"))
+
+
 def _links_of_width(rows: DataFrame, width: int, vectors: int, settings: Settings) -> DataFrame:
-    """(a, b, n): n links of a found in one group, and b, a vector linked with a (null if there is none to tell)."""
+    """(a, b, n): n links of class a found in one group, and b, a class linked with a (null if there is none to tell)."""
     plan = Tables.planned(width, vectors, settings)
-    kind = rows.schema["_key"].dataType.simpleString()
 
     def to_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = plan.planes()
@@ -190,26 +230,28 @@ def _links_of_width(rows: DataFrame, width: int, vectors: int, settings: Setting
     shared = keyed.groupBy("_table", "_hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     meets = in_blocks(keyed.join(stage(shared), ["_table", "_hash"]), ["_table", "_hash"], "_row", "_n", settings.block)
     group = ["_table", "_hash", "_low", "_high"]
-    full = meets.join(rows.select("_row", "_key", "_vector"), "_row")
+    full = meets.join(rows.select("_row", "_owner", "_weight", "_vector"), "_row")
     ordered = full.repartition(*group).sortWithinPartitions(*group, "_block", "_row")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker = _Compare(plan, settings)
         for table in whole_groups(batches, group):
-            yield from _compare_groups(table, group, worker, kind)
+            yield from _compare_groups(table, group, worker)
 
-    columns = ["_key", "_vector", "_block", *group]
-    return ordered.select(*columns).mapInArrow(compare, f"a {kind}, b {kind}, n long")
+    columns = ["_row", "_owner", "_weight", "_vector", "_block", *group]
+    return ordered.select(*columns).mapInArrow(compare, "a long, b long, n long")
 
 
-def _compare_groups(table: pa.Table, group: list[str], worker: _Compare, kind: str) -> Iterator[pa.RecordBatch]:
+def _compare_groups(table: pa.Table, group: list[str], worker: _Compare) -> Iterator[pa.RecordBatch]:
     starts = np.append(starts_of(table, group), table.num_rows)
     vectors = table.column("_vector").combine_chunks()
     units = _unit(_matrix(vectors, worker.plan.width))
     coded = encode(units, worker.rotation)
     block = table.column("_block").to_numpy()
     low, high, number = (table.column(c).to_numpy() for c in ("_low", "_high", "_table"))
-    names = table.column("_key").to_numpy()
+    names, weight = table.column("_row").to_numpy(), table.column("_weight").to_numpy()
+    owners = np.asarray(table.column("_owner").to_pylist(), object)
+    owned = np.array([o is not None for o in owners], bool)
     lefts, rights = [], []
     for start, end in zip(starts[:-1], starts[1:], strict=True):
         if end - start < 2:
@@ -226,7 +268,9 @@ def _compare_groups(table: pa.Table, group: list[str], worker: _Compare, kind: s
     if not lefts:
         return
     left, right = np.concatenate(lefts), np.concatenate(rights)
+    # a class of one repeated key has no links with others of that key
     other = names[left] != names[right]
+    other &= ~(owned[left] & owned[right] & (owners[left] == owners[right]))
     left, right = left[other], right[other]
     if not len(left):
         return
@@ -238,7 +282,9 @@ def _compare_groups(table: pa.Table, group: list[str], worker: _Compare, kind: s
     for at in range(0, len(left), 1 << 16):
         same = keys[p[at : at + (1 << 16)]] == keys[q[at : at + (1 << 16)]]
         first[at : at + (1 << 16)] = same.argmax(axis=1) == number[left[at : at + (1 << 16)]]
-    links = np.bincount(left[first], minlength=table.num_rows) + np.bincount(right[first], minlength=table.num_rows)
+    links = np.zeros(table.num_rows, np.int64)
+    np.add.at(links, left[first], weight[right[first]])
+    np.add.at(links, right[first], weight[left[first]])
     # each row is tied to its least neighbour here, or its own name if that is less: this keeps the group connected
     # only if every link is followed, so neighbours are spread until nothing changes
     least = np.arange(table.num_rows)
@@ -255,7 +301,7 @@ def _compare_groups(table: pa.Table, group: list[str], worker: _Compare, kind: s
         [
             pa.array(names[tied]),
             pa.array(np.where(joined, names[least[tied]], names[tied]), mask=~joined),
-            pa.array(links[tied].astype(np.int64)),
+            pa.array(links[tied]),
         ],
         names=["a", "b", "n"],
     )

@@ -191,3 +191,16 @@ def test_sketches_subtract_and_peel(make):
     one = fingerprints.sketches(fingerprints.signed(rows.filter("k = 1"), ["k"]), ["k"], "digests", 16, 3, "sign")
     found = fingerprints.peel(one, ["k"], 3, digests=True).filter("size = 0").collect()
     assert {(r["key"], r["n"]) for r in found} == {(0, 1), (1, 1), (2, 1), (60, -1), (61, -1), (62, -1), (63, -1)}
+
+
+def test_many_equal_vectors(spark, make):
+    from pyspark.sql import functions as F
+
+    one, near, far = [1.0] + [0.0] * 7, [1.0, 0.1] + [0.0] * 6, [0.0] * 7 + [1.0]
+    copies = spark.range(20_000).select(F.col("id"), F.lit(one).alias("v"))
+    few = make([(30_000, near), (30_001, near), (30_001, near), (30_001, one), (30_002, far), (30_003, far), (30_004, None)], "id long, v array<double>")
+    got = {r["id"]: (r["n_links"], r["component_id"]) for r in vector_dedup.near_vectors(copies.unionByName(few), "id", "v").collect()}
+    assert all(got[i] == (19_999 + 4, 0) for i in range(0, 20_000, 997))
+    assert got[30_000] == (20_000 + 3, 0)
+    assert got[30_001] == (3 * 20_001, 0)  # three rows of one key, each linked with all rows of other keys
+    assert got[30_002] == got[30_003] == (1, 30_002) and got[30_004] == (0, 30_004)
