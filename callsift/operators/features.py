@@ -12,7 +12,8 @@ from callsift.functions.regex import start_totals
 from callsift.functions.text import remove_tokens, training_tokens
 from callsift.functions.vectors import let
 from callsift.operators.calls import ID
-from callsift.operators.intents import IntentPack, intent_distances
+from callsift.operators.intents import Pack as Intents
+from callsift.operators.intents import intent_distances
 from callsift.operators.lexicon import replace_words, replace_words_by_join
 from callsift.operators.ordering import hash_ranks
 from callsift.operators.rules import (
@@ -57,13 +58,13 @@ def relative_position(text: Column, patterns: Sequence[str] = fv.PATTERNS["mover
 
 def chunk_features(
     chunks: DataFrame,
-    pack: IntentPack,
+    pack: Intents,
     patterns: Sequence[str] = fv.PATTERNS["movers"],
     text: str = "text",
     **encoder,
 ) -> DataFrame:
     """M1: one row of features per non-empty cleaned chunk."""
-    (intent,) = pack.vectors
+    (intent,) = pack.sizes()
     kept = non_empty(chunks, text)
     scored = intent_distances(kept, text, pack, "all", **encoder).withColumnRenamed(
         intent, "intent"
@@ -97,7 +98,7 @@ def attach_labels(chunks: DataFrame, labels: DataFrame) -> DataFrame:
 
 def conversation_features(
     slim: DataFrame,
-    pack: IntentPack,
+    pack: Intents,
     patterns: Pack = fv.PATTERNS,
     labels: DataFrame | None = None,
     words: Sequence[str] = fv.FILLER_WORDS,

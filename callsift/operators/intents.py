@@ -1,10 +1,13 @@
 """Distances between sentences and sets of reference sentences
 (I1-I13, A7, A8, J11).
 
-A set of references is small configuration: it travels inside the plan as one
-constant, and each sentence is compared with all of it in place.  Nothing is
-paired up in a join, and a chunk is never taken apart: its sub-sentences stay
-in an array next to it.
+A small set of references travels inside the plan as one constant, and each
+sentence is compared with all of it in place.  A larger one goes past the
+encoded sentences block by block.  Nothing is paired up in a join, and a chunk
+is never taken apart: its sub-sentences stay in an array next to it.
+
+Rows that are vectors already find their least distance to a table of
+references of any size by metric pruning (``least_distances``).
 """
 
 from __future__ import annotations
@@ -15,20 +18,35 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callsift.functions.text import sub_sentences
 from callsift.functions.vectors import distances_to
-from callsift.session import stage
+from callsift.operators.ordering import number_rows
+from callsift.session import stage, unstage
 
 # a batch encoder is built once per Python worker and maps texts to a matrix
 BatchEncoder = Callable[[list[str]], np.ndarray]
 # a column encoder is an expression from text to array<double>
 ColumnEncoder = Callable[[Column], Column]
 
-# values a pack may put into a plan; larger ones are stored with the job's data
-MAX_PACK_VALUES = 500_000
+# reference values that may stand in a plan as a constant
+MAX_PLAN_VALUES = 500_000
+# reference values that a task holds at once; more come in several passes over the sentences
+BLOCK_VALUES = 4_000_000
+
+# intent, number of the block's first reference, matrix at unit length
+Block = tuple[str, int, np.ndarray]
+
+
+def _unit_rows(rows) -> np.ndarray:
+    matrix = np.asarray(rows, dtype="float64")
+    length = np.linalg.norm(matrix, axis=1, keepdims=True)
+    return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
 
 
 @dataclass(frozen=True)
@@ -40,34 +58,20 @@ class IntentPack:
 
     vectors: Mapping[str, np.ndarray] = field(default_factory=dict)
 
-    def __post_init__(self):
-        total = sum(int(np.asarray(v).size) for v in self.vectors.values())
-        if total > MAX_PACK_VALUES:
-            raise ValueError(
-                f"{total} reference values exceed {MAX_PACK_VALUES}; "
-                "score such a set with distances_in_blocks"
-            )
-
     @staticmethod
     def of(vectors: Mapping[str, Sequence[Sequence[float]]]) -> IntentPack:
-        unit = {}
-        for intent, rows in vectors.items():
-            matrix = np.asarray(rows, dtype="float64")
-            length = np.linalg.norm(matrix, axis=1, keepdims=True)
-            unit[intent] = np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
-        return IntentPack(unit)
+        return IntentPack({intent: _unit_rows(rows) for intent, rows in vectors.items()})
 
     @staticmethod
     def encode(sentences: Mapping[str, Sequence[str]], encoder: BatchEncoder) -> IntentPack:
         return IntentPack.of({k: encoder(list(v)) for k, v in sentences.items()})
 
     @staticmethod
-    def from_rows(rows: DataFrame, intent: str, order: str, vector: str) -> IntentPack:
-        """Read a pack stored as a table, after a check of its size."""
-        n = rows.count()
-        width = rows.select(F.max(F.size(vector))).first()[0] or 0
-        if n * width > MAX_PACK_VALUES:
-            raise ValueError("the table is too large for a pack; use distances_in_blocks")
+    def from_rows(rows: DataFrame, intent: str, order: str, vector: str) -> IntentPack | StoredPack:
+        """A pack kept as a table.  One that is too large for a plan stays a table."""
+        stored = StoredPack(rows, intent, order, vector)
+        if stored.values() > MAX_PLAN_VALUES:
+            return stored
         found: dict[str, list] = {}
         for row in rows.orderBy(intent, order).select(intent, vector).collect():
             found.setdefault(str(row[0]), []).append(row[1])
@@ -77,18 +81,58 @@ class IntentPack:
         """References per intent."""
         return {k: int(v.shape[0]) for k, v in self.vectors.items()}
 
+    def values(self) -> int:
+        return sum(int(np.asarray(v).size) for v in self.vectors.values())
+
+    def blocks(self, values: int) -> Iterator[Block]:
+        for intent, matrix in self.vectors.items():
+            rows = max(1, values // max(1, matrix.shape[1]))
+            for at in range(0, len(matrix), rows):
+                yield intent, at, matrix[at : at + rows]
+
     def literal(self, intent: str) -> Column:
         return F.expr(
             f"from_json('{json.dumps(self.vectors[intent].tolist())}', 'array<array<double>>')"
         )
 
 
+class StoredPack:
+    """Reference vectors of any number, kept as a table: intent, order, vector.
+
+    The driver sees one block of them at a time.
+    """
+
+    def __init__(self, rows: DataFrame, intent: str, order: str, vector: str):
+        named = rows.select(F.col(intent).cast("string").alias("intent"), F.col(order).alias("order"), F.col(vector).cast("array<double>").alias("vector"))
+        self.rows = stage(number_rows(named, "intent", ["order"], "at", large_keys=True))
+        found = self.rows.groupBy("intent").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("width")).collect()
+        self._shapes = {r["intent"]: (r["n"], r["width"]) for r in sorted(found)}
+
+    def sizes(self) -> dict[str, int]:
+        """References per intent."""
+        return {k: n for k, (n, _) in self._shapes.items()}
+
+    def values(self) -> int:
+        return sum(n * width for n, width in self._shapes.values())
+
+    def blocks(self, values: int) -> Iterator[Block]:
+        for intent, (n, width) in self._shapes.items():
+            rows = max(1, values // max(1, width))
+            for at in range(0, n, rows):
+                some = self.rows.filter((F.col("intent") == intent) & F.col("at").between(at, at + rows - 1))
+                found = sorted((r["at"], r["vector"]) for r in some.select("at", "vector").collect())  # one block
+                yield intent, at, _unit_rows([v for _, v in found])
+
+
+Pack = IntentPack | StoredPack
+
+
 @dataclass(frozen=True)
 class OpposedPack:
     """Two packs of equal shape: a reference and its opposite."""
 
-    positive: IntentPack
-    negative: IntentPack
+    positive: Pack
+    negative: Pack
 
     @staticmethod
     def encode(pairs: Mapping[str, Sequence[str]], encoder: BatchEncoder) -> OpposedPack:
@@ -249,71 +293,205 @@ def _complete(df, keys, chunks, columns):
     )
 
 
-#: Rows that a task of ``distances_in_blocks`` holds at once, on average.
-ROWS_OF_PART = 8_000
+#: Values of the pivots that every task holds, and references of a block of a cluster.
+PIVOT_VALUES = 4_000_000
+CLUSTER_BLOCK = 4_000
+#: Rows of a part that meets a block of references.
+PART_ROWS = 20_000
+#: Angles are told apart by more than this; it makes up for rounding in cosines near 1.
+SLACK = 1e-6
 
 
-def parts_of(n: int, blocks: int, tasks: int) -> int:
-    """Parts of ``n`` rows: none too large to hold, and with ``blocks`` enough pairs for all tasks."""
-    return max(1, -(-n // ROWS_OF_PART), -(-tasks // blocks))
+def _usable(vector: Column) -> Column:
+    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return F.coalesce(~bad & (F.size(vector) > 0), F.lit(False))
 
 
-def distances_in_blocks(
+def least_distances(
     rows: DataFrame,
     vector: str,
     references: DataFrame,
     order: str = "j",
     reference_vector: str = "vec",
-    block: int = 2000,
-    parts: int | None = None,
+    pivots: int | None = None,
 ) -> DataFrame:
-    """I2 against a table of references of any number and width.
-
-    ``references`` has a dense number ``order`` from 0.  A row comes out once
-    per block of them, with ``first`` (number of the block's first reference),
-    ``dists``, its least distance in the block as an array of one, and
-    ``compared``, the number of references it was compared with;
-    ``min_distance`` over the result gives the overall minimum.
-
-    Rows are dealt out to ``parts``, and each part meets each block in a task
-    that holds both as matrices.  Unless stated otherwise the rows are counted
-    first, for parts of ``ROWS_OF_PART`` rows on average.  Nothing goes through
-    the driver but the numbers of rows and references.
+    """I2, A7, J11 against a table of references of any number: the exact least distance, without all pairs.
+
+    Some references are pivots, and each reference belongs to the pivot at the
+    least angle.  Angles obey the triangle inequality, so a row compares
+    itself with the pivots first; the nearest one bounds its least angle, and
+    only clusters whose radius reaches within that bound are opened.  In a
+    cluster only references at an angle to the pivot that the bound allows are
+    multiplied.  Rows meet blocks of a cluster in tasks, in parts, however
+    many rows open it.
+
+    Adds ``dist``, ``nearest`` (order of the nearest reference, the least of
+    those at one distance), ``seen`` (references that were compared or ruled
+    out) and ``multiplied`` (products made).  A vector of zeros is at distance
+    1.  References that are null, empty or hold anything but finite numbers,
+    or whose width is not that of the least order, are left out; such a row
+    has null in all added columns, and so has every row without references.
     """
-    total = references.agg(F.max(order)).first()[0]
-    if total is None:
-        raise ValueError("no references")
-    blocks = int(total) // block + 1
-    if parts is None:
-        parts = parts_of(rows.count(), blocks, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    left = rows.withColumn("_part", F.pmod(F.xxhash64(vector, F.monotonically_increasing_id()), F.lit(parts)))
-    left = left.withColumn("_at", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = references.select(
-        F.floor(F.col(order) / block).cast("int").alias("_at"),
-        F.col(order).alias("_order"),
-        F.col(reference_vector).cast("array<double>").alias("_reference"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("_part"),
-    )
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields), "first long, dists array<double>, compared long"])
-    names = rows.columns
-
-    def compare(some: pd.DataFrame, those: pd.DataFrame) -> pd.DataFrame:
-        out = some[names].assign(first=0, dists=None, compared=len(those))
-        if len(some) and len(those):
-            matrix = np.stack(those["_reference"].to_numpy())
-            norm = np.linalg.norm(matrix, axis=1, keepdims=True)
-            matrix = np.divide(matrix, norm, out=np.zeros_like(matrix), where=norm > 0)
-            found = np.stack(some[vector].to_numpy()).astype("float64")
-            length = np.linalg.norm(found, axis=1, keepdims=True)
-            unit = np.divide(found, length, out=np.zeros_like(found), where=length > 0)
-            out["first"] = int(those["_order"].min())
-            # the product is made in slices, so that it stays small beside the two matrices
-            slices = [unit[at : at + 512] for at in range(0, len(unit), 512)]
-            out["dists"] = list(np.concatenate([(1.0 - s @ matrix.T).min(axis=1, keepdims=True) for s in slices]))
-        return out.iloc[: len(some) if len(those) else 0]
-
-    at = ["_part", "_at"]
-    return left.groupBy(*at).cogroup(right.groupBy(*at)).applyInPandas(compare, schema)
+    given = references.select(F.col(order).alias("_order"), F.col(reference_vector).cast("array<double>").alias("_unit"))
+    held = stage(given.filter(_usable(F.col("_unit"))))
+    first = held.orderBy("_order").select(F.size("_unit").alias("width"), "_order").first()
+    added, kinds = ["dist", "nearest", "seen", "multiplied"], held.schema["_order"].dataType
+    if first is None:
+        nothing = {"dist": "double", "nearest": kinds, "seen": "long", "multiplied": "long"}
+        return rows.withColumns({c: F.lit(None).cast(t) for c, t in nothing.items()})
+    width = first["width"]
+    held = held.filter(F.size("_unit") == width)
+    zero = F.aggregate("_unit", F.lit(0.0), lambda a, x: a + x * x) == 0
+    total, zeros, least_zero = held.agg(F.count(F.lit(1)), F.count_if(zero), F.min(F.when(zero, F.col("_order")))).first()
+    some = pivots or int(2 * np.sqrt(total)) + 1
+    chosen = held.filter(~zero).orderBy(F.xxhash64("_order"), "_order").limit(max(1, min(some, PIVOT_VALUES // width)))
+    points = _unit_rows([r["_unit"] for r in chosen.select("_unit").collect()]).reshape(-1, width)
+    kept = stage(rows.drop(*added).withColumn("_row", F.monotonically_increasing_id()))  # lasting, as the rows are staged
+    numbers = F.col(vector).cast("array<double>")
+    asked = kept.filter(_usable(numbers) & (F.size(vector) == width)).select("_row", numbers.alias("_unit"))
+    is_zero = F.aggregate("_unit", F.lit(0.0), lambda a, x: a + x * x) == 0
+    # zeros are at distance 1 from everything
+    plain = asked.filter(is_zero).select("_row", F.lit(1.0).alias("dist"), F.lit(first["_order"]).cast(kinds).alias("nearest"))
+    found = plain.select("*", F.lit(total).cast("long").alias("seen"), F.lit(0).cast("long").alias("multiplied"))
+    if len(points):
+        members = stage(_assigned(held.filter(~zero), points, width))
+        found = found.unionByName(_nearest(asked.filter(~is_zero), members, points, width, kinds, zeros, least_zero))
+    elif total:
+        found = asked.select("_row", F.lit(1.0).alias("dist"), F.lit(first["_order"]).cast(kinds).alias("nearest"), F.lit(total).cast("long").alias("seen"), F.lit(0).cast("long").alias("multiplied"))
+    found = found.withColumnRenamed("_row", "_of")
+    return kept.join(found, F.col("_row") == F.col("_of"), "left").drop("_row", "_of")
+
+
+def _angles(unit: np.ndarray, points: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(unit @ points.T, -1.0, 1.0))
+
+
+def _batch_matrix(column: pa.Array, width: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _lists_of(matrix: np.ndarray) -> pa.Array:
+    offsets = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.ravel()))
+
+
+def _assigned(held: DataFrame, points: np.ndarray, width: int) -> DataFrame:
+    """References with the number of their pivot and the angle to it, at unit length."""
+    shared = held.sparkSession.sparkContext.broadcast(points)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                unit = _unit_rows(_batch_matrix(part.column("_unit"), width))
+                angles = _angles(unit, shared.value)
+                own = angles.argmin(axis=1)
+                columns = [pa.array(own.astype(np.int32)), pa.array(angles[np.arange(len(own)), own]), part.column("_order"), _lists_of(unit)]
+                yield pa.RecordBatch.from_arrays(columns, names=["_cluster", "_angle", "_order", "_unit"])
+
+    schema = T.StructType([T.StructField("_cluster", T.IntegerType()), T.StructField("_angle", T.DoubleType()), held.schema["_order"], T.StructField("_unit", T.ArrayType(T.DoubleType()))])
+    return held.select("_order", "_unit").mapInArrow(run, schema)
+
+
+def _nearest(asked: DataFrame, members: DataFrame, points: np.ndarray, width: int, kind, zeros: int, least_zero) -> DataFrame:
+    """(_row, dist, nearest, seen, multiplied) of rows that are no zeros."""
+    spark = asked.sparkSession
+    sizes, radius = np.zeros(len(points), np.int64), np.full(len(points), -np.inf)
+    for r in members.groupBy("_cluster").agg(F.count(F.lit(1)).alias("n"), F.max("_angle").alias("r")).collect():  # a row for each pivot
+        sizes[r["_cluster"]], radius[r["_cluster"]] = r["n"], r["r"]
+    blocks = -(-sizes // CLUSTER_BLOCK)
+    shared = spark.sparkContext.broadcast((points, sizes, radius, blocks))
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        points, sizes, radius, blocks = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                unit = _unit_rows(_batch_matrix(part.column("_unit"), width))
+                angles = _angles(unit, points)
+                bound = angles.min(axis=1) + SLACK
+                able = angles - radius[None, :] <= bound[:, None]
+                row, cluster = np.nonzero(able)
+                closed = sizes.sum() - able @ sizes
+                first = np.append(True, row[1:] != row[:-1])
+                times = blocks[cluster]
+                row, cluster, first = np.repeat(row, times), np.repeat(cluster, times), np.repeat(first, times)
+                block = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+                columns = {
+                    "_cluster": pa.array(cluster.astype(np.int32)),
+                    "_block": pa.array(block.astype(np.int32)),
+                    "_id": part.column("_row").take(pa.array(row)),
+                    "_angle": pa.array(angles[row, cluster]),
+                    "_bound": pa.array(bound[row]),
+                    # told once for each row
+                    "_closed": pa.array(np.where(first & (block == 0), closed[row], 0)),
+                    "_unit": _lists_of(unit[row]),
+                }
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    schema = "_cluster int, _block int, _id long, _angle double, _bound double, _closed long, _unit array<double>"
+    group = ["_cluster", "_block", "_part"]
+    questions = stage(asked.mapInArrow(opened, schema))
+    parts = questions.groupBy("_cluster", "_block").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("_parts"))
+    parts = stage(parts)
+    dealt = questions.join(parts, ["_cluster", "_block"]).withColumn("_part", F.pmod(F.xxhash64("_id"), "_parts").cast("int"))
+    left = dealt.select(*group, F.lit(1).alias("_side"), "_angle", "_bound", "_closed", "_id", F.lit(None).cast(kind).alias("_order"), "_unit")
+    # a row for each pivot
+    counts = spark.createDataFrame([(c, b) for c, b in enumerate(blocks.tolist()) if b], "_cluster int, _blocks int")
+    cut = members.join(counts, "_cluster").withColumn("_block", F.pmod(F.xxhash64("_order", F.lit(5)), "_blocks").cast("int")).join(parts, ["_cluster", "_block"])
+    cut = cut.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    no_number = [F.lit(None).cast("double").alias("_bound"), F.lit(None).cast("long").alias("_closed"), F.lit(None).cast("long").alias("_id")]
+    right = cut.select(*group, F.lit(0).alias("_side"), "_angle", *no_number, "_order", "_unit")
+    both = right.unionByName(left).repartition(*group).sortWithinPartitions(*group, "_side", "_angle")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            marks = np.stack([batch.column(c).to_numpy() for c in (*group, "_side")], axis=1)
+            cuts = np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(marks)], strict=True):
+                part, where, side = batch.slice(a, b - a), tuple(marks[a, :3]), marks[a, 3]
+                if where != now:
+                    now, held = where, []
+                if side == 0:
+                    held.append(part)
+                else:
+                    if isinstance(held, list):
+                        # a block may have got no reference
+                        held = pa.Table.from_batches(held, schema=batch.schema).combine_chunks()
+                    for at in range(0, part.num_rows, 256):
+                        yield _compared(part.slice(at, 256), held, width)
+
+    out = T.StructType([T.StructField("_row", T.LongType()), T.StructField("dist", T.DoubleType()), T.StructField("nearest", kind), T.StructField("seen", T.LongType()), T.StructField("multiplied", T.LongType())])
+    answers = both.mapInArrow(compare, out).groupBy("_row")
+    answers = answers.agg(F.min(F.struct("dist", "nearest")).alias("_best"), F.sum("seen").alias("seen"), F.sum("multiplied").alias("multiplied"))
+    best = F.col("_best")
+    if zeros:
+        best = F.least(best, F.struct(F.lit(1.0).alias("dist"), F.lit(least_zero).cast(kind).alias("nearest")))
+    return answers.select("_row", best["dist"].alias("dist"), best["nearest"].alias("nearest"), (F.col("seen") + zeros).alias("seen"), "multiplied")
+
+
+def _compared(part: pa.RecordBatch, held: pa.Table, width: int) -> pa.RecordBatch:
+    """Rows against those references of a block that their bounds allow; both in the order of their angles to the pivot."""
+    angle, bound = part.column("_angle").to_numpy(), part.column("_bound").to_numpy()
+    angles = held.column("_angle").to_numpy()
+    low = int(np.searchsorted(angles, (angle - bound).min() - SLACK))
+    high = int(np.searchsorted(angles, (angle + bound).max() + SLACK, side="right"))
+    seen = held.num_rows + part.column("_closed").to_numpy()
+    if low >= high:
+        # beyond all distances: some other block has the nearest
+        dist, order = pa.array(np.full(part.num_rows, 3.0)), pa.nulls(part.num_rows, held.schema.field("_order").type)
+    else:
+        some = held.slice(low, high - low)
+        there = _batch_matrix(some.column("_unit").combine_chunks(), width)
+        far = np.clip(1.0 - _batch_matrix(part.column("_unit"), width) @ there.T, 0.0, 2.0)
+        least = far.min(axis=1)
+        orders = some.column("_order").combine_chunks()
+        by_order = pa.compute.sort_indices(orders).to_numpy().astype(np.int64)
+        place = by_order[(far[:, by_order] == least[:, None]).argmax(axis=1)]
+        dist, order = pa.array(least), orders.take(pa.array(place))
+    columns = [part.column("_id"), dist, order, pa.array(seen), pa.array(np.full(part.num_rows, max(0, high - low), np.int64))]
+    return pa.RecordBatch.from_arrays(columns, names=["_row", "dist", "nearest", "seen", "multiplied"])
 
 
 # --- distances of chunks of text -------------------------------------------------
@@ -379,19 +557,111 @@ def _by_batch(
     return scored.select(*df.columns, *[F.col("_scored")[f"{n}_{i}"].alias(f"{n}_{i}") for n, i in names])
 
 
+def _encoded(df: DataFrame, subs: Column, column_encoder, batch_encoder) -> DataFrame:
+    """``df`` with ``_n``, the number of sub-sentences of a chunk, and ``_flat``, their vectors one behind the other."""
+    listed = df.withColumn("_subs", subs)
+    if column_encoder is not None:
+        vectors = F.flatten(F.transform("_subs", column_encoder)).cast("array<double>")
+        return listed.withColumns({"_n": F.size("_subs"), "_flat": vectors}).drop("_subs")
+
+    @F.pandas_udf("array<double>")
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = batch_encoder()
+        for lists in batches:
+            texts = np.array([t for ts in lists for t in ts], dtype=object)
+            ends = np.cumsum(lists.map(len).to_numpy())
+            if len(texts):
+                distinct, back = np.unique(texts, return_inverse=True)
+                rows = np.asarray(model(list(distinct)), dtype="float64")[back]
+            else:
+                rows = np.zeros((0, 0))
+            yield pd.Series([x.ravel() for x in np.split(rows, ends[:-1])] if len(lists) else [], dtype=object)
+
+    return listed.withColumns({"_n": F.size("_subs"), "_flat": encode("_subs")}).drop("_subs")
+
+
+def _passes(packs: Mapping[str, Pack]) -> Iterator[list[tuple[str, int, np.ndarray]]]:
+    """Blocks of references (column, first reference, matrix), as many at a time as a task may hold."""
+    waiting: list[tuple[str, int, np.ndarray]] = []
+    held = 0
+    for name, pack in packs.items():
+        for intent, first, matrix in pack.blocks(BLOCK_VALUES):
+            if waiting and held + matrix.size > BLOCK_VALUES:
+                yield waiting
+                waiting, held = [], 0
+            waiting.append((f"{name}_{intent}", first, matrix))
+            held += matrix.size
+    if waiting:
+        yield waiting
+
+
+def _past_blocks(rows: DataFrame, packs: Mapping[str, Pack], least: bool) -> DataFrame:
+    """Distances of encoded chunks (``_n``, ``_flat``) to packs of any size, one bounded part of them after the other.
+
+    With ``least`` a column has one value, the running minimum; or else each
+    pass adds the distances to its references at the end.
+    """
+    columns = [f"{n}_{i}" for n, p in packs.items() for i in p.sizes()]
+    rows = rows.withColumns({c: F.array().cast("array<double>") for c in columns})
+    several = sum(p.values() for p in packs.values()) > BLOCK_VALUES
+    rows = stage(rows) if several else rows
+    for blocks in _passes(packs):
+        shared = rows.sparkSession.sparkContext.broadcast(blocks)
+        after = rows.mapInArrow(_with_minima(shared, least), rows.schema)
+        if several:
+            before, rows = rows, stage(after)
+            unstage(before)
+        else:
+            rows = after
+    return rows.drop("_n", "_flat")
+
+
+def _with_minima(shared, least: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # some hundred chunks at a time, so that the products stay small beside the references
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                added = {c: part.column(c) for c in part.schema.names}
+                counts = part.column("_n").to_numpy()
+                flat = part.column("_flat").flatten().to_numpy(zero_copy_only=False)
+                filled = counts > 0
+                starts = (np.cumsum(counts) - counts)[filled]
+                unit = _unit_rows(flat.reshape(counts.sum(), -1)) if filled.any() else None
+                for column, _, matrix in shared.value:
+                    out = np.ones((part.num_rows, len(matrix)))
+                    if unit is not None:
+                        out[filled] = np.minimum.reduceat(np.clip(1.0 - unit @ matrix.T, 0.0, 2.0), starts, axis=0)
+                    if least:
+                        out = out.min(axis=1, keepdims=True)
+                    before = added[column].flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
+                    if least and before.size:
+                        out = np.minimum(before, out)
+                    elif not least:
+                        out = np.concatenate([before, out], axis=1)
+                    added[column] = _lists_of(out)
+                yield pa.RecordBatch.from_arrays(list(added.values()), names=list(added))
+
+    return run
+
+
 def chunk_distances(
     chunks: DataFrame,
     text: str,
-    packs: Mapping[str, IntentPack],
+    packs: Mapping[str, Pack],
     column_encoder: ColumnEncoder | None = None,
     batch_encoder: Callable[[], BatchEncoder] | None = None,
     separator: str | None = None,
+    least: bool = False,
 ) -> DataFrame:
     """I1 with I4/I6: distances of every chunk to every reference.
 
-    Adds ``<pack>_<intent>`` columns.  Exactly one encoder is needed: an
+    Adds ``<pack>_<intent>`` columns, arrays of all distances; with ``least``
+    an array may hold the least one alone.  Exactly one encoder is needed: an
     expression, or a factory of a function on lists of texts that is called
-    once in each Python worker.
+    once in each Python worker.  Packs may have any size: small ones are
+    constants of the plan, sentences are encoded once and go past larger ones
+    block by block.
     """
     if (column_encoder is None) == (batch_encoder is None):
         raise ValueError("give a column encoder or a batch encoder")
@@ -400,16 +670,19 @@ def chunk_distances(
         if separator is None
         else sub_sentences(F.col(text), separator)
     )
+    in_plan = all(isinstance(p, IntentPack) for p in packs.values())
+    if not in_plan or sum(p.values() for p in packs.values()) > MAX_PLAN_VALUES:
+        return _past_blocks(_encoded(chunks, subs, column_encoder, batch_encoder), packs, least)
     if column_encoder is not None:
         return _by_column(chunks, subs, column_encoder, packs)
     return _by_batch(chunks, subs, batch_encoder, packs)
 
 
-def intent_distances(chunks: DataFrame, text: str, pack: IntentPack, how: str = "all", **encoder) -> DataFrame:
+def intent_distances(chunks: DataFrame, text: str, pack: Pack, how: str = "all", **encoder) -> DataFrame:
     """One column per intent, an array (``all``) or a number (``min``)."""
-    scored = chunk_distances(chunks, text, {"d": pack}, **encoder)
+    scored = chunk_distances(chunks, text, {"d": pack}, least=how != "all", **encoder)
     columns = [
-        (F.col(f"d_{i}") if how == "all" else F.array_min(f"d_{i}")).alias(i) for i in pack.vectors
+        (F.col(f"d_{i}") if how == "all" else F.array_min(f"d_{i}")).alias(i) for i in pack.sizes()
     ]
     return scored.select(*chunks.columns, *columns)
 
@@ -417,10 +690,10 @@ def intent_distances(chunks: DataFrame, text: str, pack: IntentPack, how: str =
 def opposed_distances(chunks: DataFrame, text: str, pack: OpposedPack, how: str = "all", **encoder) -> DataFrame:
     """One column per intent, scores of opposed pairs."""
     scored = chunk_distances(
-        chunks, text, {"p": pack.positive, "n": pack.negative}, **encoder
+        chunks, text, {"p": pack.positive, "n": pack.negative}, least=how != "all", **encoder
     )
     columns = []
-    for i in pack.positive.vectors:
+    for i in pack.sizes():
         pos, neg = F.col(f"p_{i}"), F.col(f"n_{i}")
         if how == "all":
             score = F.zip_with(pos, neg, opposed_score)

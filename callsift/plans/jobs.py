@@ -16,7 +16,7 @@ from callsift.operators import features as X
 from callsift.operators import learning as L
 from callsift.operators import reports as R
 from callsift.operators import rules
-from callsift.operators.intents import IntentPack
+from callsift.operators.intents import Pack as Intents
 from callsift.operators.ordering import number_rows
 from callsift.session import stage
 from callsift.sources import sinks
@@ -137,7 +137,7 @@ def weights_scorer(weights: Sequence[float], intercept: float) -> Scorer:
 
 def _classified(
     slim: DataFrame,
-    pack: IntentPack,
+    pack: Intents,
     scorer: Scorer,
     patterns: rules.Pack,
     mode: str,
@@ -157,7 +157,7 @@ def _classified(
 
 def detect_classified(
     said: DataFrame,
-    pack: IntentPack,
+    pack: Intents,
     scorer: Scorer,
     patterns: rules.Pack = fv.PATTERNS,
     mode: str = "after",
@@ -177,7 +177,7 @@ def classifier_daily(
     calls: DataFrame,
     lo,
     hi,
-    pack: IntentPack,
+    pack: Intents,
     scorer: Scorer,
     settings: Extraction = Extraction(),
     patterns: rules.Pack = fv.PATTERNS,
@@ -260,7 +260,7 @@ def label_examples(
 def training_features(
     annotations: DataFrame,
     row_order: str,
-    pack: IntentPack,
+    pack: Intents,
     patterns: rules.Pack = fv.PATTERNS,
     **encoder,
 ) -> DataFrame:
@@ -292,7 +292,7 @@ def load_naive_daily(spark, calls: DataFrame, lo, hi, table: str, location: str
 
 
 def load_classifier_daily(
-    spark, calls: DataFrame, lo, hi, pack: IntentPack, scorer: Scorer, table: str, location: str | None = None, **settings
+    spark, calls: DataFrame, lo, hi, pack: Intents, scorer: Scorer, table: str, location: str | None = None, **settings
 ) -> None:
     """P3 to its end, as above."""
     rows = sinks.one_per_conversation(classifier_daily(calls, lo, hi, pack, scorer, **settings))

@@ -89,9 +89,9 @@ def i2(spark, d):
     ["scaffold", "pairs"],
 )
 def i2_blocks(spark, d):
-    """The way for reference tables beyond the size of a pack."""
+    """The way for reference tables of any size."""
     refs = V.references(spark, d).select("j", F.col("pos").alias("vec"))
-    scored = I.distances_in_blocks(V.vectors(spark, d), "vec", refs, block=4)
+    scored = I.least_distances(V.vectors(spark, d), "vec", refs).withColumn("dists", F.array("dist"))
     found = I.min_distance(scored, KEYS, "dists", V.chunk_list(spark, d))
     return found.withColumn("dist", F.round("dist", 6))
 
@@ -371,37 +371,32 @@ def _wide_sql(v: str) -> str:
     return _WIDE.format(*parts)
 
 
-@query(
-    "i2_many_references",
-    f"""WITH r AS (SELECT vec_id, v, {_wide_sql('v')} AS vec FROM embeddings, (SELECT unnest([0, 1, 2]) AS v)),
-    q AS (SELECT vec_id, {_wide_sql('3')} AS vec FROM embeddings WHERE vec_id % 25 = 0)
-    SELECT q.vec_id, round(min(1 - list_cosine_similarity(q.vec, r.vec)), 6) AS least, count(*) AS n FROM q, r GROUP BY 1""",
-)
+def _many_sql(variants: str) -> str:
+    return f"""WITH r AS (SELECT vec_id, v, {_wide_sql('v')} AS vec FROM embeddings, (SELECT unnest([{variants}]) AS v)),
+    q AS (SELECT vec_id, {_wide_sql('3')} AS vec FROM embeddings)
+    SELECT q.vec_id, round(min(1 - list_cosine_similarity(q.vec, r.vec)), 6) AS least, count(*) AS n FROM q, r GROUP BY 1"""
+
+
+@query("i2_many_references", _many_sql("3"))
 def i2_many(spark, d):
-    """A set of embeddings (as the SQL states it) against three references of width 384 from each: more than a plan could hold."""
-    return _least_of_many(V.table(spark, d, "embeddings"), "vec_id % 25 = 0", 500)
+    """Every embedding against all embeddings, at width 384: each finds itself."""
+    return _least_of_many(V.table(spark, d, "embeddings"), [3])
 
 
-@query(
-    "i2_all_many_references",
-    f"""WITH r AS (SELECT vec_id, v, {_wide_sql('v')} AS vec FROM embeddings, (SELECT unnest([0, 1, 2]) AS v)),
-    q AS (SELECT vec_id, {_wide_sql('3')} AS vec FROM embeddings)
-    SELECT q.vec_id, round(min(1 - list_cosine_similarity(q.vec, r.vec)), 6) AS least, count(*) AS n FROM q, r GROUP BY 1""",
-)
+@query("i2_all_many_references", _many_sql("0, 1, 2"))
 def i2_all_many(spark, d):
-    """Every embedding against all these references.  Pairs grow with the square of the table."""
-    return _least_of_many(V.table(spark, d, "embeddings"), "true", 8000)
+    """Every embedding against three references of width 384 from each."""
+    return _least_of_many(V.table(spark, d, "embeddings"), [0, 1, 2])
 
 
-def _least_of_many(rows, asked, block):
+def _least_of_many(rows, variants):
     def wide(v):
         return F.concat(*[_scaled(b, v) for b in range(6)])
 
-    references = rows.select("vec_id", F.explode(F.array(*map(F.lit, range(3)))).alias("v"))
-    references = references.join(rows, "vec_id").select((F.col("vec_id") * 3 + F.col("v")).alias("j"), wide(F.col("v")).alias("vec"))
-    found = I.distances_in_blocks(rows.filter(asked).select("vec_id", wide(F.lit(3)).alias("vec")), "vec", references, block=block)
-    least = F.round(F.min(F.array_min("dists")), 6).alias("least")
-    return found.groupBy("vec_id").agg(least, F.sum("compared").alias("n"))
+    references = rows.select("vec_id", "embedding", F.explode(F.array(*map(F.lit, variants))).alias("v"))
+    references = references.select((F.col("vec_id") * 4 + F.col("v")).alias("j"), wide(F.col("v")).alias("vec"))
+    found = I.least_distances(rows.select("vec_id", wide(F.lit(3)).alias("vec")), "vec", references)
+    return found.select("vec_id", F.round("dist", 6).alias("least"), F.col("seen").alias("n"))
 
 
 def _scaled(b: int, v):

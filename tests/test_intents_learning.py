@@ -75,16 +75,66 @@ def test_chunk_without_sentences_is_at_distance_one(spark, vectors, pack):
     assert every["dists"] == [1.0] * 5
 
 
-def test_blocks_of_references_give_the_same_minimum(spark, vectors, pack):
-    refs = spark.createDataFrame(
-        [(j, [float(x) for x in v]) for j, v in enumerate(pack.vectors["a"])], "j int, vec array<double>"
-    )
-    blocks = I.distances_in_blocks(vectors, "vec", refs, block=2)
-    got = I.min_distance(blocks, KEYS, "dists").orderBy(*KEYS).collect()
+def table_of(spark, pack, intent="a"):
+    return spark.createDataFrame([(j, [float(x) for x in v]) for j, v in enumerate(pack.vectors[intent])], "j int, vec array<double>")
+
+
+def plain_least(rows, refs):
+    """(distance, order) of the nearest reference of each row, by a loop."""
+    for v in rows:
+        found = sorted((round(cos(np.array(v), np.array(r)), 9), j) for j, r in refs)
+        yield found[0]
+
+
+def test_table_of_references_gives_the_same_minimum(spark, vectors, pack):
+    scored = I.least_distances(vectors, "vec", table_of(spark, pack), pivots=2).withColumn("dists", F.array("dist"))
+    got = I.min_distance(scored, KEYS, "dists").orderBy(*KEYS).collect()
     want = I.min_distance(I.with_distances(vectors, "vec", {"d": pack}), KEYS, "d_a").orderBy(*KEYS).collect()
     assert [r["dist"] for r in got] == pytest.approx([r["dist"] for r in want])
 
 
+@pytest.mark.parametrize("block,parts", [(4000, 20_000), (3, 7)])
+def test_least_distances_match_a_loop(spark, monkeypatch, block, parts):
+    monkeypatch.setattr(I, "CLUSTER_BLOCK", block)
+    monkeypatch.setattr(I, "PART_ROWS", parts)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(6, 5))
+    refs = [(j, [float(x) for x in centres[j % 6] + rng.normal(size=5) / 8]) for j in range(90)]
+    refs += [(90 + j, refs[7][1]) for j in range(9)]  # ties
+    rows = [(i, [float(x) for x in centres[i % 6] + rng.normal(size=5) / 8]) for i in range(80)] + [(80 + i, refs[7][1]) for i in range(30)]
+    odd = [(200, None), (201, []), (202, [1.0]), (203, [float("nan")] * 5), (204, [None] * 5)]
+    zero = [(205, [0.0] * 5), (206, [-x for x in refs[0][1]])]
+    for more, zeros in (([], 0), ([(300, [0.0] * 5), (301, None), (302, [1.0] * 4), (303, [float("inf")] * 5)], 1)):
+        given = spark.createDataFrame(refs + more, "j int, vec array<double>")
+        asked = spark.createDataFrame([(i, v, "x") for i, v in rows + odd + zero], "id int, vec array<double>, dist string")
+        got = {r["id"]: r for r in I.least_distances(asked, "vec", given).collect()}
+        assert len(got) == len(rows) + 7 and all(got[i]["dist"] is None and got[i]["nearest"] is None for i, _ in odd)
+        usable = refs + [m for m in more if m[0] == 300]
+        for (i, _), (dist, j) in zip(rows + zero, plain_least([v for _, v in rows + zero], usable), strict=True):
+            assert got[i]["dist"] == pytest.approx(dist, abs=1e-8) and got[i]["seen"] == len(refs) + zeros
+            if i not in range(80, 110):
+                assert got[i]["nearest"] == j
+        made = sum(got[i]["multiplied"] for i, _ in rows)
+        assert made < 0.5 * len(rows) * len(refs)
+    empty = I.least_distances(asked, "vec", given.filter("j < 0")).collect()
+    assert len(empty) == len(rows) + 7 and all(r["dist"] is None for r in empty)
+    assert I.least_distances(asked.limit(0), "vec", given).collect() == []
+
+
+def test_pruning_on_clusters(spark):
+    """The share of products that are made, on clustered data."""
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(40, 32))
+    cloud = lambda n: [(i, [float(x) for x in centres[i % 40] + rng.normal(size=32) / 10]) for i in range(n)]
+    refs, rows = cloud(4000), cloud(1000)
+    got = I.least_distances(spark.createDataFrame(rows, "id int, vec array<double>"), "vec", spark.createDataFrame(refs, "j int, vec array<double>"))
+    found = got.agg(F.sum("multiplied"), F.sum("seen")).first()
+    assert found[0] < 0.3 * found[1] and found[1] == 4000 * 1000
+    unit = [np.array([v for _, v in x]) for x in (rows, refs)]
+    unit = [x / np.linalg.norm(x, axis=1, keepdims=True) for x in unit]
+    assert [r["dist"] for r in got.orderBy("id").collect()] == pytest.approx(list(1 - (unit[0] @ unit[1].T).max(axis=1)))
+
+
 def test_every_embedding_meets_every_reference(spark, tmp_path):
     import __spark_entry__ as entry
 
@@ -101,35 +151,35 @@ def test_every_embedding_meets_every_reference(spark, tmp_path):
     assert [r["least"] for r in got] == pytest.approx(want, abs=2e-6)
 
 
-def test_references_that_were_compared_are_counted(spark, vectors):
-    refs = spark.createDataFrame([(j, [1.0] * 8) for j in (0, 1, 5, 6, 9)], "j int, vec array<double>")
-    got = I.distances_in_blocks(vectors, "vec", refs, block=2).groupBy(*KEYS).agg(F.sum("compared").alias("n"), F.count_distinct("first").alias("k"))
-    seen = vectors.groupBy(*KEYS).count().join(got, KEYS).collect()
-    assert seen and all(r["n"] == 5 * r["count"] and r["k"] == 4 for r in seen)
-
-
-def test_parts_grow_with_the_rows(spark, vectors, pack, monkeypatch):
-    for n in (0, 1, 8_000, 8_001, 10**6, 10**10):
-        parts = I.parts_of(n, 3, 12)
-        assert parts * I.ROWS_OF_PART >= n and parts * 3 >= 12
-    asked = []
-    monkeypatch.setattr(I, "parts_of", lambda n, *rest: asked.append(n) or 40)
-    refs = spark.createDataFrame([(j, [float(x) for x in v]) for j, v in enumerate(pack.vectors["a"])], "j int, vec array<double>")
-    got = I.min_distance(I.distances_in_blocks(vectors, "vec", refs, block=2), KEYS, "dists").orderBy(*KEYS).collect()
-    want = I.min_distance(I.with_distances(vectors, "vec", {"d": pack}), KEYS, "d_a").orderBy(*KEYS).collect()
-    assert asked == [61] and [r["dist"] for r in got] == pytest.approx([r["dist"] for r in want])
-
-
-def test_wide_blocks_are_no_pack(spark, vectors, pack, monkeypatch):
-    monkeypatch.setattr(I, "MAX_PACK_VALUES", 10)
-    refs = spark.createDataFrame([(j, [float(x) for x in v]) for j, v in enumerate(pack.vectors["b"])], "j int, vec array<double>")
-    assert I.distances_in_blocks(vectors, "vec", refs, parts=1).count() == 61
-
-
-def test_pack_size_is_checked(monkeypatch):
-    monkeypatch.setattr(I, "MAX_PACK_VALUES", 10)
-    with pytest.raises(ValueError):
-        I.IntentPack.of({"a": np.ones((3, 4))})
+SAID = [(0, "I am moving to another town. Please cancel my plan! Thank you."), (1, "yes."), (2, ""), (3, None), (4, "moving. moving house, moving."), (5, "z " * 300)]
+REFERENCES = {"a": ["i am moving house", "cancel my plan", "thank you"] * 5, "b": ["moving to another town", "no"]}
+
+
+@pytest.mark.parametrize("how", ["all", "min"])
+@pytest.mark.parametrize("stored", [False, True])
+@pytest.mark.parametrize("block", [4_000_000, 60])
+@pytest.mark.parametrize("encoder", [{"column_encoder": I.letter_counts}, {"batch_encoder": lambda: I.letter_count_matrix}])
+def test_packs_of_any_size_give_the_same_distances(spark, monkeypatch, how, stored, block, encoder):
+    chunks = spark.createDataFrame([(i, t, "x") for i, t in SAID], "id int, text string, _n string").drop("_n")
+    small = I.IntentPack.encode(REFERENCES, I.letter_count_matrix)
+    rows = [(k, j, [float(x) for x in v]) for k, m in small.vectors.items() for j, v in enumerate(m)]
+    want = I.intent_distances(chunks, "text", small, how, **encoder).orderBy("id").collect()
+    pairs = {"p": ["i am moving/i am not moving", "cancel/keep it"] * 4}
+    opposed = I.OpposedPack.encode(pairs, I.letter_count_matrix)
+    want_opposed = I.opposed_distances(chunks, "text", opposed, how, **encoder).orderBy("id").collect()
+    monkeypatch.setattr(I, "MAX_PLAN_VALUES", 10)
+    monkeypatch.setattr(I, "BLOCK_VALUES", block)
+    table = spark.createDataFrame(rows, "intent string, j int, vec array<double>")
+    pack = I.IntentPack.from_rows(table, "intent", "j", "vec") if stored else small
+    assert isinstance(pack, I.StoredPack) == stored and pack.sizes() == {"a": 15, "b": 2}
+    got = I.intent_distances(chunks, "text", pack, how, **encoder).orderBy("id").collect()
+    assert [r["id"] for r in got] == [r["id"] for r in want]
+    for g, w in zip(got, want, strict=True):
+        for c in ("a", "b"):
+            assert g[c] == pytest.approx(w[c], abs=1e-12)
+    got = I.opposed_distances(chunks, "text", opposed, how, **encoder).orderBy("id").collect()
+    for g, w in zip(got, want_opposed, strict=True):
+        assert g["p"] == pytest.approx(w["p"], abs=1e-12)
 
 
 def test_opposed_score(spark, make):
