@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from callsift import fixed_values as fv
@@ -221,10 +222,16 @@ def matrix_sql(pack, intent):
 
 def distance_ctes(source: str, pack, intent: str, name: str) -> str:
     """CTEs that give (call id, chunk, j, dist) for the chunks of ``source``."""
+    refs = f"SELECT unnest(range({len(pack.vectors[intent])})) AS j, unnest({matrix_sql(pack, intent)}) AS r"
+    return _distance_ctes(source, letters_sql("s"), refs, name)
+
+
+def _distance_ctes(source: str, vector: str, refs: str, name: str) -> str:
+    """As above, with the vector of a sub-sentence ``s`` and the rows (j, r) of the references in SQL."""
     return f"""{name}_sub AS (SELECT call_convrstn_id, chunk_id, unnest(list_filter(string_split_regex(text, '(?:\\.|\\;|\\,)'),
         lambda s: length(s) > 5)) AS s FROM {source}),
-    {name}_vec AS (SELECT call_convrstn_id, chunk_id, {letters_sql('s')} AS v FROM {name}_sub),
-    {name}_ref AS (SELECT unnest(range({len(pack.vectors[intent])})) AS j, unnest({matrix_sql(pack, intent)}) AS r),
+    {name}_vec AS (SELECT call_convrstn_id, chunk_id, {vector} AS v FROM {name}_sub),
+    {name}_ref AS ({refs}),
     {name}_pair AS (SELECT call_convrstn_id, chunk_id, j, CASE WHEN list_sum(v) > 0 AND list_sum(r) > 0
         THEN list_cosine_distance(v, r) ELSE 1.0 END AS dist FROM {name}_vec, {name}_ref),
     {name} AS (SELECT c.call_convrstn_id, c.chunk_id, r.j, coalesce(min(p.dist), 1.0) AS dist
@@ -401,3 +408,100 @@ def _least_of_many(rows, variants):
 
 def _scaled(b: int, v):
     return F.transform("embedding", lambda x: x.cast("double") * ((F.lit(b) + v) % 7 - 3))
+
+
+# --- text against thousands of references of width 384 -------------------------------------
+
+_WIDE_LETTERS, _PLACES = "abcdefghijklmnopqrstuvwx", 16
+
+
+def wide_letters():
+    """A batch encoder of width 384: each of 24 letters counted by the place of its word, modulo 16."""
+
+    def encode(texts):
+        out = np.zeros((len(texts), _PLACES * len(_WIDE_LETTERS)))
+        for i, text in enumerate(texts):
+            words = text.lower().split(" ")
+            for place in range(_PLACES):
+                mine = " ".join(words[place::_PLACES])
+                for k, letter in enumerate(_WIDE_LETTERS):
+                    out[i, place * len(_WIDE_LETTERS) + k] = mine.count(letter)
+        return out
+
+    return encode
+
+
+def wide_sql(text: str) -> str:
+    letters = "[" + ", ".join(f"'{c}'" for c in _WIDE_LETTERS) + "]"
+    counted = f"list_transform({letters}, lambda c: CAST(length(w) - length(replace(w, c, '')) AS DOUBLE))"
+    words = f"string_split(lower({text}), ' ')"
+    placed = f"list_transform(range({_PLACES}), lambda b: array_to_string(list_filter({words}, lambda w, i: (i - 1) % {_PLACES} = b), ' '))"
+    return f"flatten(list_transform({placed}, lambda w: {counted}))"
+
+
+_REFERENCE_TEXT = "lower(concat(p_name, ' ', p_type, ' please and ', p_brand, ' of ', p_name))"
+
+
+def many_references(spark, d, intent="'move'", keep="true"):
+    """A pack of a reference for each part, kept as a table."""
+    parts = V.table(spark, d, "part").filter(keep).select("p_partkey", F.expr(intent).alias("intent"), F.expr(_REFERENCE_TEXT).alias("text"))
+    return I.IntentPack.from_rows(I.encode_texts(parts, "text", wide_letters), "intent", "p_partkey", "vec")
+
+
+def many_sql(keep: str = "true") -> str:
+    return f"SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS j, {wide_sql(_REFERENCE_TEXT)} AS r FROM part WHERE {keep}"
+
+
+_MANY = {"batch_encoder": wide_letters}
+
+query(
+    "i4_many_references",
+    _sql(
+        "SELECT call_convrstn_id, chunk_id, count(*) AS n, round(min(dist), 6) AS least, round(max(dist), 6) AS most, round(sum(dist), 4) AS total FROM x GROUP BY ALL",
+        _CHUNKS,
+        _distance_ctes("chunks", wide_sql("s"), many_sql(), "x"),
+    ),
+)(
+    lambda spark, d: I.intent_distances(_chunks(spark, d), "text", many_references(spark, d), "all", **_MANY).select(
+        ID,
+        "chunk_id",
+        F.size("move").cast("long").alias("n"),
+        F.round(F.array_min("move"), 6).alias("least"),
+        F.round(F.array_max("move"), 6).alias("most"),
+        F.round(F.aggregate("move", F.lit(0.0), lambda a, x: a + x), 4).alias("total"),
+    )
+)
+
+query(
+    "i5_many_references",
+    _sql(
+        "SELECT call_convrstn_id, chunk_id, round(a.dist, 6) AS odd, round(b.dist, 6) AS even FROM "
+        "(SELECT call_convrstn_id, chunk_id, min(dist) AS dist FROM o GROUP BY ALL) a JOIN (SELECT call_convrstn_id, chunk_id, min(dist) AS dist FROM e GROUP BY ALL) b USING (call_convrstn_id, chunk_id)",
+        _CHUNKS,
+        _distance_ctes("chunks", wide_sql("s"), many_sql("p_partkey % 2 = 1"), "o"),
+        _distance_ctes("chunks", wide_sql("s"), many_sql("p_partkey % 2 = 0"), "e"),
+    ),
+)(
+    lambda spark, d: I.intent_distances(
+        _chunks(spark, d), "text", many_references(spark, d, "if(p_partkey % 2 = 1, 'odd', 'even')"), "min", **_MANY
+    ).select(ID, "chunk_id", F.round("odd", 6).alias("odd"), F.round("even", 6).alias("even"))
+)
+
+query(
+    "i7_many_references",
+    _sql(
+        "SELECT call_convrstn_id, chunk_id, round((1 + a.dist - b.dist) / 2, 6) AS score FROM "
+        "(SELECT call_convrstn_id, chunk_id, min(dist) AS dist FROM o GROUP BY ALL) a JOIN (SELECT call_convrstn_id, chunk_id, min(dist) AS dist FROM e GROUP BY ALL) b USING (call_convrstn_id, chunk_id)",
+        _CHUNKS,
+        _distance_ctes("chunks", wide_sql("s"), many_sql("p_partkey % 2 = 1"), "o"),
+        _distance_ctes("chunks", wide_sql("s"), many_sql("p_partkey % 2 = 0"), "e"),
+    ),
+)(
+    lambda spark, d: I.opposed_distances(
+        _chunks(spark, d),
+        "text",
+        I.OpposedPack(many_references(spark, d, keep="p_partkey % 2 = 1"), many_references(spark, d, keep="p_partkey % 2 = 0")),
+        "min",
+        **_MANY,
+    ).select(ID, "chunk_id", F.round("move", 6).alias("score"))
+)

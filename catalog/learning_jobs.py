@@ -16,7 +16,7 @@ from callsift.sources import sinks
 from catalog import views as V
 from catalog.aggregates import SIZING_ORACLE
 from catalog.filters_joins import REPORT_SQL, _mix, sizing_input
-from catalog.intent_queries import distance_ctes, move_pack
+from catalog.intent_queries import _distance_ctes, distance_ctes, many_references, many_sql, move_pack, wide_letters, wide_sql
 from catalog.registry import query
 from catalog.sources_sinks import _STILL_SQL
 from catalog.text_queries import FORMS, relpos_sql
@@ -41,8 +41,11 @@ def _numbered_slim(spark, d):
     return number_rows(rules.slim_sentences(V.utterances(spark, d)), ID, ["sntnce_ts"])
 
 
-def _feature_ctes(said: str) -> list[str]:
-    """From numbered sentences to scored chunks."""
+def _feature_ctes(said: str, distances: str | None = None, score: str | None = None) -> list[str]:
+    """From numbered sentences to scored chunks.  ``distances``: CTEs that give ``x``; ``score``: of a row of ``feats``."""
+    logistic = f"""1 / (1 + exp(-({INTERCEPT} + list_inner_product(
+            list_concat([CAST(sntce_len AS DOUBLE), CAST(rel_pos_sntce AS DOUBLE)], intent),
+            [{', '.join(f'{w!r}::DOUBLE' for w in WEIGHTS)}]))))"""
     return [
         f"""flagged AS (SELECT *, {V.MOVER_SQL} AS mover, {V.EXCLUDED_SQL} AS excluded,
             coalesce(lead({V.CANCEL_SQL}, 3) OVER (PARTITION BY call_convrstn_id ORDER BY sntnce_ts), FALSE) AS after3
@@ -50,19 +53,17 @@ def _feature_ctes(said: str) -> list[str]:
         f"""kept AS (SELECT * FROM (SELECT call_convrstn_id, chunk_id, {V.clean_sql('sntnce')} AS text FROM flagged
             WHERE mover AND NOT excluded AND NOT after3 AND call_convrstn_id NOT IN
             (SELECT call_convrstn_id FROM flagged WHERE mover AND after3)) WHERE text <> '')""",
-        distance_ctes("kept", move_pack(), "move", "x"),
+        distances or distance_ctes("kept", move_pack(), "move", "x"),
         f"""feats AS (SELECT call_convrstn_id AS conv_id, chunk_id, length(text) AS sntce_len,
             {relpos_sql('text', fv.PATTERNS['movers'])} AS rel_pos_sntce,
             (SELECT list(dist ORDER BY j) FROM x WHERE x.call_convrstn_id = kept.call_convrstn_id AND x.chunk_id = kept.chunk_id) AS intent
             FROM kept)""",
-        f"""scored AS (SELECT *, 1 / (1 + exp(-({INTERCEPT} + list_inner_product(
-            list_concat([CAST(sntce_len AS DOUBLE), CAST(rel_pos_sntce AS DOUBLE)], intent),
-            [{', '.join(f'{w!r}::DOUBLE' for w in WEIGHTS)}])))) AS detection_score FROM feats)""",
+        f"scored AS (SELECT *, {score or logistic} AS detection_score FROM feats)",
     ]
 
 
-def _feature_sql(body: str, said: str = "un", ctes: list[str] | None = None, *more: str) -> str:
-    return V.with_ctes(ctes or ["un"], ", " + ", ".join([*more, *_feature_ctes(said)]) + " " + body)
+def _feature_sql(body: str, said: str = "un", ctes: list[str] | None = None, *more: str, **features) -> str:
+    return V.with_ctes(ctes or ["un"], ", " + ", ".join([*more, *_feature_ctes(said, **features)]) + " " + body)
 
 
 _ENCODER = {"column_encoder": I.letter_counts}
@@ -356,18 +357,34 @@ def p2(spark, d):
     return _shown(jobs.naive_daily(V.calls(spark, d), V.FIRST_DAY, V.LAST_DAY, EXTRACTION))
 
 
+_P3 = (
+    _loaded_sql(
+        _DETECTED.format(said="en", cancel=V.CANCEL_SQL).replace("round(max(detection_score), 6)", "max(detection_score)")
+    ),
+    "en",
+    ["convs", "es"],
+    "en AS (SELECT *, row_number() OVER (PARTITION BY call_convrstn_id ORDER BY sntnce_ts) - 1 AS chunk_id FROM es)",
+)
+
+
+def _nearness(features):
+    """A score from the distances alone: 1 at a reference, 0.4 at a right angle to all."""
+    return features.withColumn("detection_score", 1 - 0.6 * F.array_min("intent"))
+
+
+@query(
+    "p3_many_references",
+    _feature_sql(*_P3, distances=_distance_ctes("kept", wide_sql("s"), many_sql(), "x"), score="1 - 0.6 * list_min(intent)"),
+)
+def p3_many(spark, d):
+    """The daily classifier job with a reference of width 384 for each part."""
+    pack = many_references(spark, d)
+    return _shown(jobs.classifier_daily(V.calls(spark, d), V.FIRST_DAY, V.LAST_DAY, pack, _nearness, EXTRACTION, batch_encoder=wide_letters))
+
+
 @query(
     "p3_classifier_daily",
-    _feature_sql(
-        _loaded_sql(
-            _DETECTED.format(said="en", cancel=V.CANCEL_SQL).replace(
-                "round(max(detection_score), 6)", "max(detection_score)"
-            )
-        ),
-        "en",
-        ["convs", "es"],
-        "en AS (SELECT *, row_number() OVER (PARTITION BY call_convrstn_id ORDER BY sntnce_ts) - 1 AS chunk_id FROM es)",
-    ),
+    _feature_sql(*_P3),
 )
 def p3(spark, d):
     return _shown(
