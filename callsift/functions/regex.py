@@ -40,6 +40,13 @@ GATES = {
 _GATE_OF = {p: GATES[f] for f, patterns in fv.PATTERNS.items() for p in patterns}
 
 
+def _gate(patterns: Sequence[str]) -> str:
+    words = dict.fromkeys(w for p in patterns for w in _GATE_OF[p])
+    firsts = "".join(dict.fromkeys(w[0] for w in words))
+    # most positions fail on their first letter
+    return f"(?=[{firsts}])(?:{'|'.join(words)})"
+
+
 def any_match(text: Column, patterns: Sequence[str], gate: bool = True) -> Column:
     """True if any pattern occurs in the text; null text matches nothing.
 
@@ -51,10 +58,7 @@ def any_match(text: Column, patterns: Sequence[str], gate: bool = True) -> Colum
         return F.lit(False)
     test = text.rlike(fuse(patterns))
     if gate and all(p in _GATE_OF for p in patterns):
-        words = dict.fromkeys(w for p in patterns for w in _GATE_OF[p])
-        firsts = "".join(dict.fromkeys(w[0] for w in words))
-        # most positions fail on their first letter
-        test = text.rlike(f"(?=[{firsts}])(?:{'|'.join(words)})") & test
+        test = text.rlike(_gate(patterns)) & test
     return F.coalesce(test, F.lit(False))
 
 
@@ -73,15 +77,43 @@ def matching_indexes(text: Column, patterns: Sequence[str]) -> Column:
     )
 
 
+# characters of no meaning that mark the beginning and end of a match
+_BEGIN, _END = "\ue000", "\ue001"
+
+
 def _pieces(text: Column, pattern: str) -> Column:
-    """Per match: the match and the length of the gap that precedes it."""
-    matches = F.regexp_extract_all(text, F.lit(java(pattern)), F.lit(0))
-    gaps = F.split(text, java(pattern), -1)
-    return F.zip_with(
-        matches,
-        F.slice(gaps, F.lit(1), F.size(matches)),
-        lambda m, g: F.struct(m.alias("match"), F.length(g).alias("gap")),
-    )
+    """Per match: the match and the length of the gap that precedes it.
+
+    One scan marks the matches, and the marked text is cut at the marks.  Texts
+    that hold such a mark themselves are scanned for matches and for gaps.
+    """
+    parts = F.split(F.regexp_replace(text, java(f"(?:{pattern})"), f"{_BEGIN}$0{_END}"), _BEGIN, -1)
+
+    def cut(found: Column) -> Column:
+        # what precedes a match is the rest of the piece before it
+        return F.transform(
+            F.slice(found, F.lit(2), F.size(found) - 1),
+            lambda p, i: F.struct(
+                F.substring_index(p, _END, 1).alias("match"),
+                F.length(F.substring_index(F.get(found, i), _END, -1)).alias("gap"),
+            ),
+        )
+
+    def twice() -> Column:
+        matches = F.regexp_extract_all(text, F.lit(java(pattern)), F.lit(0))
+        gaps = F.split(text, java(pattern), -1)
+        return F.zip_with(
+            matches,
+            F.slice(gaps, F.lit(1), F.size(matches)),
+            lambda m, g: F.struct(m.alias("match"), F.length(g).alias("gap")),
+        )
+
+    once = F.get(F.transform(F.array(parts), cut), F.lit(0))
+    found = F.when(text.contains(_BEGIN) | text.contains(_END), twice()).otherwise(once)
+    if pattern in _GATE_OF:
+        none = F.array().cast("array<struct<match:string,gap:int>>")
+        found = F.when(text.rlike(_gate([pattern])), found).when(text.isNotNull(), none)
+    return found
 
 
 def match_spans(text: Column, pattern: str) -> Column:

@@ -27,14 +27,36 @@ def remove_tokens(text: Column, tokens: Sequence[str], whole_word: bool = False)
     """
     lowered = F.lower(text)
     if tokens:
-        body = "|".join(tokens)
-        pattern = rf"(?<!\w)(?:{body})(?!\w)" if whole_word else f"({body})"
+        body = _by_first(tokens)
+        pattern = rf"(?<!\w)(?:{body})(?!\w)" if whole_word else body
         lowered = F.regexp_replace(lowered, java(pattern), "")
     return strip(lowered)
 
 
+def _by_first(tokens: Sequence[str]) -> str:
+    """An alternation of tokens that tries those with one first character together, behind a test for that character.
+
+    Tokens of different first characters never compete, and those of one keep
+    their order, so it matches what the plain alternation does.  Tokens that
+    begin with anything but a letter, a digit or an escaped mark, or hold an
+    alternation or a quantifier, are taken as they stand.
+    """
+    groups: dict[str, list[str]] = {}
+    for token in tokens:
+        found = re.fullmatch(r"(\\[^\w\s]|[A-Za-z0-9])([^|?*+{(]*)", token)
+        if found is None:
+            return f"(?:{'|'.join(tokens)})"
+        groups.setdefault(found[1], []).append(found[2])
+    body = "|".join(f"{first}(?:{'|'.join(dict.fromkeys(rest))})" for first, rest in groups.items())
+    return f"(?=[{''.join(groups)}])(?:{body})"
+
+
 def _without_tags(text: Column, tags: Sequence[str]) -> Column:
-    return strip(F.regexp_replace(text, java(f"({'|'.join(tags)})"), ""))
+    return strip(F.regexp_replace(text, java(_by_first(tags) if tags else "()"), ""))
+
+
+#: The separators, each a single character, as one class.
+_SEPARATORS = f"[{''.join(fv.TOKEN_SEPARATORS.strip('()').split('|'))}]"
 
 
 def clean_tokens(
@@ -47,7 +69,7 @@ def clean_tokens(
     Case is folded only when tags are given, as they are removed first.
     """
     body = text if tags is None else F.lower(_without_tags(text, tags))
-    body = strip(F.regexp_replace(body, java(fv.TOKEN_SEPARATORS), " "))
+    body = strip(F.regexp_replace(body, java(_SEPARATORS), " "))
     runs = F.regexp_extract_all(body, F.lit(r"(?i)([a-z']+)"), F.lit(1))
     words = list(stopwords)
     kept = F.filter(

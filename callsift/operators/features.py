@@ -25,6 +25,8 @@ from callsift.operators.rules import (
     without,
 )
 
+from callsift.session import stage
+
 TABULAR = ["sntce_len", "rel_pos_sntce"]
 FEATURE_COLUMNS = ["conv_id", "chunk_id", *TABULAR, "intent"]
 
@@ -214,7 +216,8 @@ def training_text(
     if isinstance(forms, DataFrame):
         if key is None:
             raise ValueError("a table of forms takes a unique key")
-        replaced = replace_words_by_join(df.withColumn("_tokens", tokens), key, "_tokens", forms)
+        # the tokens are looked up and put back, so they are made once
+        replaced = replace_words_by_join(stage(df.withColumn("_tokens", tokens)), key, "_tokens", forms)
         return replaced.withColumn("text_clean", F.array_join("_tokens", " ")).drop("_tokens")
     if forms:
         tokens = replace_words(tokens, forms)

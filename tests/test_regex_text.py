@@ -205,3 +205,82 @@ def test_both_dictionary_plans_agree(spark, make):
     )
     first = narrow.filter("id = 5").first()["tokens"]
     assert first == [forms.get(f"w{(35 + k) % 400}", f"w{(35 + k) % 400}") for k in range(5)]
+
+
+LONG = [f"w{i % 977}" for i in range(40_000)]
+
+
+def lists(make, rows):
+    return make([(i, t, "x") for i, t in rows], "id long, tokens array<string>, found string")
+
+
+def test_words_of_long_rows_are_joined_in_linear_time(spark, make):
+    import time
+
+    rows = lists(make, [(1, LONG), (2, ["w1", None, "w2", "other"]), (3, []), (4, None), (None, ["w3", "w3", "z"])])
+    forms = make([(f"w{i}", f"l{i}") for i in range(500)] + [("w1", "zz"), ("unused", "u"), (None, "n"), ("z", None)], "form string, lemma string")
+    change = lambda ts: ts and [f"l{t[1:]}" if t and t != "z" and t[0] == "w" and int(t[1:]) < 500 else t for t in ts]
+    LX.replace_words_by_join(rows, "id", "tokens", forms).collect()
+    start = time.time()
+    got = {r["id"]: r["tokens"] for r in LX.replace_words_by_join(rows, "id", "tokens", forms).collect()}
+    assert time.time() - start < 8
+    assert got == {1: change(LONG), 2: ["l1", None, "l2", "other"], 3: [], 4: None, None: ["l3", "l3", "z"]}
+    gone = make([(f"w{i}",) for i in range(500)] + [(None,), ("w1",)], "word string")
+    start = time.time()
+    got = {r["id"]: r["tokens"] for r in LX.drop_words_by_join(rows, "id", "tokens", gone).collect()}
+    assert time.time() - start < 8
+    assert got == {1: [t for t in LONG if int(t[1:]) >= 500], 2: [None, "other"], 3: [], 4: None, None: ["z"]}
+
+
+def test_padded_ids_of_a_row_without_key(make):
+    rows = make([(None, ["a", "b", "?"]), (1, ["b"]), (2, [])], "id long, tokens array<string>")
+    vocab = make([("a", 2), ("b", 3)], "token string, id long")
+    got = {r["id"]: r["ids"] for r in LX.padded_ids(rows, "id", "tokens", vocab, 4).collect()}
+    assert got == {None: [2, 3, 1, 0], 1: [3, 0, 0, 0], 2: [0, 0, 0, 0]}
+
+
+def test_vocabulary_order(make):
+    rows = [(3, ["b", "a", "b"]), (None, ["c", "d"]), (1, ["z", "a", "y"]), (1, ["q"])]
+    for kind, key in (("long", lambda k: k), ("string", lambda k: k if k is None else str(k))):
+        table = make([(key(k), t) for k, t in rows], f"id {kind}, tokens array<string>")
+        got = [(r["token"], r["count"]) for r in LX.vocabulary(table, "id", "tokens").orderBy("id").collect()]
+        assert got[:4] == [("a", 2), ("b", 2), ("c", 1), ("d", 1)] and sorted(got[4:]) == [("q", 1), ("y", 1), ("z", 1)]
+    assert LX.vocabulary(make([], "id long, tokens array<string>"), "id", "tokens").collect() == []
+
+
+def merged_plain(tokens, pairs):
+    out, i = [], 0
+    while i < len(tokens):
+        if i + 1 < len(tokens) and (tokens[i], tokens[i + 1]) in pairs:
+            out.append(f"{tokens[i]} {tokens[i + 1]}")
+            i += 2
+        else:
+            out.append(tokens[i])
+            i += 1
+    return out
+
+
+def test_pairs_merge_as_a_loop_does(make):
+    random.seed(2)
+    pairs = [("a", "a"), ("a", "b"), ("b", "c"), ("c", "a")]
+    rows = [(i, random.choices("abcd", k=random.randint(0, 14))) for i in range(60)] + [(None, ["a", "a", "a"]), (99, ["a"] * 3001)]
+    table = make([(i, t, 1) for i, t in rows] + [(100, None, 1)], "id long, tokens array<string>, n int")
+    got = {r["id"]: r["tokens"] for r in LX.merge_pairs(table, "id", "tokens", make(pairs, "a string, b string")).collect()}
+    assert got == {**{i: merged_plain(t, set(pairs)) for i, t in rows}, 100: []}
+    assert LX.merge_pairs(table, "id", "tokens", make(pairs, "a string, b string")).columns == ["id", "n", "tokens"]
+
+
+def test_spans_of_texts_that_hold_the_marks(make):
+    texts = ["ab ab ab", "ab", "ab ab", "", "x", None, "aab"]
+    table = make([(t,) for t in texts], "t string")
+    for pattern in ("a+b", "(a)|b", r"(?<=a)b", r"\bab\b"):
+        got = [r[0] for r in table.select(RX.match_spans(F.col("t"), pattern)).collect()]
+        assert [[tuple(s) for s in g] for g in got] == [[(m.start(), m.group()) for m in re.finditer(pattern, t or "")] for t in texts]
+
+
+def test_alternations_by_first_character_match_alike(make):
+    tokens = ["yes", "ya", "yeah", "no", r"\[x\]", "y", "9"]
+    assert TX._by_first(tokens).startswith("(?=[")
+    for texts in ("yeah yaya no[x]9", "yyes", "[x", "noyeahs"):
+        assert re.sub(TX._by_first(tokens), "_", texts) == re.sub("|".join(tokens), "_", texts)
+    assert TX._by_first(["a|b", "c"]) == "(?:a|b|c)" and TX._by_first([".x", "c"]) == "(?:.x|c)"
