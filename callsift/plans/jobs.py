@@ -18,7 +18,7 @@ from callsift.operators import reports as R
 from callsift.operators import rules
 from callsift.operators.intents import Pack as Intents
 from callsift.operators.ordering import number_rows
-from callsift.session import stage
+from callsift.session import stage, stages_of_its_own
 from callsift.sources import sinks
 from callsift.sources.sinks import detection_rows
 
@@ -286,31 +286,38 @@ def train(
 
 
 def load_naive_daily(spark, calls: DataFrame, lo, hi, table: str, location: str | None = None, **settings) -> None:
-    """P2 to its end: the day's detections are in the table.  Running it again changes nothing."""
-    rows = sinks.one_per_conversation(naive_daily(calls, lo, hi, **settings))
-    sinks.load_detections(spark, table, rows, location)
+    """P2 to its end: the day's detections are in the table.  Running it again changes nothing.
+
+    What a loading job has staged for itself is deleted when it ends.
+    """
+    with stages_of_its_own(spark):
+        rows = sinks.one_per_conversation(naive_daily(calls, lo, hi, **settings))
+        sinks.load_detections(spark, table, rows, location)
 
 
 def load_classifier_daily(
     spark, calls: DataFrame, lo, hi, pack: Intents, scorer: Scorer, table: str, location: str | None = None, **settings
 ) -> None:
     """P3 to its end, as above."""
-    rows = sinks.one_per_conversation(classifier_daily(calls, lo, hi, pack, scorer, **settings))
-    sinks.load_detections(spark, table, rows, location)
+    with stages_of_its_own(spark):
+        rows = sinks.one_per_conversation(classifier_daily(calls, lo, hi, pack, scorer, **settings))
+        sinks.load_detections(spark, table, rows, location)
 
 
 def load_examples_daily(spark, said: DataFrame, table: str, location: str | None = None, **settings) -> None:
     """P4 to its end: the drawn examples are in the table."""
-    sinks.load_examples(spark, table, sinks.one_per_place(label_examples(said, **settings)), location)
+    with stages_of_its_own(spark):
+        sinks.load_examples(spark, table, sinks.one_per_place(label_examples(said, **settings)), location)
 
 
 def train_and_store(features: DataFrame, n_intents: int, folder: str, **settings) -> L.LogisticClassifier:
     """P5 to its end: grid, refit, and model, data and log stored in ``folder``.  Returns the model as reloaded."""
-    model, log, first, second = train(features, n_intents, **settings)
-    sinks.save_model(model.model, f"{folder}/model")
-    sinks.save_data(first, second, f"{folder}/data")
-    sinks.save_log(log, f"{folder}/log")
-    return load_classifier(model.feature_names, f"{folder}/model")
+    with stages_of_its_own(features.sparkSession):
+        model, log, first, second = train(features, n_intents, **settings)
+        sinks.save_model(model.model, f"{folder}/model")
+        sinks.save_data(first, second, f"{folder}/data")
+        sinks.save_log(log, f"{folder}/log")
+        return load_classifier(model.feature_names, f"{folder}/model")
 
 
 def load_classifier(feature_names: Sequence[str], path: str) -> L.LogisticClassifier:

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -100,3 +102,17 @@ def drop_stages(spark: SparkSession) -> None:
     """Delete all staged tables of this application, once its results are stored."""
     for path in _STAGED.pop(spark.sparkContext.applicationId, []):
         delete_path(spark, path)
+
+
+@contextmanager
+def stages_of_its_own(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, what is staged within: for jobs whose results are stored elsewhere by then."""
+    before = set(staged(spark))
+    try:
+        yield
+    finally:
+        kept = [path for path in staged(spark) if path in before]
+        for path in staged(spark):
+            if path not in before:
+                delete_path(spark, path)
+        _STAGED[spark.sparkContext.applicationId] = kept

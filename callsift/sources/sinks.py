@@ -11,14 +11,18 @@ from pyspark.sql.types import StructType
 from callsift import fixed_values as fv
 from callsift import schemas
 from callsift.operators.calls import ID
-from callsift.session import stage
+from callsift.session import delete_path, stage, unstage
 
 _MERGE_FORMATS = {"delta", "iceberg", "hudi"}
 
 
-# parts that an upsert rewrites one by one; a column of its own at the end of the table
+# parts of a table, by the hash of a row's key; a column of its own at the end of the table
 BUCKET = "key_bucket"
+# buckets of a new table, and the property that tells how many there are
 BUCKETS = 64
+BUCKETS_PROPERTY = "callsift.buckets"
+# rows of a bucket on average, beyond which each bucket is split in two
+ROWS_OF_BUCKET = 200_000
 
 
 def ensure_table(
@@ -44,7 +48,7 @@ def ensure_table(
     parts = ""
     if fmt not in _MERGE_FORMATS:
         columns.append(f"`{BUCKET}` int COMMENT 'bucket of the key'")
-        parts = f" PARTITIONED BY (`{BUCKET}`)"
+        parts = f" PARTITIONED BY (`{BUCKET}`) TBLPROPERTIES ('{BUCKETS_PROPERTY}' = '{BUCKETS}')"
     place = f" LOCATION '{location}'" if location else ""
     note = f" COMMENT {_quoted(comment)}" if comment else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(columns)}) USING {fmt}{parts}{place}{note}")
@@ -95,12 +99,18 @@ def upsert_table(spark: SparkSession, name: str, source: DataFrame, keys: Sequen
     """K3, K4 on a stored table; an empty source changes nothing.
 
     Row-level formats take one MERGE.  Others are partitioned by a bucket of
-    the key, and only buckets that the source touches are written anew, next
-    to the old files; the last step of the job puts them in their place.
+    the key.  Of what is stored, only the keys of the touched buckets are read
+    to find those in which a key of the source stands already: these buckets
+    are written anew, next to the old files, and the last step of the job puts
+    them in their place.  All other rows are added to their buckets.  If a
+    load is stopped between the two steps, loading it again completes it.
+    Buckets are split as the table grows, and a bucket is written by as many
+    tasks as its size asks for.
     """
     columns = [c for c in spark.table(name).columns if c != BUCKET]
     source = stage(source.select(*columns))
     if source.isEmpty():
+        unstage(source)
         return
     require_unique(source, keys)
     if _format_of(spark, name) in _MERGE_FORMATS:
@@ -110,26 +120,88 @@ def upsert_table(spark: SparkSession, name: str, source: DataFrame, keys: Sequen
             "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *",
             source=source,
         )
+        unstage(source)
         return
-    bucketed = source.withColumn(BUCKET, key_bucket(keys))
-    touched = [r[BUCKET] for r in bucketed.select(BUCKET).distinct().collect()]  # at most BUCKETS
+    buckets = _grown(spark, name, source, keys)
+    bucketed = stage(source.withColumn(BUCKET, key_bucket(keys, buckets)))
+    touched = [r[BUCKET] for r in bucketed.select(BUCKET).distinct().collect()]  # a number for each bucket
     target = spark.table(name).filter(F.col(BUCKET).isin(touched))
-    whole = merged(target, bucketed, keys).select(*columns, BUCKET).repartition(F.col(BUCKET))
-    mode, before = "spark.sql.sources.partitionOverwriteMode", spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set(mode, "dynamic")
-    try:
-        whole.write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
+    known = target.select(*keys, BUCKET).join(bucketed.select(*keys, BUCKET), [*keys, BUCKET], "left_semi")
+    changed = [r[BUCKET] for r in known.select(BUCKET).distinct().collect()]
+    if changed:
+        anew = F.col(BUCKET).isin(changed)
+        _put(merged(target.filter(anew), bucketed.filter(anew), keys).select(*columns, BUCKET), name, overwrite=True)
+    if len(changed) < len(touched):
+        _put(bucketed.filter(~F.col(BUCKET).isin(changed)).select(*columns, BUCKET), name, overwrite=False)
+    for used in (source, bucketed):
+        unstage(used)
+
+
+def _put(rows: DataFrame, name: str, overwrite: bool) -> None:
+    """Write rows into their buckets; with ``overwrite`` in place of what these held.
+
+    Rows of a bucket go together, and a large bucket over several tasks
+    (adaptive execution cuts it by size).  Rows that take the place of others
+    are staged first, as they are made from what they replace; they are put
+    there by a session of its own, whose settings nobody else sees.
+    """
+    dealt = rows.hint("rebalance", F.col(BUCKET))
+    if not overwrite:
+        dealt.write.insertInto(name)
+        return
+    held = stage(dealt)
+    other = rows.sparkSession.newSession()
+    other.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    files = sorted({f.rpartition("/")[0] for f in held.inputFiles()})
+    other.read.schema(held.schema).parquet(*files).hint("rebalance", F.col(BUCKET)).write.insertInto(name, overwrite=True)
+    rows.sparkSession.catalog.refreshTable(name)
+    unstage(held)
+
 
+def bucket_count(spark: SparkSession, name: str) -> int:
+    """Buckets of a table, as its properties tell."""
+    told = {r[0]: r[1] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return int(told.get(BUCKETS_PROPERTY, BUCKETS))
 
-def key_bucket(keys: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+def _grown(spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str]) -> int:
+    """The table's number of buckets, after it is doubled as often as the rows to come ask for.
+
+    The rows of bucket b stay there or go to b + n, so a table is split by
+    writing each bucket once; that happens once for each doubling of the table.
+    """
+    now = bucket_count(spark, name)
+    wanted, rows = now, spark.table(name).count() + source.count()
+    while rows > wanted * ROWS_OF_BUCKET:
+        wanted *= 2
+    if wanted > now:
+        columns = [c for c in spark.table(name).columns if c != BUCKET]
+        before = {r[0] for r in spark.table(name).select(BUCKET).distinct().collect()}
+        # a split that was stopped may have left a row in both places
+        whole = stage(spark.table(name).dropDuplicates(list(keys)).withColumn(BUCKET, key_bucket(keys, wanted)).select(*columns, BUCKET))
+        _put(whole, name, overwrite=True)
+        # buckets that all rows have left are not written, so they go by name
+        place = _described(spark, name, "Location").rstrip("/")
+        for left in sorted(before - {r[0] for r in whole.select(BUCKET).distinct().collect()}):
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (`{BUCKET}` = {left})")
+            delete_path(spark, f"{place}/{BUCKET}={left}")
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{BUCKETS_PROPERTY}' = '{wanted}')")
+        spark.catalog.refreshTable(name)
+        unstage(whole)
+    return wanted
+
+
+def key_bucket(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def _described(spark: SparkSession, name: str, what: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(F.col("col_name") == what).collect()
+    return rows[0]["data_type"] if rows else ""
 
 
 def _format_of(spark: SparkSession, name: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Provider'").collect()
-    return rows[0]["data_type"].lower() if rows else ""
+    return _described(spark, name, "Provider").lower()
 
 
 def _typed_id(column: Column, kind: str) -> Column:

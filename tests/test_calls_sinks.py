@@ -156,6 +156,54 @@ def test_upsert_leaves_other_buckets_alone(spark, make, tmp_path):
     spark.sql("DROP TABLE buckets_t")
 
 
+def test_new_keys_are_added_and_files_stay(spark, make, tmp_path):
+    import os
+
+    schema, place = "call_convrstn_id string, chunk_id long, text string", str(tmp_path / "table")
+    sinks.load_examples(spark, "added_t", make([(f"c{i}", 1, "x") for i in range(3000)], schema), place)
+    seen = lambda: {os.path.join(d, f) for d, _, fs in os.walk(place) for f in fs if f.startswith("part-")}
+    before = seen()
+    sinks.load_examples(spark, "added_t", make([(f"d{i}", 1, "x") for i in range(30)], schema), place)
+    assert before <= seen() and sinks.stored(spark, "added_t").count() == 3030
+    # one key in a hundred, most of them new
+    before = seen()
+    sinks.load_examples(spark, "added_t", make([(f"e{i}", 1, "y") for i in range(28)] + [("c5", 1, "y"), ("c6", 1, "y")], schema), place)
+    assert len(before - seen()) <= 2 * 64 / 10 and sinks.stored(spark, "added_t").count() == 3058
+    assert sinks.stored(spark, "added_t").filter("text = 'y'").count() == 30
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    spark.sql("DROP TABLE added_t")
+
+
+def test_buckets_are_split_as_a_table_grows(spark, make, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "BUCKETS", 2)
+    monkeypatch.setattr(sinks, "ROWS_OF_BUCKET", 10)
+    schema = "call_convrstn_id string, chunk_id long, text string"
+    place = str(tmp_path / "table")
+    want = {}
+    for start, n, buckets in ((0, 15, 2), (10, 20, 4), (0, 5, 4), (100, 100, 16), (90, 12, 16)):
+        rows = [(f"c{i}", 1, f"t{start}") for i in range(start, start + n)]
+        want.update({r[0]: r[2] for r in rows})
+        sinks.load_examples(spark, "grown_t", make(rows, schema), place)
+        assert sinks.bucket_count(spark, "grown_t") == buckets
+        got = sinks.stored(spark, "grown_t").collect()
+        assert {r[0]: r[2] for r in got} == want and len(got) == len(want)
+    held = spark.table("grown_t").select(sinks.BUCKET, sinks.key_bucket(["call_convrstn_id", "chunk_id"], 16).alias("b"))
+    assert held.filter(f"{sinks.BUCKET} <> b").count() == 0
+    spark.sql("DROP TABLE grown_t")
+
+
+def test_loading_leaves_nothing_staged(spark, calls, tmp_path):
+    from callsift.session import stage, staged
+
+    kept = stage(spark.range(3))
+    before = staged(spark)
+    place = str(tmp_path / "table")
+    jobs.load_naive_daily(spark, calls, "2022-04-11", "2022-04-11", "left_t", place)
+    assert staged(spark) == before and kept.count() == 3
+    assert ids(sinks.stored(spark, "left_t"), "convrstn_id") == ["holes", "ok"]
+    spark.sql("DROP TABLE left_t")
+
+
 def test_one_row_for_each_conversation(make):
     schema = "convrstn_id string, call_date date, src_id long, ban string, telephone string"
     late = datetime.date(2022, 4, 12)
