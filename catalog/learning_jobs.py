@@ -298,15 +298,30 @@ def m14(spark, d):
     )
 
 
-@query("m15_text_network", "SELECT doc_id, TRUE AS is_class FROM documents JOIN labels USING (doc_id)")
+_HELD_OUT = 300_000  # of MIXED_RANGE
+
+
+@query(
+    "m15_text_network",
+    f"""SELECT call_convrstn_id, sntnce_ts, {_mix('CAST(call_convrstn_id AS BIGINT)')} < {_HELD_OUT} AS held_out, TRUE AS is_class,
+        TRUE AS tells_apart FROM u""",
+    ["u"],
+)
 def m15(spark, d):
-    rows = V.table(spark, d, "documents").join(V.table(spark, d, "labels"), "doc_id").select(
-        "doc_id", "text", F.col("quality").cast("double").alias("label")
+    """The network learns movers' utterances in some conversations and tells them apart in the others."""
+    rows = V.utterances(spark, d).select(
+        ID,
+        "sntnce_ts",
+        F.col("sntnce").alias("text"),
+        rules.mover_candidate(F.col("sntnce"), F.col("sntnce_partcpnt_role")).cast("double").alias("label"),
+        (mixed(F.col(ID)) < _HELD_OUT).alias("held_out"),
     )
-    model = L.text_classifier().fit(rows)
+    model = L.text_classifier().fit(rows.filter(~F.col("held_out")))
     found = L.predict_text(model, rows)
     valid = F.col("prediction").isin(0.0, 1.0) & F.col("detection_score").between(0.0, 1.0)
-    return found.select("doc_id", valid.alias("is_class"))
+    score = lambda label: F.avg(F.when(F.col("label") == label, F.col("detection_score")))
+    apart = found.filter("held_out").agg((score(1) > score(0) + 0.25).alias("tells_apart"))
+    return found.select(ID, "sntnce_ts", "held_out", valid.alias("is_class")).join(F.broadcast(apart))
 
 
 # --- jobs -----------------------------------------------------------------------------------

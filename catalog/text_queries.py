@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import string
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from callsift import fixed_values as fv
@@ -12,7 +14,9 @@ from callsift.functions import text as TX
 from callsift.operators import features as X
 from callsift.operators import lexicon as LX
 from callsift.operators import reports as R
+from callsift.operators import word_vectors as WV
 from callsift.operators.calls import ID
+from callsift.session import stage
 from catalog import views as V
 from catalog.filters_joins import REPORT_SQL
 from catalog.registry import query
@@ -361,11 +365,58 @@ def m10(spark, d):
     """Every word has a vector of the stated width."""
     said = V.utterances(spark, d).select(TX.words_of(F.col("sntnce")).alias("tokens"))
     vectors = LX.fit_word_vectors(said, "tokens").getVectors()
-    from pyspark.ml.functions import vector_to_array
-
     return vectors.select("word", F.size(vector_to_array("vector")).alias("width"))
 
 
+_SAID_TOKENS = """list_filter(string_split_regex(sntnce, '\\s+'), lambda t: t <> '')"""
+_INFORMATION_SQL = V.with_ctes(["u"], f""", t AS (SELECT row_number() OVER () AS of, {_SAID_TOKENS} AS tokens FROM u),
+    x AS (SELECT of, unnest(tokens) AS word, generate_subscripts(tokens, 1) AS pos FROM t WHERE len(tokens) > 1),
+    p AS (SELECT a.word, b.word AS context, count(*) AS n FROM x a JOIN x b ON a.of = b.of
+          AND abs(a.pos - b.pos) BETWEEN 1 AND {fv.WORD_VECTOR_PARAMS['windowSize']} GROUP BY ALL),
+    w AS (SELECT word, sum(n) AS n FROM p GROUP BY word)
+    SELECT p.word, p.context, p.n::BIGINT AS n, round(ln(p.n * (SELECT sum(n) FROM w) / (wa.n::DOUBLE * wb.n)), 6) AS value
+    FROM p JOIN w wa ON wa.word = p.word JOIN w wb ON wb.word = p.context
+    WHERE p.n * (SELECT sum(n) FROM w) > wa.n::DOUBLE * wb.n""")
+
+
+def _said_tokens(spark, d):
+    return V.utterances(spark, d).select(TX.words_of(F.col("sntnce")).alias("tokens"))
+
+
+@query("m10_pair_information", _INFORMATION_SQL)
+def m10_information(spark, d):
+    """What word vectors are made of: the information of every pair of words in a window."""
+    pairs = WV.pair_counts(_said_tokens(spark, d), "tokens")
+    found = WV.pair_information(pairs).join(pairs, ["word", "context"])
+    return found.select("word", "context", "n", F.round("value", 6).alias("value"))
+
+
+@query(
+    "m10_word_tables",
+    """SELECT word, 200 AS width, TRUE AS of_the_matrix FROM (SELECT DISTINCT unnest(string_split_regex(sntnce, '\\s+')) AS word FROM u)
+       WHERE word <> ''""",
+    ["u"],
+)
+def m10_tables(spark, d):
+    """A vector of 200 numbers for every word, and whether each dimension solves the stated problem.
+
+    A dimension v of an eigenvector with eigenvalue e has the squared length |e|, and the matrix gives v M v = e |e|.
+    """
+    said = _said_tokens(spark, d)
+    vectors = stage(WV.word_vectors(said, "tokens"))
+    left, right = (vectors.select(F.col("word").alias(n), F.col("vector").alias(f"of_{n}")) for n in ("word", "context"))
+    times = lambda a, b: array_to_vector(F.zip_with(a, b, lambda x, y: x * y))
+    pairs = WV.pair_information(WV.pair_counts(said, "tokens")).join(left, "word").join(right, "context")
+    forms = pairs.select(F.transform("of_word", lambda x: x * F.col("value")).alias("of_word"), "of_context").agg(
+        vector_to_array(Summarizer.sum(times("of_word", "of_context"))).alias("forms")
+    )
+    lengths = vectors.agg(vector_to_array(Summarizer.sum(times("vector", "vector"))).alias("lengths"))
+    # one row each
+    close = F.forall(F.zip_with("forms", "lengths", lambda a, b: F.abs(F.abs(a) - b * b) <= 1e-6 * b * b), lambda ok: ok)
+    solved = forms.join(F.broadcast(lengths)).select(close.alias("of_the_matrix"))
+    return vectors.select("word", F.size("vector").alias("width")).join(F.broadcast(solved))
+
+
 def _pairs_sql(source: str) -> str:
     return f"""WITH t AS ({source}),
     w AS (SELECT w, count(*) AS n FROM (SELECT unnest(tokens) AS w FROM t) GROUP BY w),

@@ -1,5 +1,7 @@
 """Distances, features, classifiers and whole jobs."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.ml.classification import LogisticRegressionModel
@@ -14,6 +16,7 @@ from callsift.operators import learning as L
 from callsift.operators import lexicon as LX
 from callsift.operators import ordering as O
 from callsift.operators import rules
+from callsift.operators import word_vectors as WV
 from callsift.operators.calls import ID
 from callsift.plans import jobs
 from callsift.sources import sinks
@@ -330,6 +333,61 @@ def test_text_network(spark):
     assert L.accuracy(L.predict_text(model, df), "label", "prediction").first()[0] == 1.0
 
 
+def _held_out_accuracy(model, rows):
+    return rows.sparkSession.createDataFrame(
+        [(r["label"], r["prediction"]) for r in L.predict_text(model, rows).collect()], "label double, prediction double"
+    ).agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
+
+
+def _order_task(rng, n):
+    """1 where "not" stands right before "good": texts of both classes hold the same words."""
+    rows = []
+    for i in range(n):
+        fill = [f"w{k}" for k in rng.integers(0, 12, 6)]
+        at, label = int(rng.integers(0, 6)), float(i % 2)
+        fill[at:at] = ["not", "good"] if label else ["good", "not"]
+        rows.append((i, " ".join(fill), label))
+    return rows
+
+
+def _either_task(rng, n):
+    """1 where exactly one of two words occurs: no sum of weights can tell."""
+    rows = []
+    for i in range(n):
+        a, b = i % 2, i // 2 % 2
+        words = ["left" if a else "here", "right" if b else "there", f"w{rng.integers(0, 3)}"]
+        rows.append((i, " ".join(words), float(a != b)))
+    return rows
+
+
+@pytest.mark.parametrize("task, settings", [(_order_task, {}), (_either_task, {"reach": 0})])
+def test_text_network_beats_a_regression_over_words(spark, task, settings):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import HashingTF, RegexTokenizer
+
+    rng = np.random.default_rng(8)
+    schema = "id long, text string, label double"
+    train, test = (spark.createDataFrame(task(rng, n), schema) for n in (400, 200))
+    network = L.text_classifier(features=256, **settings).fit(train)
+    plain = Pipeline(
+        stages=[
+            RegexTokenizer(inputCol="text", outputCol="_words", pattern=r"\s+"),
+            HashingTF(inputCol="_words", outputCol="features", numFeatures=256),
+            LogisticRegression(regParam=0.001),
+        ]
+    ).fit(train)
+    by_words = plain.transform(test).agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
+    by_network = _held_out_accuracy(network, test)
+    assert by_network > 0.9 and by_network > by_words + 0.2
+
+
+def test_text_network_takes_empty_texts(spark):
+    rows = [(i, "" if i % 3 == 0 else "we are moving", float(i % 3 != 0)) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, text string, label double")
+    assert _held_out_accuracy(L.text_classifier(features=32, max_iter=30).fit(df), df) == 1.0
+
+
 def test_annotations(spark):
     rows = [("a", 1, "s1", "N", 0), ("a", 1, "s2", "Y", 1), ("a", 2, "s3", None, 2), ("b", 7, "s4", "N", 3)]
     df = spark.createDataFrame(rows, "conv_id string, chunk_id long, sntnce string, label string, ord long")
@@ -396,3 +454,74 @@ def test_training_job(spark):
     assert L.accuracy(model.predict(test), "label", "prediction").first()[0] == 1.0
     scored = jobs.classifier_scorer(model, 26)(features.drop("label"))
     assert scored.filter("detection_score > 0.5").count() == 30
+
+
+# --- word vectors as tables -----------------------------------------------------------------
+
+
+def _information(texts, window, shift=1.0):
+    n = {}
+    for words in texts:
+        for i, a in enumerate(words or []):
+            for b in words[i + 1 : i + 1 + window]:
+                n[a, b] = n.get((a, b), 0) + 1
+                n[b, a] = n.get((b, a), 0) + 1
+    of = {}
+    for (a, _), k in n.items():
+        of[a] = of.get(a, 0) + k
+    total = sum(of.values())
+    value = {p: math.log(k * total / (of[p[0]] * of[p[1]])) - math.log(shift) for p, k in n.items()}
+    return {p: v for p, v in value.items() if v > 0}
+
+
+def _texts(words, rows, longest, seed=3):
+    rng = np.random.default_rng(seed)
+    return [[f"w{i}" for i in rng.integers(0, words, rng.integers(0, longest))] for _ in range(rows)]
+
+
+@pytest.mark.parametrize("window", [1, 3])
+def test_pair_information_matches_a_loop(spark, monkeypatch, window):
+    monkeypatch.setattr(WV, "_PIECE", 5)
+    texts = [*_texts(9, 30, 23), [], None, ["alone"], ["w1"] * 12]
+    df = spark.createDataFrame([(t,) for t in texts], "tokens array<string>")
+    found = WV.pair_information(WV.pair_counts(df, "tokens", window), 1.2).collect()
+    expected = _information(texts, window, 1.2)
+    assert {(r["word"], r["context"]) for r in found} == set(expected)
+    assert all(r["value"] == pytest.approx(expected[r["word"], r["context"]]) for r in found)
+
+
+@pytest.mark.parametrize("block", [4, 100])
+def test_vectors_give_the_matrix_back(spark, block):
+    """With as many dimensions as words, products of vectors are the matrix with its eigenvalues' sizes."""
+    texts = [*_texts(11, 20, 9), ["alone"]]
+    df = spark.createDataFrame([(t,) for t in texts], "tokens array<string>")
+    found = {r["word"]: np.array(r["vector"]) for r in WV.word_vectors(df, "tokens", width=14, window=2, rounds=2, block=block).collect()}
+    names = sorted(found)
+    entries = _information(texts, 2)
+    matrix = np.array([[entries.get((a, b), 0.0) for b in names] for a in names])
+    values, turned = np.linalg.eigh(matrix)
+    vectors = np.array([found[a] for a in names])
+    assert "alone" in names and not found["alone"].any()
+    assert np.allclose(vectors @ vectors.T, turned * np.abs(values) @ turned.T, atol=1e-6)
+
+
+def test_words_in_equal_places_are_neighbours(spark):
+    rng = np.random.default_rng(5)
+    twins, fill = [("car", "auto"), ("house", "home")], [f"f{i}" for i in range(40)]
+    near = {w: fill[10 * k : 10 * k + 10] for k, pair in enumerate(twins) for w in pair}
+    texts = []
+    for word, around in near.items():
+        for _ in range(60):
+            a, b, c, d = rng.choice(around, 4)
+            texts.append(([a, b, word, c, d],))
+    df = spark.createDataFrame(texts, "tokens array<string>")
+    rows = WV.word_vectors(df, "tokens", width=8, window=2, rounds=4).collect()
+    found = {r["word"]: np.array(r["vector"]) / (np.linalg.norm(r["vector"]) or 1) for r in rows}
+    for a, b in twins:
+        others = {w: found[w] @ found[a] for w in near if w != a}
+        assert max(others, key=others.get) == b
+
+
+def test_no_texts_have_no_vectors(spark):
+    df = spark.createDataFrame([(None,), ([],)], "tokens array<string>")
+    assert WV.word_vectors(df, "tokens", width=3, rounds=1).collect() == []
