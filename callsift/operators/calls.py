@@ -205,19 +205,31 @@ SENTENCE_FIELDS = {
     "sntnce_sntmnt_mgntd_qty": "sntnce_sntmnt_mgntd_qty",
 }
 SAID_BY_WHOM = ("sntnce", "sntnce_lang_cd", "sntnce_partcpnt_role")
+# place of a sentence in the nested record, from 0: the spoken order of sentences of one time
+PLACE = "sntnce_place"
 SAID_WHEN = ("sntnce_ts", *SAID_BY_WHOM)
 
 
+def spoken_order(said: DataFrame) -> list[str]:
+    """What sentences of a conversation are sorted by: their time, then their place, if it is known."""
+    return ["sntnce_ts", *[c for c in said.columns if c == PLACE]]
+
+
 def sentences(calls: DataFrame, columns: Sequence[str] = tuple(SENTENCE_FIELDS)) -> DataFrame:
     """Valid sentences in lower case.
 
     Only the fields of ``columns`` are read from the nested records; text, role
-    and language have to be among them.
+    and language have to be among them.  ``PLACE`` may be one of them.
     """
+    stored = [c for c in columns if c != PLACE]
     fields = F.arrays_zip(
-        *[F.col(f"convrstn_sntnce.{SENTENCE_FIELDS[c]}").alias(c) for c in columns]
+        *[F.col(f"convrstn_sntnce.{SENTENCE_FIELDS[c]}").alias(c) for c in stored]
     )
-    said = calls.select(ID, F.inline(fields)).toDF(ID, *columns)
+    if PLACE in columns:
+        said = calls.select(ID, F.posexplode(fields).alias(PLACE, "_said")).select(ID, PLACE, "_said.*")
+        said = said.toDF(ID, PLACE, *stored).select(ID, *columns)
+    else:
+        said = calls.select(ID, F.inline(fields)).toDF(ID, *columns)
     return said.filter(
         (F.col("sntnce") != "")
         & (F.col("sntnce") != "\n")
@@ -297,11 +309,11 @@ def sentiment(score: Column, magnitude: Column) -> Column:
 
 
 def eligible_sentences(said: DataFrame, ids: DataFrame) -> DataFrame:
-    """Sentences of the eligible conversations, with their sentiment."""
+    """Sentences of the eligible conversations, with their sentiment, and their place if it is known."""
     return said.join(ids, ID, "left_semi").select(
         ID,
         "sntnce",
-        "sntnce_ts",
+        *spoken_order(said),
         "sntnce_partcpnt_role",
         sentiment(F.col("sntnce_sntmnt_scor_qty"), F.col("sntnce_sntmnt_mgntd_qty")).alias(
             "sntnce_sntmnt"

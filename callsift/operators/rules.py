@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from callsift import fixed_values as fv
 from callsift.functions.regex import any_match
-from callsift.operators.calls import ID
+from callsift.operators.calls import ID, spoken_order
 from callsift.operators.ordering import first_rows, hash_ranks, number_rows
 from callsift.session import stage
 
@@ -58,12 +58,14 @@ def not_excluded(text: Column, pack: Pack = fv.PATTERNS) -> Column:
 
 
 def slim_sentences(
-    said: DataFrame, pack: Pack = fv.PATTERNS, keep: Sequence[str] = ("sntnce_ts",)
+    said: DataFrame, pack: Pack = fv.PATTERNS, keep: Sequence[str] | None = None
 ) -> DataFrame:
     """What the pre-selection has to know of each sentence.
 
     Only a candidate keeps its text; all others travel as a key and a flag.
+    ``keep`` is what they are sorted by, unless stated otherwise.
     """
+    keep = spoken_order(said) if keep is None else keep
     text, role = F.col(_TEXT), F.col(_ROLE)
     return said.select(
         ID,
@@ -81,12 +83,13 @@ def number_kept(
     All sentences count for the numbers, but only the kept ones bring their
     text and role along.
     """
+    order = spoken_order(said)
     slim = said.select(
         ID,
-        "sntnce_ts",
+        *order,
         F.when(keep, F.struct(_TEXT, _ROLE)).alias("_kept"),
     )
-    numbered = number_rows(slim, ID, ["sntnce_ts"], large_keys=large_keys)
+    numbered = number_rows(slim, ID, order, large_keys=large_keys)
     return numbered.filter(F.col("_kept").isNotNull()).select(
         ID, "sntnce_ts", "_kept.*", "chunk_id"
     )

@@ -63,11 +63,15 @@ def conversation_facts(
 
 
 def extract(
-    calls: DataFrame, lo, hi, settings: Extraction = Extraction()
+    calls: DataFrame, lo, hi, settings: Extraction = Extraction(), places: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """(conversations, sentences), each with a counterpart in the other."""
+    """(conversations, sentences), each with a counterpart in the other.
+
+    With ``places`` sentences carry their place in the record, by which detection
+    and sampling then order those of one time.
+    """
     day = C.calls_between(calls, lo, hi)
-    said = C.sentences(day)
+    said = C.sentences(day, (*C.SENTENCE_FIELDS, C.PLACE) if places else tuple(C.SENTENCE_FIELDS))
     heads = C.sentences(day, C.SAID_BY_WHOM)
     ids = C.eligible_ids(heads, settings.min_exchange, settings.allowed_lang)
     # whether a conversation has facts shows in its labels and issues alone
@@ -145,7 +149,7 @@ def _classified(
     **encoder,
 ) -> DataFrame:
     numbered = rules.notable(
-        number_rows(slim, ID, ["sntnce_ts"], large_keys=large_keys)
+        number_rows(slim, ID, C.spoken_order(slim), large_keys=large_keys)
     )
     features = X.conversation_features(numbered, pack, patterns, mode=mode, **encoder)
     # the best score passes the threshold if any does; asking it last keeps the
@@ -192,7 +196,7 @@ def classifier_daily(
     only their sentences are numbered, and only candidates bring their text.
     """
     day = C.calls_between(calls, lo, hi)
-    said = C.sentences(day, C.SAID_WHEN)
+    said = C.sentences(day, (*C.SAID_WHEN, C.PLACE))
     candidate = rules.mover_candidate(F.col("sntnce"), F.col("sntnce_partcpnt_role"), patterns)
     profile = C.role_profile(C.sentences(day, C.SAID_BY_WHOM), hit=F.max(candidate))
     ids = stage(

@@ -419,6 +419,21 @@ def w1_ties(spark, d):
     return number_rows(said, ID, ["ts", "role", "sntnce"])
 
 
+@query(
+    "w1_spoken_order",
+    """SELECT call_convrstn_id, ts, i::INTEGER AS sntnce_place, sntnce_ts, row_number() OVER
+        (PARTITION BY call_convrstn_id ORDER BY ts, i, sntnce_ts) - 1 AS chunk_id
+        FROM (SELECT *, sntnce_ts // 20000 AS ts FROM rs WHERE sntnce <> '' AND sntnce <> '\n'
+              AND sntnce_partcpnt_role IS NOT NULL AND sntnce_lang_cd IS NOT NULL)""",
+    ["rs"],
+)
+def w1_spoken(spark, d):
+    """Sentences of one time are numbered in their order in the nested record."""
+    said = C.sentences(V.calls(spark, d), (*C.SAID_WHEN, C.PLACE))
+    coarse = said.select(ID, F.floor(F.col("sntnce_ts") / 20000).alias("ts"), C.PLACE, "sntnce_ts")
+    return number_rows(coarse, ID, ["ts", C.PLACE, "sntnce_ts"])
+
+
 @query(
     "w2_neighbour_context",
     f"""SELECT call_convrstn_id, chunk_id, after3, before3 FROM ({_FLAGGED}) WHERE after3 OR before3""",

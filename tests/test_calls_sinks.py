@@ -9,6 +9,7 @@ from callsift import fixed_values as fv
 from callsift import schemas
 from callsift.operators import calls as C
 from callsift.operators import reports as R
+from callsift.operators import rules
 from callsift.plans import jobs
 from callsift.sources import readers, sinks
 
@@ -71,6 +72,20 @@ def test_one_pass_attributes_equal_the_separate_ones(calls):
     assert sorted(map(str, whole.collect())) == sorted(map(str, parts.collect()))
 
 
+def test_sentences_of_one_time_keep_their_spoken_order(spark):
+    texts = ["hello", "i am moving", "", "so", "well", "ok", "please cancel", "bye", "thanks"]
+    said = [sentence(t, 7, "AGENT" if i % 2 else "END_USER") for i, t in enumerate(texts)]
+    rows = spark.createDataFrame([call("c", [("ANI", "4165550000")], ["a"], said)], schemas.CALLS)
+    _, found = jobs.extract(rows, "2022-04-11", "2022-04-11", places=True)
+    for large in (False, True):
+        kept = rules.number_kept(found, F.lit(True), large_keys=large).orderBy("chunk_id").collect()
+        assert [r["sntnce"] for r in kept] == [t for t in texts if t]
+    slim = rules.slim_sentences(found)
+    assert C.PLACE in slim.columns
+    _, plain = jobs.extract(rows, "2022-04-11", "2022-04-11")
+    assert C.PLACE not in plain.columns
+
+
 def test_eligible_sentences(calls):
     said = C.sentences(calls)
     found = C.eligible_sentences(said, C.eligible_ids(said, 2, "en-us"))
