@@ -138,6 +138,25 @@ def test_pruning_on_clusters(spark):
     assert [r["dist"] for r in got.orderBy("id").collect()] == pytest.approx(list(1 - (unit[0] @ unit[1].T).max(axis=1)))
 
 
+def test_copies_of_a_row_are_bounded_by_cells(spark, monkeypatch):
+    """Where nothing can be pruned a row is sent once to each cell, and cells are few beside the pivots."""
+    rng = np.random.default_rng(8)
+    points, sizes = rng.normal(size=(300, 16)), rng.integers(0, 50, 300)
+    sizes[7] = 1000
+    groups, cells = I._cells(points / np.linalg.norm(points, axis=1, keepdims=True), sizes, 200)
+    assert sorted(c for g in groups for c in g) == np.flatnonzero(sizes).tolist()
+    assert all(sizes[g].sum() <= 200 * n for g, n in zip(groups, cells, strict=True)) and cells.max() == 5
+    assert cells.sum() <= 2 * sizes.sum() / 200 + 2
+    monkeypatch.setattr(I, "CLUSTER_BLOCK", 100)
+    monkeypatch.setattr(I, "COPIES", 7)
+    cloud = lambda n: [(i, [float(x) for x in rng.normal(size=16)]) for i in range(n)]
+    refs, rows = cloud(600), cloud(90)
+    got = I.least_distances(spark.createDataFrame(rows, "id int, vec array<double>"), "vec", spark.createDataFrame(refs, "j int, vec array<double>"))
+    want = plain_least([v for _, v in rows], refs)
+    for r, (dist, j) in zip(got.orderBy("id").collect(), want, strict=True):
+        assert r["dist"] == pytest.approx(dist, abs=1e-8) and r["nearest"] == j and r["seen"] == 600
+
+
 def test_every_embedding_meets_every_reference(spark, tmp_path):
     import __spark_entry__ as entry
 
