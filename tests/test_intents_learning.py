@@ -19,6 +19,7 @@ from callsift.operators import rules
 from callsift.operators import word_vectors as WV
 from callsift.operators.calls import ID
 from callsift.plans import jobs
+from callsift.session import stage
 from callsift.sources import sinks
 
 KEYS = ["doc", "chunk"]
@@ -204,6 +205,23 @@ def test_packs_of_any_size_give_the_same_distances(spark, monkeypatch, how, stor
         assert g["p"] == pytest.approx(w["p"], abs=1e-12)
 
 
+@pytest.mark.parametrize("how", ["all", "min"])
+def test_large_packs_write_no_distances(spark, monkeypatch, tmp_path, how):
+    """Neither arrays of all distances nor chunks with their vectors are staged, however many blocks there are."""
+    chunks = spark.createDataFrame([(i, t) for i, t in SAID], "id int, text string")
+    rows = [(k, j, [float(x) for x in v]) for k, m in REFERENCES.items() for j, v in enumerate(I.letter_count_matrix(m))]
+    want = I.intent_distances(chunks, "text", I.IntentPack.encode(REFERENCES, I.letter_count_matrix), how, column_encoder=I.letter_counts).orderBy("id").collect()
+    for name, value in (("MAX_PLAN_VALUES", 10), ("BLOCK_VALUES", 60), ("OUT_VALUES", 40)):
+        monkeypatch.setattr(I, name, value)
+    pack = I.IntentPack.from_rows(spark.createDataFrame(rows, "intent string, j int, vec array<double>"), "intent", "j", "vec")
+    written = []
+    monkeypatch.setattr(I, "stage", lambda df: written.append(df.columns) or stage(df))
+    got = I.intent_distances(chunks, "text", pack, how, batch_encoder=lambda: I.letter_count_matrix).orderBy("id").collect()
+    assert not any({"_flat", "d_a", "d_b"} <= set(columns) for columns in written)
+    for g, w in zip(got, want, strict=True):
+        assert g["a"] == pytest.approx(w["a"], abs=1e-12) and g["b"] == pytest.approx(w["b"], abs=1e-12)
+
+
 def test_opposed_score(spark, make):
     row = make([(0.1, 0.6)], "p double, n double")
     assert row.select(I.opposed_score(F.col("p"), F.col("n"))).first()[0] == pytest.approx(0.25)
