@@ -562,3 +562,21 @@ def test_words_in_equal_places_are_neighbours(spark):
 def test_no_texts_have_no_vectors(spark):
     df = spark.createDataFrame([(None,), ([],)], "tokens array<string>")
     assert WV.word_vectors(df, "tokens", width=3, rounds=1).collect() == []
+
+
+def test_word_vectors_learn_on_all_cores(spark, monkeypatch):
+    """Rows of one partition are learned from in as many parts as there are cores."""
+    import pyspark.ml.feature
+
+    given = {}
+
+    class Recorder:
+        def __init__(self, **settings):
+            given.update(settings)
+
+        def fit(self, df):
+            return None
+
+    monkeypatch.setattr(pyspark.ml.feature, "Word2Vec", Recorder)
+    LX.fit_word_vectors(spark.createDataFrame([(["a", "b"],)], "tokens array<string>").coalesce(1), "tokens")
+    assert given["numPartitions"] == spark.sparkContext.defaultParallelism
