@@ -580,3 +580,14 @@ def test_word_vectors_learn_on_all_cores(spark, monkeypatch):
     monkeypatch.setattr(pyspark.ml.feature, "Word2Vec", Recorder)
     LX.fit_word_vectors(spark.createDataFrame([(["a", "b"],)], "tokens array<string>").coalesce(1), "tokens")
     assert given["numPartitions"] == spark.sparkContext.defaultParallelism
+
+
+def test_pair_information_brings_the_counts_and_counts_once(spark, monkeypatch):
+    """What is read several times is staged, and nobody has to join the counts again."""
+    written = []
+    monkeypatch.setattr(WV, "stage", lambda df: written.append(df.columns) or stage(df))
+    df = spark.createDataFrame([(t,) for t in _texts(9, 30, 23)], "tokens array<string>")
+    pairs = WV.pair_counts(df, "tokens", 2)
+    counts = {(r["word"], r["context"]): r["n"] for r in pairs.collect()}
+    assert all(counts[r["word"], r["context"]] == r["n"] for r in WV.pair_information(pairs).collect())
+    assert ["word", "context", "n"] in written
