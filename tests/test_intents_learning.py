@@ -591,3 +591,18 @@ def test_pair_information_brings_the_counts_and_counts_once(spark, monkeypatch):
     counts = {(r["word"], r["context"]): r["n"] for r in pairs.collect()}
     assert all(counts[r["word"], r["context"]] == r["n"] for r in WV.pair_information(pairs).collect())
     assert ["word", "context", "n"] in written
+
+
+@pytest.mark.parametrize("block,groups", [(2, 2), (4, 16)])
+def test_images_are_products_of_the_matrix(spark, monkeypatch, block, groups):
+    monkeypatch.setattr(WV, "ROW_BLOCKS", groups)
+    entries = _information(_texts(11, 20, 9), 2)
+    names = sorted({a for a, _ in entries})
+    rng = np.random.default_rng(2)
+    given = {w: rng.normal(size=3) for w in [*names, "alone"]}
+    information = spark.createDataFrame([(a, b, v) for (a, b), v in entries.items()], "word string, context string, value double")
+    vectors = spark.createDataFrame([(w, [float(x) for x in v]) for w, v in given.items()], "word string, vector array<double>")
+    found = {r["word"]: r["image"] for r in WV.with_images(information, vectors, block).collect()}
+    assert set(found) == set(given) and found["alone"] is None
+    for a in names:
+        assert found[a] == pytest.approx(sum(v * given[c] for (w, c), v in entries.items() if w == a))
