@@ -127,13 +127,13 @@ def calls(spark: SparkSession, d: str) -> DataFrame:
     """The nested call table, derived from all documents.
 
     It is stored once per session, by date, as a call table would be: queries
-    then prune dates and nested fields in the scan.
+    then prune dates and nested fields in the scan.  Every task writes its own
+    files of each date, so no row is exchanged for it.
     """
     key = (spark.sparkContext.applicationId, d)
     if key not in _STORED:
         path = shared_path(spark, "calls")
-        derived = derived_calls(spark, d).hint("rebalance", DATE)
-        derived.write.partitionBy(DATE).parquet(path)
+        derived_calls(spark, d).write.partitionBy(DATE).parquet(path)
         _STORED[key] = path
     return apply_defaults(spark).read.schema(schemas.CALLS).parquet(_STORED[key])
 

@@ -318,3 +318,20 @@ def test_large_conversations_in_extraction(spark):
     assert convs.filter(F.col(ID) == "big").first()["topics"] == "t0,t1,t2"
     found = jobs.naive_daily(df, DAY, DAY)
     assert found.count() == 300 and found.select("convrstn_id").distinct().count() == 201
+
+
+def test_calls_are_stored_without_an_exchange(spark, tmp_path):
+    """Each task writes its own files of a date: rows of two input files stay in two files."""
+    from catalog import views as V
+
+    for part in range(2):
+        rows = [(30 * i + part * 300, "one two. three\nfour", "en", "web", 19) for i in range(3)]
+        one = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+        one.write.mode("append").parquet(str(tmp_path / "documents.parquet"))
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        stored = V.calls(spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert stored.count() == 6
+    assert len(stored.inputFiles()) == 2
