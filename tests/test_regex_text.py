@@ -13,6 +13,7 @@ from callsift.functions.regex import GATES
 from callsift.functions import text as TX
 from callsift.operators import features as X
 from callsift.operators import lexicon as LX
+from callsift.session import stage
 
 WORDS = (
     "moving move moves house hunting realestate reltor it the is not n't going to was were been did "
@@ -284,3 +285,23 @@ def test_alternations_by_first_character_match_alike(make):
     for texts in ("yeah yaya no[x]9", "yyes", "[x", "noyeahs"):
         assert re.sub(TX._by_first(tokens), "_", texts) == re.sub("|".join(tokens), "_", texts)
     assert TX._by_first(["a|b", "c"]) == "(?:a|b|c)" and TX._by_first([".x", "c"]) == "(?:.x|c)"
+
+
+def test_rare_pairs_are_not_staged(spark, monkeypatch):
+    """Of pairs under the least count only their number goes on; scores are as counted by hand."""
+    rows = spark.createDataFrame(
+        [(["a", "b", "a", "b", "c"],), (["a", "b"],), (["d"],), ([],), (None,), (["a", "b", "a", "b"],), (["a", "a", "a"],)],
+        "tokens array<string>",
+    )
+    staged = []
+
+    def kept(df):
+        staged.append(stage(df))
+        return staged[-1]
+
+    monkeypatch.setattr(LX, "stage", kept)
+    got = [(r["a"], r["b"], r["n_ab"], r["score"]) for r in LX.pair_scores(rows, "tokens", min_count=3, threshold=0.5).collect()]
+    # words: a 8, b 5, c 1, d 1; pairs: ab 5, ba 2, bc 1, aa 2
+    assert got == [] and LX.pair_scores(rows, "tokens", 3, 0.3).first()["score"] == (5 - 3) * 8 / (8 * 5)
+    assert sorted((r["a"], r["b"], r["n"]) for r in staged[0].filter("pair").collect()) == [("a", "b", 5)]
+    assert LX.pair_scores(rows.limit(0), "tokens").collect() == []
