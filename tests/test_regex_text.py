@@ -4,6 +4,8 @@ import random
 import re
 import string
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from callsift.functions.regex import GATES
 from callsift.functions import text as TX
 from callsift.operators import features as X
 from callsift.operators import lexicon as LX
+from callsift.operators import token_blocks as TB
 from callsift.session import stage
 
 WORDS = (
@@ -305,3 +308,60 @@ def test_rare_pairs_are_not_staged(spark, monkeypatch):
     assert got == [] and LX.pair_scores(rows, "tokens", 3, 0.3).first()["score"] == (5 - 3) * 8 / (8 * 5)
     assert sorted((r["a"], r["b"], r["n"]) for r in staged[0].filter("pair").collect()) == [("a", "b", 5)]
     assert LX.pair_scores(rows.limit(0), "tokens").collect() == []
+
+
+def test_words_of_a_block_are_looked_up_once(make):
+    """Rows of one key keep their own tokens, and a frequent word leaves a task once for a block."""
+    rows = [(1, ["a", "a", "b", None]), (1, ["b", "c"]), (None, ["a"]), (2, None), (3, []), (4, ["d"] * 50), (5, ["é", "a"])]
+    table = make(rows, "id long, tokens array<string>").coalesce(1)
+    forms = make([("a", "x"), ("d", "y"), ("d", "z"), ("b", None), (None, "n")], "form string, lemma string")
+    to = {"a": "x", "d": "y"}
+    got = [(r["id"], r["tokens"]) for r in LX.replace_words_by_join(table, "id", "tokens", forms).collect()]
+    want = [(k, t and [to.get(w, w) for w in t]) for k, t in rows]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    gone = make([("a",), ("a",), ("d",), (None,)], "word string")
+    got = [(r["id"], r["tokens"]) for r in LX.drop_words_by_join(table, "id", "tokens", gone).collect()]
+    want = [(k, t and [w for w in t if w not in ("a", "d")]) for k, t in rows]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    blocks = table.select(F.lit(0).cast("long").alias("_block"), F.col("tokens").alias("_tokens"))
+    assert blocks.mapInArrow(TB._words_of_blocks, "_block long, _word string").count() == 6
+    assert {r[0] for r in TB.distinct_words(table, "tokens").collect()} == {"a", "b", "c", "d", "é", None}
+
+
+def test_vocabulary_counts_a_block_before_the_exchange(make):
+    rng = random.Random(5)
+    rows = [(rng.choice([None, 1, 2, 3, 7]), rng.choices("abcdefgh", k=rng.randint(0, 9))) for _ in range(80)] + [(4, None), (5, ["z", "y"])]
+    table = make(rows, "id long, tokens array<string>")
+    assert TB.first_places(table.coalesce(1), F.col("id"), "tokens").count() == 8 + 10  # null keys apart
+    seen = {}
+    for key, words in rows:
+        for pos, word in enumerate(words or []):
+            seen.setdefault(word, []).append((key, pos))
+
+    def order(word):
+        none = [p for k, p in seen[word] if k is None]
+        first = min((k, p) for k, p in seen[word] if k is not None)
+        return -len(seen[word]), not none, min(none, default=0), first
+
+    want = [(w, len(seen[w]), i + 2) for i, w in enumerate(sorted(seen, key=order))]
+    got = LX.vocabulary(table.repartition(3), "id", "tokens").orderBy("id").collect()
+    assert [(r["token"], r["count"], r["id"]) for r in got] == want
+
+
+def test_blocks_end_between_rows(monkeypatch, make):
+    rows = [(i, ["a", "b", str(i % 3)] * (i % 4)) for i in range(40)]
+    table = make(rows, "id long, tokens array<string>").coalesce(1)
+    whole = LX.vocabulary(table, "id", "tokens").collect()
+    held = pa.RecordBatch.from_pylist([{"_tokens": t} for _, t in rows], pa.schema([("_tokens", pa.list_(pa.string()))]))
+    monkeypatch.setattr(TB, "MOST_TOKENS", 10)
+    parts = list(TB._pieces(held, "_tokens"))
+    assert [r["_tokens"] for p in parts for r in p.to_pylist()] == [t for _, t in rows]
+    assert len(parts) > 10 and all(len(p) == 1 or pc.sum(pc.list_value_length(p["_tokens"])).as_py() <= 10 for p in parts)
+    assert len(whole) == 5
+
+
+def test_corpus_tokens_split_as_a_loop_does(make):
+    texts = ["", " ", None, "a  b.c", "x" + fv.TOKENIZER_FILTERS + "y z\r\x0bé w😀", "-a-", "\\[]^&&a", "İI\x00"]
+    split = lambda t: [w for w in "".join(" " if c in fv.TOKENIZER_FILTERS else c for c in t.lower()).split(" ") if w]
+    got = [r[0] for r in make([(t,) for t in texts], "t string").select(TX.corpus_tokens(F.col("t"))).collect()]
+    assert got == [split(t or "") for t in texts]
