@@ -139,5 +139,5 @@ def without_ansi_marks(text: Column) -> Column:
 
 def corpus_tokens(text: Column) -> Column:
     """Lower-cased tokens for the vocabulary: punctuation separates words."""
-    blank = F.translate(F.lower(text), fv.TOKENIZER_FILTERS, " " * len(fv.TOKENIZER_FILTERS))
-    return F.coalesce(F.filter(F.split(blank, " ", -1), lambda t: F.length(t) > 0), _no_strings())
+    parts = F.split(F.lower(text), f"[{re.escape(fv.TOKENIZER_FILTERS + ' ')}]+", -1)
+    return F.coalesce(F.filter(parts, lambda t: F.length(t) > 0), _no_strings())
