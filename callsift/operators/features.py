@@ -24,6 +24,7 @@ from callsift.operators.rules import (
     preselect,
     without,
 )
+from callsift.session import stage
 
 
 TABULAR = ["sntce_len", "rel_pos_sntce"]
@@ -180,9 +181,19 @@ def split_rows(
     hash_column: Column,
     hash_range: int,
     tie: Sequence[str],
+    staged: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, test); the first ``ceil(ratio * n)`` rows in hash order are the test."""
+    """(train, test); the first ``ceil(ratio * n)`` rows in hash order are the test.
+
+    ``staged``: the rows and their ranks are stored, so that ``df`` is worked
+    out once for all that reads the parts, and rows equal in ``tie`` are in one
+    part only.
+    """
+    if staged:
+        df = stage(df)
     ranked = hash_ranks(df, hash_column, hash_range, tie, out="_rank")
+    if staged:
+        ranked = stage(ranked)
     size = df.agg(F.ceil(F.count(F.lit(1)) * F.lit(ratio))).scalar()
     train = ranked.filter(F.col("_rank") > size).drop("_rank")
     test = ranked.filter(F.col("_rank") <= size).drop("_rank")

@@ -284,7 +284,8 @@ def train(
     """P5, second half: (classifier, log, train rows, test rows)."""
     rows = X.assemble(features, n_intents)
     order = F.pmod(F.xxhash64("conv_id", "chunk_id"), F.lit(2**31 - 1))
-    first, second = X.split_rows(rows, ratio, order, 2**31 - 1, ["conv_id", "chunk_id"])
+    # staged: the split, the fits and what is stored read the features, which cost most
+    first, second = X.split_rows(rows, ratio, order, 2**31 - 1, ["conv_id", "chunk_id"], staged=True)
     model, log = L.fit_best(first, second, X.feature_names(n_intents), grid, **params)
     return model, log, first, second
 

@@ -357,6 +357,46 @@ def test_grid_keeps_the_first_of_equals(separable):
     assert len(L.parameter_grid()) == 30
 
 
+def test_classifiers_share_a_pass(separable, monkeypatch):
+    """Counts of each one are those of its own predictions, also where a pass ends between them."""
+    monkeypatch.setattr(L, "_AT_ONCE", 2)
+    rows = separable.withColumn("label", F.when(F.col("id") < 9, 1 - F.col("label")).otherwise(F.col("label")))
+    models = [L.LogisticClassifier(["a", "b", "c"], C=c, max_iter=n).fit(rows) for c, n in ((5.0, 9), (1e-6, 1), (0.1, 2))]
+    train, test = rows.filter("id >= 30"), rows.filter("id < 30")
+    for model, found in zip(models, L.evaluate_all(models, train, test), strict=True):
+        for name, part in (("train", train), ("test", test)):
+            scored = model.predict(part)
+            assert found[f"{name}_accuracy"] == pytest.approx(L.accuracy(scored, "label", "prediction").first()[0])
+            matrix = {(r["label"], j): r[str(j)] for r in L.confusion(scored, "label", "prediction").collect() for j in (0, 1)}
+            assert found[f"{name}_cm"] == matrix
+
+
+def test_rows_of_a_fit_are_spread(spark):
+    """One part goes to all cores, with the same rows."""
+    rows = L.spread(spark.range(400).coalesce(1))
+    assert len(rows.inputFiles()) == spark.sparkContext.defaultParallelism > 1
+    assert sorted(r["id"] for r in rows.collect()) == list(range(400))
+
+
+def test_features_are_worked_out_once_for_a_training(spark, tmp_path):
+    """The split, the fits and the stored rows read one copy, and chunks that come twice are in one part each."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def counted(n):
+        seen.add(1)
+        return n
+
+    rows = [(f"c{i // 4 % 10}", "0", 10 + i, 0.1 * (i % 7), [float(i % 3), 1.0], int(i % 2)) for i in range(200)]
+    columns = "conv_id string, chunk_id string, sntce_len int, rel_pos_sntce double, intent array<double>, label int"
+    features = spark.createDataFrame(rows, columns).withColumn("sntce_len", counted("sntce_len"))
+    jobs.train_and_store(features, 2, str(tmp_path), grid={"C": [1.0, 0.1]})
+    assert seen.value == 200
+    stored = spark.read.parquet(f"{tmp_path}/data")
+    assert sorted(r["features"][0] for r in stored.collect()) == [10.0 + i for i in range(200)]
+    assert stored.filter("part = 'test'").count() == 30
+
+
 def test_boosted_trees(separable):
     model = L.BoostedTrees(["a", "b", "c"], maxIter=3).fit(separable)
     assert L.accuracy(model.predict(separable), "label", "prediction").first()[0] == 1.0
