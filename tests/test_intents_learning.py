@@ -222,6 +222,24 @@ def test_large_packs_write_no_distances(spark, monkeypatch, tmp_path, how):
         assert g["a"] == pytest.approx(w["a"], abs=1e-12) and g["b"] == pytest.approx(w["b"], abs=1e-12)
 
 
+def test_chunks_of_one_partition_go_past_large_packs_in_several_tasks(spark, monkeypatch):
+    """Few bytes of chunks are work for all cores, equal chunks have equal distances, and single precision stays so in blocks."""
+    monkeypatch.setattr(I, "MAX_PLAN_VALUES", 10)
+    monkeypatch.setattr(I, "BLOCK_VALUES", 60)
+    monkeypatch.setattr(I, "PASS_VALUES", 40)
+    said = [(i, f"i am moving to town {'abc' * (i % 5)}") for i in range(60)]
+    chunks = spark.createDataFrame(said, "id int, text string").coalesce(1)
+    rows = [(k, j, [float(x) for x in v]) for k, m in REFERENCES.items() for j, v in enumerate(I.letter_count_matrix(m))]
+    pack = I.IntentPack.from_rows(spark.createDataFrame(rows, "intent string, j int, vec array<float>"), "intent", "j", "vec")
+    assert all(matrix.dtype == np.float32 for _, _, matrix, _ in pack.blocks(60))
+    found = I.intent_distances(chunks, "text", pack, "all", batch_encoder=lambda: I.letter_count_matrix).select("*", F.spark_partition_id().alias("part")).collect()
+    assert len({r["part"] for r in found}) > 1 and sorted(r["id"] for r in found) == list(range(60))
+    small = I.IntentPack.encode(REFERENCES, I.letter_count_matrix)
+    for r in found:
+        unit = I._unit_rows(I.letter_count_matrix([said[r["id"]][1]]))
+        assert r["a"] == pytest.approx(list(1 - (unit @ small.vectors["a"].T)[0]), abs=1e-12)
+
+
 def test_opposed_score(spark, make):
     row = make([(0.1, 0.6)], "p double, n double")
     assert row.select(I.opposed_score(F.col("p"), F.col("n"))).first()[0] == pytest.approx(0.25)
