@@ -1,6 +1,7 @@
 """Distances, features, classifiers and whole jobs."""
 
 import math
+import os
 
 import numpy as np
 import pytest
@@ -19,7 +20,7 @@ from callsift.operators import rules
 from callsift.operators import word_vectors as WV
 from callsift.operators.calls import ID
 from callsift.plans import jobs
-from callsift.session import stage
+from callsift.session import stage, staged
 from callsift.sources import sinks
 
 KEYS = ["doc", "chunk"]
@@ -158,6 +159,24 @@ def test_copies_of_a_row_are_bounded_by_cells(spark, monkeypatch):
         assert r["dist"] == pytest.approx(dist, abs=1e-8) and r["nearest"] == j and r["seen"] == 600
 
 
+def test_cells_met_in_rounds_give_the_same_minimum(spark, monkeypatch):
+    """Copies on their way are bounded: more go in rounds, whose answers alone are kept, and references are kept once."""
+    monkeypatch.setattr(I, "CLUSTER_BLOCK", 50)
+    monkeypatch.setattr(I, "ROUND_VALUES", 5000)
+    rng = np.random.default_rng(9)
+    cloud = lambda n: [(i, [float(x) for x in rng.normal(size=8)]) for i in range(n)]
+    refs, rows = cloud(300), cloud(70)
+    written = []
+    monkeypatch.setattr(I, "stage", lambda df: written.append(stage(df)) or written[-1])
+    got = I.least_distances(spark.createDataFrame(rows, "id int, vec array<double>"), "vec", spark.createDataFrame(refs, "j int, vec array<double>"))
+    want = plain_least([v for _, v in rows], refs)
+    for r, (dist, j) in zip(got.orderBy("id").collect(), want, strict=True):
+        assert r["dist"] == pytest.approx(dist, abs=1e-8) and r["nearest"] == j and r["seen"] == 300
+    assert sum("dist" in w.columns for w in written) >= 2
+    left = [w.columns for w in written if os.path.exists(w.inputFiles()[0].removeprefix("file://"))]
+    assert sum("_unit" in columns for columns in left) == 1
+
+
 def test_every_embedding_meets_every_reference(spark, tmp_path):
     import __spark_entry__ as entry
 
@@ -301,6 +320,15 @@ def test_collocations(spark):
     assert got[200] == [] and got[201] == ["new york", "york"] and got[0][0] == "new york"
 
 
+def test_collocations_keep_one_copy_of_the_text(spark):
+    """Of what is staged on the way only the pairs, the triples and the text merged once are left."""
+    df = spark.createDataFrame([(i, ["new", "york", "is", f"w{i}"]) for i in range(30)], "id long, tokens array<string>")
+    before = staged(spark)
+    merged, pairs, triples = LX.detect_collocations(df, "id", "tokens", threshold=1.0)
+    left = [path for path in staged(spark) if path not in before and os.path.exists(path.removeprefix("file:"))]
+    assert len(left) == 3 and merged.count() == 30 and pairs.count() > 0 and triples.count() >= 0
+
+
 def test_merging_is_greedy_from_the_left(spark):
     df = spark.createDataFrame([(1, ["a", "a", "a", "b", "a", "a"])], "id long, tokens array<string>")
     pairs = spark.createDataFrame([("a", "a")], "a string, b string")
@@ -617,6 +645,15 @@ def test_words_in_equal_places_are_neighbours(spark):
         assert max(others, key=others.get) == b
 
 
+def test_word_vectors_keep_neither_counts_nor_matrix(spark):
+    """Pairs, totals and the matrix are deleted once nothing reads them: the numbered words and the basis are left."""
+    before = staged(spark)
+    found = WV.word_vectors(spark.createDataFrame([(t,) for t in _texts(11, 20, 9)], "tokens array<string>"), "tokens", width=4, rounds=1)
+    left = [path for path in staged(spark) if path not in before and os.path.exists(path.removeprefix("file:"))]
+    assert not any({"context"} & set(spark.read.parquet(path).columns) or "at" in spark.read.parquet(path).columns for path in left)
+    assert found.count() > 0
+
+
 def test_no_texts_have_no_vectors(spark):
     df = spark.createDataFrame([(None,), ([],)], "tokens array<string>")
     assert WV.word_vectors(df, "tokens", width=3, rounds=1).collect() == []
